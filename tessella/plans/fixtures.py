@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tessella.functions.text import let
 from tessella.session import prepare
 
 BAD_ENTRY_SHAPES = 11
@@ -18,6 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, spread over the cluster when they come in fewer splits than it has cores. A
+    table of many files never is."""
+    df = table(spark, sf_dir, "documents")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _label_parts(docs: DataFrame) -> DataFrame:
     """Adds ``words``, ``rs`` (reasoning text), ``ids`` (JSON list) and ``good`` (a full label)."""
     k = (F.col("doc_id") % 5).cast("int")
@@ -47,7 +56,7 @@ def _shape(key: Column, shapes: dict[int, Column], default: Column) -> Column:
 
 def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One dataset entry per document: (entry_id, dataset, input, output)."""
-    d = _label_parts(table(spark, sf_dir, "documents"))
+    d = _label_parts(documents(spark, sf_dir))
     output = _shape(
         F.col("doc_id") % BAD_ENTRY_SHAPES,
         {
@@ -71,7 +80,7 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSONL line per document, good, blank or broken: (line_no, line)."""
-    d = _label_parts(table(spark, sf_dir, "documents"))
+    d = _label_parts(documents(spark, sf_dir))
     quoted = F.replace(F.col("good"), F.lit('"'), F.lit('\\"'))
     entry = F.concat(
         F.lit('{"instruction":"find","input":"'), "rs", F.lit('","output":"'), quoted, F.lit('"}')
@@ -94,7 +103,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three attempts per document: (request_id, attempt, variant, raw_response, error_class)."""
-    d = _label_parts(table(spark, sf_dir, "documents"))
+    d = _label_parts(documents(spark, sf_dir))
     d = d.withColumn(
         "bare",
         F.concat(F.lit('{reasoning:"'), "rs", F.lit('",identifiers:'), "ids", F.lit("}")),
@@ -129,7 +138,7 @@ def artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Some kinds are not there yet, which is what the resume operators look for.
     """
-    d = _label_parts(table(spark, sf_dir, "documents"))
+    d = _label_parts(documents(spark, sf_dir))
     label = _shape(
         F.col("doc_id") % 11,
         {
@@ -170,13 +179,13 @@ def _keyed(d: DataFrame) -> DataFrame:
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wanted samples: one per document."""
-    return _keyed(table(spark, sf_dir, "documents")).select("generator", "base_filename", "polarity")
+    return _keyed(documents(spark, sf_dir)).select("generator", "base_filename", "polarity")
 
 
 def symbol_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Symbol lists computed from code: absent where the analysis failed."""
     return (
-        _keyed(table(spark, sf_dir, "documents"))
+        _keyed(documents(spark, sf_dir))
         .withColumn("symbols_json", F.when(F.col("doc_id") % 19 != 0, '[{"symbolName":"t","symbolKind":"variable"}]'))
         .select("generator", "project", "base_filename", "symbols_json")
         .where("symbols_json is not null")
@@ -203,25 +212,26 @@ CHUNK = 7
 def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One source file per document (file_id, code): every run of seven words of the text becomes
     a class with a property and a method, so the file grows with the text."""
-    def at(c, j):
-        return F.coalesce(F.get(F.col("words"), c * CHUNK + j), F.lit("pad"))
-
-    def decl(c):
-        return F.concat(
-            F.lit("@objc class T_"), at(c, 0), F.lit(": P_"), at(c, 1), F.lit(", P_"), at(c, 2),
-            F.lit(" {\n  var v_"), at(c, 3),
-            F.lit(": Int\n  func f_"), at(c, 4), F.lit("(x: Int) -> Bool { c_"), at(c, 5),
-            F.lit("(v_"), at(c, 3), F.lit(".m_"), at(c, 6), F.lit("()) }\n}\n"),
-        )
-
-    n = F.ceil(F.size("words") / CHUNK).cast("int")
-    body = F.when(n == 0, F.lit("")).otherwise(
-        F.array_join(F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), decl), "")
-    )
-    return (
-        table(spark, sf_dir, "documents")
-        .select("doc_id", F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0)).alias("words"))
-        .select(F.col("doc_id").alias("file_id"), F.concat(F.lit("import Foundation\n"), body).alias("code"))
+    def build(words):
+        def at(c, j):
+            return F.coalesce(F.get(words, c * CHUNK + j), F.lit("pad"))
+
+        def decl(c):
+            return F.concat(
+                F.lit("@objc class T_"), at(c, 0), F.lit(": P_"), at(c, 1), F.lit(", P_"), at(c, 2),
+                F.lit(" {\n  var v_"), at(c, 3),
+                F.lit(": Int\n  func f_"), at(c, 4), F.lit("(x: Int) -> Bool { c_"), at(c, 5),
+                F.lit("(v_"), at(c, 3), F.lit(".m_"), at(c, 6), F.lit("()) }\n}\n"),
+            )
+
+        n = F.ceil(F.size(words) / CHUNK).cast("int")
+        runs = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))
+        return F.when(n == 0, F.lit("")).otherwise(F.array_join(F.transform(runs, decl), ""))
+
+    words = F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))
+    return documents(spark, sf_dir).select(
+        F.col("doc_id").alias("file_id"),
+        F.concat(F.lit("import Foundation\n"), let(words, build)).alias("code"),
     )
 
 

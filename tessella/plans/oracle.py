@@ -387,3 +387,73 @@ ORACLE["negative_removal"] = with_fixtures(
 ORACLE["removal_counts"] = with_fixtures(
     "SELECT count(*) AS deleted, count(*) AS failed FROM artifacts WHERE polarity = 'negative'", "artifacts"
 )
+
+# --- symbols ------------------------------------------------------------------------------------
+# Every run of seven words gives 32 tokens after the two of the import line.
+
+_CHUNK_TOKENS = (
+    "@objc class T_{w1} : P_{w2} , P_{w3} { var v_{w4} : Int func f_{w5} ( x : Int ) -> Bool "
+    "{ c_{w6} ( v_{w4} . m_{w7} ( ) ) } }"
+).split()
+
+
+def _token_rows() -> str:
+    rows, depth = [], 0
+    for i, token in enumerate(_CHUNK_TOKENS):
+        depth += (token == "{") - (token == "}")
+        word = token[token.index("{") + 1 : -1] if "{w" in token else None
+        text = f"'{token.split('{')[0]}' || {word}" if word else f"'{token}'"
+        starts = token in ("@objc", "var", "func") or i == len(_CHUNK_TOKENS) - 1
+        rows.append(f"SELECT {text} AS tok, {depth} AS depth, 2 + 32 * c + {i} AS pos, {str(starts).lower()} AS nl FROM cw")
+    rows.append("SELECT unnest(['import', 'Foundation']) AS tok, 0 AS depth, unnest([0, 1]) AS pos, false AS nl FROM fw")
+    return " UNION ALL ".join(rows)
+
+
+ORACLE["source_tokens"] = with_fixtures(
+    f"""SELECT tok, depth, count(*) AS n, CAST(sum(pos) AS BIGINT) AS pos_sum, count(*) FILTER (nl) AS line_starts
+        FROM ({_token_rows()}) GROUP BY tok, depth""",
+    "source_words",
+)
+_SIG = "(x: Int) -> Bool"
+_POS = "CAST(2 + 32 * c + {} AS INTEGER) AS pos"
+_CALLS = "list_sort(list_distinct(['c_' || w6, 'm_' || w7]))"
+_REFS = "list_sort(list_distinct(['c_' || w6, 'm_' || w7, 'v_' || w4]))"
+ORACLE["type_declarations"] = with_fixtures(
+    f"""SELECT file_id, {_POS.format(1)}, 'T_' || w1 AS symbolName, 'class' AS symbolKind,
+        'P_' || w2 || '|P_' || w3 AS conforms, '@objc' AS attributes FROM cw""",
+    "source_words",
+)
+ORACLE["function_declarations"] = with_fixtures(
+    f"""SELECT file_id, {_POS.format(12)}, 'f_' || w5 || '({_SIG})' AS symbolName, 'method' AS symbolKind,
+        '{_SIG}' AS typeSignature FROM cw""",
+    "source_words",
+)
+ORACLE["variable_declarations"] = with_fixtures(
+    f"""SELECT file_id, {_POS.format(8)}, 'v_' || w4 AS symbolName, 'variable' AS symbolKind, 'Int' AS typeSignature FROM cw""",
+    "source_words",
+)
+ORACLE["qualified_symbols"] = with_fixtures(
+    f"""SELECT file_id, {_POS.format(1)}, 'T_' || w1 AS symbolName, 'class' AS symbolKind FROM cw
+        UNION ALL SELECT file_id, {_POS.format(8)}, 'T_' || w1 || '.v_' || w4, 'property' FROM cw
+        UNION ALL SELECT file_id, {_POS.format(12)}, 'T_' || w1 || '.f_' || w5 || '({_SIG})', 'method' FROM cw""",
+    "source_words",
+)
+ORACLE["body_calls"] = with_fixtures(
+    f"SELECT file_id, {_POS.format(12)}, array_to_string({_CALLS}, '|') AS calls_out FROM cw", "source_words"
+)
+ORACLE["body_references"] = with_fixtures(
+    f"""SELECT file_id, {_POS.format(12)}, array_to_string({_REFS}, '|') AS "references" FROM cw""", "source_words"
+)
+_ONE_JSON = f"""
+    '{{"symbolName":"T_' || w1 || '","symbolKind":"class","conforms":["P_' || w2 || '","P_' || w3 || '"],"attributes":["@objc"]}},'
+    || '{{"symbolName":"v_' || w4 || '","symbolKind":"variable","typeSignature":"Int"}},'
+    || '{{"symbolName":"f_' || w5 || '({_SIG})","symbolKind":"method","typeSignature":"{_SIG}","calls_out":["'
+    || array_to_string({_CALLS}, '","') || '"],"references":["' || array_to_string({_REFS}, '","') || '"]}}'"""
+_LISTS = f"""(SELECT file_id, '[' || coalesce(string_agg({_ONE_JSON}, ',' ORDER BY c), '') || ']' AS symbols_json
+    FROM fw LEFT JOIN cw USING (file_id) GROUP BY file_id)"""
+ORACLE["symbol_lists"] = with_fixtures(f"SELECT file_id, md5(symbols_json) AS symbols_md5 FROM {_LISTS}", "source_words")
+ORACLE["symbol_failures"] = with_fixtures(
+    f"""SELECT file_id, CASE WHEN file_id % 3 = 0 THEN 'no_symbols' END AS reject,
+        CASE file_id % 3 WHEN 1 THEN 2 WHEN 2 THEN CAST(length(symbols_json) AS BIGINT) END AS n_chars FROM {_LISTS}""",
+    "source_words",
+)

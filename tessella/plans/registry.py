@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessella.functions import labels, text
-from tessella.operators import analytics, audit, manifest, responses, resume
+from tessella.operators import analytics, audit, manifest, responses, resume, symbols
 from tessella.plans import fixtures as fx
 from tessella.session import materialize, prepare, scratch_path
 from tessella.sources import artifacts as arts, entries as ents
@@ -326,20 +326,20 @@ def user_messages(spark, sf_dir):
 
 @query
 def empty_requests(spark, sf_dir):
-    wanted = fx.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("conv_id"))
+    wanted = fx.documents(spark, sf_dir).select(F.col("doc_id").alias("conv_id"))
     return responses.empty_requests(wanted, fx.table(spark, sf_dir, "conversations"))
 
 
 @query
 def label_prompts(spark, sf_dir):
-    d = fx.table(spark, sf_dir, "documents")
+    d = fx.documents(spark, sf_dir)
     prompt = responses.render_label_prompt("text", F.lit("[]"), "Code:\n{code}\nSymbols:\n{symbols}\nAnswer {{}}")
     return d.select("doc_id", _md5(prompt, "prompt_md5"))
 
 
 @query
 def fence_strip(spark, sf_dir):
-    d = fx.table(spark, sf_dir, "documents")
+    d = fx.documents(spark, sf_dir)
     inner = F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.col("text"))
     raw = F.concat(F.lit(" ```swift\n"), inner, F.when(F.col("doc_id") % 2 == 0, "\n```\n").otherwise(""))
     return d.select("doc_id", _md5(text.strip_fence(raw), "code_md5"))
@@ -431,7 +431,7 @@ SYMBOLS = '[{"symbolName":"t","symbolKind":"variable"}]'
 
 @query
 def training_inputs(spark, sf_dir):
-    d = fx.table(spark, sf_dir, "documents")
+    d = fx.documents(spark, sf_dir)
     symbols = F.when(F.col("doc_id") % 2 == 0, SYMBOLS).otherwise("not json")
     return d.select("doc_id", _md5(responses.render_input("text", symbols), "input_md5"))
 
@@ -461,7 +461,7 @@ def artifact_names(spark, sf_dir):
 
 @query
 def entry_rows(spark, sf_dir):
-    d = fx.table(spark, sf_dir, "documents")
+    d = fx.documents(spark, sf_dir)
     rows = responses.to_entry(
         d.select("doc_id", "text", F.lit(SYMBOLS).alias("symbols_json"), F.lit("{}").alias("label")), ["doc_id"], "text"
     )
@@ -624,3 +624,71 @@ def removal_counts(spark, sf_dir):
     stored = fx.artifacts(spark, sf_dir)
     chosen = audit.select_negative(stored)
     return audit.removal_counts(stored, chosen.unionByName(chosen.withColumn("generator", F.lit("gen_x"))))
+
+
+# --- symbols ------------------------------------------------------------------------------------
+
+
+def _symbols(spark, sf_dir, mode="compat"):
+    return symbols.symbols(fx.sources(spark, sf_dir), mode=mode)
+
+
+def _joined(*names):
+    return [F.array_join(n, "|").alias(n) for n in names]
+
+
+@query
+def source_tokens(spark, sf_dir):
+    t = symbols.tokens(fx.sources(spark, sf_dir)).where("pos >= 0")
+    return t.groupBy("tok", "depth").agg(
+        F.count("*").alias("n"), F.sum("pos").cast("bigint").alias("pos_sum"), F.count_if("nl").alias("line_starts")
+    )
+
+
+@query
+def type_declarations(spark, sf_dir):
+    rows = symbols.type_symbols(_symbols(spark, sf_dir))
+    return rows.select("file_id", "pos", "symbolName", "symbolKind", *_joined("conforms", "attributes"))
+
+
+@query
+def function_declarations(spark, sf_dir):
+    rows = symbols.func_symbols(_symbols(spark, sf_dir))
+    return rows.select("file_id", "pos", "symbolName", "symbolKind", "typeSignature")
+
+
+@query
+def variable_declarations(spark, sf_dir):
+    rows = symbols.var_symbols(_symbols(spark, sf_dir))
+    return rows.select("file_id", "pos", "symbolName", "symbolKind", "typeSignature")
+
+
+@query
+def qualified_symbols(spark, sf_dir):
+    rows = _symbols(spark, sf_dir, "qualified").where("symbolName is not null")
+    return rows.select("file_id", "pos", "symbolName", "symbolKind")
+
+
+@query
+def body_calls(spark, sf_dir):
+    rows = symbols.func_symbols(_symbols(spark, sf_dir))
+    return rows.select("file_id", "pos", *_joined("calls_out"))
+
+
+@query
+def body_references(spark, sf_dir):
+    rows = symbols.func_symbols(_symbols(spark, sf_dir))
+    return rows.select("file_id", "pos", *_joined("references"))
+
+
+@query
+def symbol_lists(spark, sf_dir):
+    return symbols.symbols_json(_symbols(spark, sf_dir)).select("file_id", _md5("symbols_json", "symbols_md5"))
+
+
+@query
+def symbol_failures(spark, sf_dir):
+    """Some sources are blank and some declare nothing."""
+    shaped = F.when(F.col("file_id") % 3 == 0, F.lit(" \n\t")).when(F.col("file_id") % 3 == 1, F.regexp_replace("code", "(?s)@objc.*", ""))
+    found = symbols.symbols_or_null(fx.sources(spark, sf_dir).withColumn("code", F.coalesce(shaped, "code")))
+    return found.select("file_id", "reject", F.length("symbols_json").cast("bigint").alias("n_chars"))

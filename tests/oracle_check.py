@@ -64,7 +64,8 @@ if __name__ == "__main__":
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     session = build_session(
-        "oracle_check", "local[8]", spark__sql__shuffle__partitions=8, spark__ui__showConsoleProgress="false"
+        "oracle_check", "local[8]", spark__sql__shuffle__partitions=8, spark__ui__showConsoleProgress="false",
+        spark__driver__memory="12g",
     )
     session.sparkContext.setLogLevel("ERROR")
     database, bad = connect(sf), 0
