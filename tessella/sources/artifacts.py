@@ -31,19 +31,19 @@ def parse_artifact_path(path: Column | str) -> Column:
 
 def read_artifacts(spark: SparkSession, root: str, glob: str = "*", recursive: bool = True) -> DataFrame:
     """(folder, base_filename, ext, kind, polarity, content, n_bytes, path), one row per file whose
-    name matches. Many small files are packed into few tasks; compact them with
+    name matches; content that is not UTF-8 is null. Many small files are packed into few tasks; compact them with
     ``write_snapshot`` before reading them more than once."""
     files = (
-        spark.read.option("wholetext", True)
+        spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", recursive)
-        .text(root)
+        .load(root)
     )
     return files.select(
-        F.inline(F.array(parse_artifact_path("_metadata.file_path"))),
-        F.col("value").alias("content"),
-        F.col("_metadata.file_size").alias("n_bytes"),
-        F.col("_metadata.file_path").alias("path"),
+        F.inline(F.array(parse_artifact_path("path"))),
+        F.try_validate_utf8(F.col("content").cast("string")).alias("content"),
+        F.col("length").alias("n_bytes"),
+        "path",
     )
 
 
