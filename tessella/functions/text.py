@@ -28,6 +28,12 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def computed_once(struct: Column) -> Column:
+    """The fields of a struct as columns, computed once per row. A filter on a plain derived column
+    is pushed below it and computes it a second time; it cannot pass this generator."""
+    return F.inline_outer(F.array(struct))
+
+
 def strip(c: Column | str) -> Column:
     return F.btrim(as_col(c), F.lit(WHITESPACE))
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tessella.functions import labels
-from tessella.functions.text import strip
+from tessella.functions.text import computed_once, let, strip
 
 # Reasoning length ranges in characters, bounds included.
 LENGTH_BUCKETS = (
@@ -36,25 +36,21 @@ def parse_outputs(entries: DataFrame) -> DataFrame:
     ``items`` keeps the positions of the identifier list; items that are not strings are null.
     Only these narrow columns leave the scan, never the texts.
     """
-    return (
-        entries.select("dataset", "entry_id", labels.strict_variant(strip("output")).alias("v"))
-        .select(
-            "dataset",
-            "entry_id",
-            F.coalesce(labels.has_label_keys(F.col("v")), F.lit(False)).alias("valid"),
-            labels.reasoning_text(F.col("v")).alias("reasoning"),
-            labels.label_items(F.col("v")).alias("list"),
-        )
-        .select(
-            "dataset",
-            "entry_id",
-            "valid",
-            F.when(F.col("valid"), categorize(F.col("list"))).alias("category"),
-            F.when(F.col("valid") & F.col("list").isNotNull(), F.size("list").cast("bigint")).alias("n_items"),
-            F.when(F.col("valid"), F.length("reasoning").cast("bigint")).alias("reasoning_len"),
-            F.when(F.col("valid"), labels.string_items(F.col("list"))).alias("items"),
+
+    def typed(items, v):
+        valid = F.coalesce(labels.has_label_keys(v), F.lit(False))
+        return F.struct(
+            valid.alias("valid"),
+            F.when(valid, categorize(items)).alias("category"),
+            F.when(valid & items.isNotNull(), F.size(items).cast("bigint")).alias("n_items"),
+            F.when(valid, F.length(labels.reasoning_text(v)).cast("bigint")).alias("reasoning_len"),
+            F.when(valid, labels.string_items(items)).alias("items"),
         )
+
+    parts = let(
+        labels.strict_variant(strip("output")), lambda v: let(labels.label_items(v), lambda items: typed(items, v))
     )
+    return entries.select("dataset", "entry_id", computed_once(parts))
 
 
 def categorize(items):
@@ -71,8 +67,7 @@ def profile(parsed: DataFrame) -> DataFrame:
 def identifier_counts(parsed: DataFrame) -> DataFrame:
     """(dataset, identifier, n, first_seen): uses of each identifier and its first position."""
     return (
-        parsed.where(F.col("category") == "vulnerable")
-        .select("dataset", "entry_id", F.posexplode("items").alias("pos", "identifier"))
+        parsed.select("dataset", "entry_id", F.posexplode_outer("items").alias("pos", "identifier"))
         .where(F.col("identifier").isNotNull())
         .groupBy("dataset", "identifier")
         .agg(F.count("*").alias("n"), F.min(F.struct("entry_id", "pos")).alias("first_seen"))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tessella.functions import labels
-from tessella.functions.text import as_col, blank, fill, non_empty, strip
+from tessella.functions.text import as_col, blank, computed_once, fill, non_empty, strip
 
 MAX_ATTEMPTS = 3
 
@@ -91,12 +91,8 @@ def recover_symbols(prompt: Column | str, compat: bool = False) -> Column:
 
 def resolve_attempts(attempts: DataFrame) -> DataFrame:
     """Adds ``label`` and ``method`` to every attempt, null where no label was found."""
-    return (
-        attempts.withColumn("resolved", labels.resolve_label("raw_response"))
-        .withColumn("label", F.col("resolved.label"))
-        .withColumn("method", F.col("resolved.method"))
-        .drop("resolved", "raw_response")
-    )
+    keep = [c for c in attempts.columns if c != "raw_response"]
+    return attempts.select(*keep, computed_once(labels.resolve_label("raw_response")))
 
 
 def first_success(resolved: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:

@@ -8,6 +8,8 @@ that same partitioning. A window never holds more than the tokens of one input r
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tessella.functions.text import blank, let, non_empty, strip
@@ -55,24 +57,68 @@ MODIFIERS = (
     "public private fileprivate internal open package static final override lazy weak unowned mutating "
     "nonmutating dynamic optional required convenience indirect nonisolated"
 ).split()
-_TYPE_KEYWORDS = ["class", "struct"]
+_TYPES = ["class", "struct"]
 _BINDINGS = ["var", "let"]
-# A class keyword before one of these is a modifier of a member.
-_MEMBER_STARTS = ["func", "var", "let", "subscript", "init", *MODIFIERS]
-# A binding after one of these is a condition or a pattern, not a declaration.
-_PATTERN_BEFORE = ["if", "guard", "while", "case", "for", "catch", "(", ",", "."]
-# Statements whose brace opens their own block, not a trailing closure.
-_BLOCK_HEADS = (
-    "if guard while for switch repeat do catch else defer func class struct enum extension protocol actor init "
-    "deinit subscript get set didSet willSet"
-).split()
-_ACCESSORS = ["get", "set", "didSet", "willSet"]
-# A line that starts or ends with one of these goes on.
-_GOES_ON_AT_START = ["{", ".", ",", ")", "]", "->", ":", "where", "throws", "rethrows", "async", "else", "in", "as", "is"]
-_GOES_ON_AT_END = [",", ".", "(", "[", "->", ":", "where", *MODIFIERS]
-_FOLLOWS_BRACE = [".", ")", "]", "(", ",", ":"]
 
-KINDS = ["class", "struct", "func", "var"]
+# What a token can be, beyond its own text. The name of a class is the key, its members the value.
+_CLASSES = {
+    "keyword": KEYWORDS,
+    "type": _TYPES,
+    "binding": _BINDINGS,
+    # A class keyword before one of these is a modifier of a member.
+    "member_start": ["func", "var", "let", "subscript", "init", *MODIFIERS],
+    # A type keyword after one of these is no declaration.
+    "no_type_after": [".", ":", ","],
+    # A binding after one of these is a condition or a pattern, not a declaration.
+    "pattern_before": ["if", "guard", "while", "case", "for", "catch", "(", ",", "."],
+    # A name after one of these is introduced, not used.
+    "introduces": "let var func class struct enum protocol extension typealias import for".split(),
+    # Statements whose brace opens their own block, not a trailing closure.
+    "block_head": (
+        "if guard while for switch repeat do catch else defer func class struct enum extension protocol actor "
+        "init deinit subscript get set didSet willSet"
+    ).split(),
+    "accessor": ["get", "set", "didSet", "willSet"],
+    "accessor_next": ["get", "set", "didSet", "willSet", "{", "}"],
+    "observer": ["didSet", "willSet"],
+    # A line that starts or ends with one of these goes on.
+    "goes_on_start": "{ . , ) ] -> : where throws rethrows async else in as is".split(),
+    "goes_on_end": [",", ".", "(", "[", "->", ":", "where", *MODIFIERS],
+    # After a closing brace these continue the statement.
+    "follows_brace": [".", ")", "]", "(", ",", ":"],
+    "ends_statement": [";", "}"],
+    "starts_statement": ["{", ";"],
+    "cast": ["as", "is"],
+    "mark": ["?", "!"],
+    # Operators that may end a type and so a line.
+    "type_end": ["?", "!", ">", ">?", ">!"],
+    "label_before": ["(", ",", "}"],
+    **{name: [text] for name, text in {
+        "func": "func", "as": "as", "in": "in", "for": "for", "case": "case", "self": "self", "underscore": "_",
+        "open": "{", "close": "}", "paren": "(", "dot": ".", "comma": ",", "colon": ":", "equals": "=", "less": "<",
+    }.items()},
+}
+_BITS = {name: 1 << i for i, name in enumerate([*_CLASSES, "name", "operator", "attribute"])}
+# The token before the first and after the last one.
+_EDGE = _BITS["starts_statement"]
+
+
+def _lexicon() -> dict[str, int]:
+    out: dict[str, int] = {}
+    for name, members in _CLASSES.items():
+        for token in members:
+            word = re.fullmatch(r"[A-Za-z_]\w*", token)
+            operator = re.fullmatch(r"[-+*/=<>!&|^~?%]+", token) and token != "->"
+            base = _BITS["name"] if word else _BITS["operator"] if operator else 0
+            out[token] = out.get(token, base) | _BITS[name]
+    return out
+
+
+def _is(column: str | Column, *names: str) -> Column:
+    """Whether a token belongs to any of the named classes."""
+    mask = sum(_BITS[n] for n in set(names))
+    c = F.col(column) if isinstance(column, str) else column
+    return c.bitwiseAND(F.lit(mask)) != 0
 
 
 def _pieces(code: Column) -> Column:
@@ -103,20 +149,32 @@ def _without_trivia(piece: Column) -> Column:
     return F.when(plain, bare).otherwise(F.regexp_replace(piece, rf"(?sU)\A{_TRIVIA}", ""))
 
 
-def _delta(opening: list[str], closing: list[str]) -> Column:
+def _step(opening: str, closing: str) -> Column:
+    """+1 for a token of the first texts, -1 for one of the second, else 0."""
     tok = F.col("tok")
-    return F.when(tok.isin(opening), 1).when(tok.isin(closing), -1).otherwise(0)
+    return F.when(tok.isin(*opening), 1).when(tok.isin(*closing), -1).otherwise(0)
 
 
 def tokens(sources: DataFrame, file: str = "file_id", code: str = "code") -> DataFrame:
-    """(file, pos, tok, gap, nl, inner, depth, p_depth, prev, next, ...), one row per token.
+    """(file, pos, tok, gap, inner, nl, cls, depth, p_depth, prev, ...), one row per token.
 
-    ``gap`` holds the blanks and comments before it. ``depth`` counts open braces, ``p_depth`` open parentheses and brackets, both including the
-    token itself; ``nl`` tells whether the token starts a line. Every file that is not blank also has
-    one row with position -1, so files without tokens stay.
+    ``gap`` holds the blanks and comments before it. ``cls`` tells the classes the token belongs to
+    as bits, ``prev``, ``prev2``, ``next`` and ``next2`` those of its neighbours. ``depth`` counts
+    open braces, ``p_depth`` open parentheses and brackets, both including the token itself; ``nl``
+    tells whether the token starts a line. Every file that is not blank also has one row with
+    position -1, so files without tokens stay. The lexicon joined for ``cls`` has a fixed size.
     """
     start = F.array(F.struct(F.lit("").alias("piece"), F.lit(False).alias("inner")))
     pieces = F.when(~blank(code), F.concat(start, _pieces(F.col(code))))
+    known = ", ".join(f"('{token}', {bits}L)" for token, bits in _lexicon().items())
+    lexicon = sources.sparkSession.sql(f"SELECT * FROM VALUES {known} AS t(tok, known)")
+    other = (
+        F.when(F.col("tok").rlike(_IS_NAME), _BITS["name"])
+        .when(F.col("tok").rlike(_IS_OPERATOR), _BITS["operator"])
+        .when(F.col("tok").startswith("@"), _BITS["attribute"])
+        .otherwise(0)
+        .cast("bigint")
+    )
     rows = (
         sources.select(file, F.posexplode(pieces).alias("at", "t"))
         .select(
@@ -129,17 +187,21 @@ def tokens(sources: DataFrame, file: str = "file_id", code: str = "code") -> Dat
         .withColumn("gap", F.left("piece", F.length("piece") - F.length("tok")))
         .withColumn("nl", F.contains("gap", F.lit("\n")))
         .drop("piece")
+        .join(F.broadcast(lexicon), "tok", "left")
+        .withColumn("cls", F.when(F.col("pos") < 0, F.lit(_EDGE)).when(F.col("known").isNull(), other).otherwise(F.col("known")))
+        .drop("known")
     )
     order = Window.partitionBy(file).orderBy("pos")
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
     return rows.select(
         "*",
-        F.sum(_delta(["{"], ["}"])).over(upto).cast("int").alias("depth"),
-        F.sum(_delta(["(", "["], [")", "]"])).over(upto).cast("int").alias("p_depth"),
-        F.lag("tok", 1, "").over(order).alias("prev"),
-        F.lag("tok", 2, "").over(order).alias("prev2"),
-        F.lead("tok", 1, "").over(order).alias("next"),
-        F.lead("tok", 2, "").over(order).alias("next2"),
+        F.sum(_step("{", "}")).over(upto).cast("int").alias("depth"),
+        F.sum(_step("([", ")]")).over(upto).cast("int").alias("p_depth"),
+        F.lag("cls", 1, _EDGE).over(order).alias("prev"),
+        F.lag("cls", 2, _EDGE).over(order).alias("prev2"),
+        F.lead("cls", 1, 0).over(order).alias("next"),
+        F.lead("cls", 2, 0).over(order).alias("next2"),
+        F.lead("tok", 1, "").over(order).alias("next_tok"),
         F.lead("nl", 1, True).over(order).alias("next_nl"),
     )
 
@@ -150,81 +212,80 @@ def _statements(toks: DataFrame, file: str) -> DataFrame:
     A statement ends at a brace, a semicolon or a line end outside parentheses. ``rel`` is the
     parenthesis depth counted from the enclosing brace.
     """
-    tok, prev, nxt = F.col("tok"), F.col("prev"), F.col("next")
-    opened = F.last(F.when(tok == "{", F.col("p_depth")), ignorenulls=True)
+    opened = F.last(F.when(_is("cls", "open"), F.col("p_depth")), ignorenulls=True)
     level = Window.partitionBy(file, "depth").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    rel = F.col("p_depth") - F.coalesce(opened.over(level), F.lit(0))
-    with_rel = toks.withColumn("rel", rel)
+    with_rel = toks.withColumn("rel", F.col("p_depth") - F.coalesce(opened.over(level), F.lit(0)))
 
-    before = F.col("rel") - _delta(["(", "["], [")", "]"])
-    operator_end = prev.rlike(_IS_OPERATOR) & ~prev.isin("?", "!", ">", ">?", ">!")
     line_break = (
         F.col("nl")
-        & (before == 0)
-        & ~tok.isin(_GOES_ON_AT_START)
-        & ~tok.rlike(_IS_OPERATOR)
-        & ~prev.isin(_GOES_ON_AT_END)
-        & ~operator_end
-        & ~prev.startswith("@")
+        & (F.col("rel") == _step("([", ")]"))
+        & ~_is("cls", "goes_on_start", "operator")
+        & ~_is("prev", "goes_on_end", "attribute")
+        & (~_is("prev", "operator") | _is("prev", "type_end"))
     )
-    after_block = (prev == "}") & ~tok.isin(_FOLLOWS_BRACE) & ~tok.rlike(_IS_OPERATOR)
-    breaks = prev.isin("{", ";", "") | tok.isin(";", "}") | line_break | after_block
+    after_block = _is("prev", "close") & ~_is("cls", "follows_brace", "operator")
+    breaks = _is("prev", "starts_statement") | _is("cls", "ends_statement") | line_break | after_block
     upto = Window.partitionBy(file).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     numbered = with_rel.withColumn("stmt", F.sum(breaks.cast("int")).over(upto).cast("int"))
 
-    named = nxt.rlike(_IS_NAME)
     declares = (
-        F.when(tok.isin(_TYPE_KEYWORDS) & named & ~nxt.isin(_MEMBER_STARTS) & ~prev.isin(".", ":", ","), tok)
-        .when((tok == "func") & (prev != "."), "func")
-        .when(tok.isin(_BINDINGS) & ~prev.isin(_PATTERN_BEFORE), "var")
+        F.when(
+            _is("cls", "type") & _is("next", "name") & ~_is("next", "member_start") & ~_is("prev", "no_type_after"),
+            F.col("tok"),
+        )
+        .when(_is("cls", "func") & ~_is("prev", "dot"), "func")
+        .when(_is("cls", "binding") & ~_is("prev", "pattern_before"), "var")
     )
     stmt = Window.partitionBy(file, "stmt")
     outer = F.col("rel") == 0
-    declared = F.when(declares.isNotNull(), F.struct("pos", declares.alias("declares"), "next", "depth"))
-    return numbered.select(
+
+    def at(name):
+        return F.when(outer & _is("cls", name), F.col("pos"))
+
+    declared = F.when(F.col("declares").isNotNull(), F.struct("pos", "declares", "next_tok"))
+    return numbered.withColumn("declares", declares).select(
         "*",
-        F.min(F.struct("pos", "tok", "prev", "next")).over(stmt).alias("head"),
+        F.min(F.struct("pos", "cls", "prev", "next")).over(stmt).alias("head"),
         F.min(declared).over(stmt).alias("decl"),
-        F.min(F.when(outer & (tok == "="), F.col("pos"))).over(stmt).alias("eq_pos"),
-        F.max(F.when(outer & (tok == "in"), F.col("pos"))).over(stmt).alias("in_pos"),
-        F.min(F.when(outer & (tok == ":"), F.col("pos"))).over(stmt).alias("colon_pos"),
+        F.min(at("equals")).over(stmt).alias("eq_pos"),
+        F.max(at("in")).over(stmt).alias("in_pos"),
+        F.min(at("colon")).over(stmt).alias("colon_pos"),
     )
 
 
-def _uses() -> tuple[Column, Column]:
-    """(is a use of a name, is a call), per token."""
-    tok, prev, nxt, pos = (F.col(c) for c in ("tok", "prev", "next", "pos"))
-    head = F.col("head.tok")
-    member = prev == "."
-    word = tok.rlike(_IS_NAME) & (member | ~tok.isin(KEYWORDS))
-    label = (nxt == ":") & prev.isin("(", ",", "}")
-    introduced = prev.isin("let", "var", "func", "class", "struct", "enum", "protocol", "extension", "typealias", "import", "for")
-    cast_type = prev.isin("as", "is") | (prev.isin("?", "!") & (F.col("prev2") == "as"))
-    generic = (prev == "<") & nxt.startswith(">")
-    accessor = tok.isin(_ACCESSORS) & nxt.isin("{", "}", *_ACCESSORS) & prev.isin("{", "}", *_ACCESSORS)
+def _use() -> Column:
+    """Whether a token uses a name: not a keyword, label, introduced name, type or binding."""
+    pos, head = F.col("pos"), F.col("head.cls")
+    member = _is("prev", "dot")
+    word = _is("cls", "name") & (member | ~_is("cls", "keyword"))
+    label = _is("next", "colon") & _is("prev", "label_before")
+    cast_type = _is("prev", "cast") | (_is("prev", "mark") & _is("prev2", "as"))
+    generic = _is("prev", "less") & F.startswith("next_tok", F.lit(">"))
+    accessor = _is("cls", "accessor") & _is("next", "accessor_next") & _is("prev", "accessor_next")
     kind = F.col("decl.declares")
-    declared = kind.isNotNull() & (kind != "var") & (pos >= F.col("decl.pos"))
-    in_binding = (kind == "var") & (
-        (pos <= F.coalesce(F.col("eq_pos"), F.lit(2**31 - 1)))
-        | ((prev == ",") & nxt.isin("=", ":") & (F.col("rel") == 0))
-    )
-    bound_in = (pos < F.col("in_pos")) & (
-        (head == "for") | ((F.col("head.prev") == "{") & (tok != "self"))
-    )
-    bound_case = (head == "case") & F.col("head.next").isin(_BINDINGS) & (F.col("rel") > 0) & (pos < F.col("colon_pos"))
-
-    no = F.lit(False)
-    excluded = label | introduced | cast_type | generic | accessor
+    declared = (kind != "var") & (pos >= F.col("decl.pos"))
+    later_name = _is("prev", "comma") & _is("next", "equals", "colon") & (F.col("rel") == 0)
+    in_binding = (kind == "var") & ((pos <= F.coalesce(F.col("eq_pos"), pos)) | later_name)
+    bound_in = (pos < F.col("in_pos")) & (_is(head, "for") | (_is("head.prev", "open") & ~_is("cls", "self")))
+    bound_case = _is(head, "case") & _is("head.next", "binding") & (F.col("rel") > 0) & (pos < F.col("colon_pos"))
+    excluded = label | _is("prev", "introduces") | cast_type | generic | accessor
     for rule in (declared, in_binding, bound_in, bound_case):
-        excluded |= F.coalesce(rule, no)
-    use = word & ~excluded
+        excluded |= F.coalesce(rule, F.lit(False))
+    return word & ~excluded
+
 
-    parens = (nxt == "(") & (F.col("next2") != "_")
-    block = head.isin(_BLOCK_HEADS) | F.coalesce((kind == "var") & F.col("eq_pos").isNull(), no)
-    closure = (nxt == "{") & ~((F.col("rel") == 0) & block)
-    return use, use & ~F.col("next_nl") & (parens | closure)
+def _call() -> Column:
+    """Whether a used name is called: parentheses or a trailing closure follow on its line."""
+    own_block = F.coalesce((F.col("decl.declares") == "var") & F.col("eq_pos").isNull(), F.lit(False))
+    block = (F.col("rel") == 0) & (_is("head.cls", "block_head") | own_block)
+    parens = _is("next", "paren") & ~_is("next2", "underscore")
+    return ~F.col("next_nl") & (parens | (_is("next", "open") & ~block))
 
 
+# What a token contributes: to its own statement, as an opening brace, as a use at each level of
+# nesting, and as a declaration at each level.
+_RECORDS = ("header", "open", "use", "scope")
+
 # Shapes of what follows a declaration keyword.
 _CONFORMS = rf"(?sU)\A\s*(?:{_ANGLE})?+\s*:\s*(.*?)\s*(?:\bwhere\b.*)?\z"
 _SIGNATURE = rf"(?sU)\A\s*(?:{_ANGLE})?+\s*(\(.*?)\s*(?:\bwhere\b.*)?\z"
@@ -252,7 +313,7 @@ def _described(group: DataFrame) -> DataFrame:
         lambda t: F.regexp_extract(t["tok"], r"(?U)\A@[\w.]+", 0),
     )
     first = F.get(after, 0)["tok"]
-    is_type, is_func = F.col("kind").isin(_TYPE_KEYWORDS), F.col("kind") == "func"
+    is_type, is_func = F.col("kind").isin(_TYPES), F.col("kind") == "func"
     conforms = F.transform(
         F.split(F.regexp_extract("past_name", _CONFORMS, 1), _TOP_COMMA, -1), lambda c: strip(c)
     )
@@ -274,43 +335,40 @@ def _described(group: DataFrame) -> DataFrame:
 def declarations(sources: DataFrame, file: str = "file_id", code: str = "code") -> DataFrame:
     """One row per declaration, and one without ``kind`` per file that has code.
 
-    Every token yields records: a header record for its own statement, and if it is a use one record
-    per enclosing brace level. A window over (file, level) finds which brace encloses it there, so
+    Every token yields records: one for its own statement, and if it is a use one per enclosing
+    brace level. A window over (file, level) finds which brace encloses it there, so
     bodies are matched without a join and nested bodies count for all that enclose them.
     """
     t = _statements(tokens(sources, file, code), file)
-    use, call = _uses()
-    tok, kind, depth = F.col("tok"), F.col("decl.declares"), F.col("depth")
-    in_header = (kind.isNotNull()) | (F.col("pos") < 0)
-    opens_accessor = (kind == "var") & (F.col("eq_pos").isNull() | F.col("next").isin("didSet", "willSet"))
-    is_keyword = F.col("pos") == F.col("decl.pos")
-
-    def levels(n):
-        return F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    kind, depth = F.col("decl.declares"), F.col("depth")
+    opens_accessor = F.col("eq_pos").isNull() | _is("next", "observer")
+    body_kind = F.when((kind == "var") & ~opens_accessor, "other").otherwise(F.coalesce(kind, F.lit("other")))
+    none = F.array().cast("array<int>")
 
-    def records(what, lv):
-        return F.transform(lv, lambda level: F.struct(F.lit(what).alias("what"), level.cast("int").alias("level")))
+    def all_levels(what):
+        code, n = _RECORDS.index(what), len(_RECORDS)
+        return F.sequence(F.lit(n + code), depth * n + code, F.lit(n))
 
-    nothing = F.array().cast("array<struct<what:string,level:int>>")
+    header = kind.isNotNull() | (F.col("pos") < 0)
     emitted = F.concat(
-        F.when(in_header, records("header", F.array(F.lit(0)))).otherwise(nothing),
-        F.when(tok == "{", records("open", F.array(depth))).otherwise(nothing),
-        F.when(F.col("is_use"), records("use", levels(depth))).otherwise(nothing),
-        F.when(is_keyword, records("scope", levels(depth))).otherwise(nothing),
-    )
-    body_kind = (
-        F.when(kind.isNull(), "other").when((kind == "var") & ~opens_accessor, "other").otherwise(kind)
+        F.when(header, F.array(F.lit(_RECORDS.index("header")))).otherwise(none),
+        F.when(_is("cls", "open"), F.array(depth * len(_RECORDS) + _RECORDS.index("open"))).otherwise(none),
+        F.when(F.col("is_use") & (depth > 0), all_levels("use")).otherwise(none),
+        F.when((F.col("pos") == F.col("decl.pos")) & (depth > 0), all_levels("scope")).otherwise(none),
     )
     rows = (
-        t.withColumn("is_use", use)
-        .withColumn("is_call", call)
+        t.withColumn("is_use", _use())
+        .withColumn("is_call", _call())
         .select(
             file, "pos", "tok", "gap", "inner", "rel", "stmt", "is_call",
-            F.col("decl.pos").alias("kw"), kind.alias("kind"), F.col("decl.next").alias("decl_name"),
-            F.coalesce(body_kind, F.lit("other")).alias("body_kind"),
-            F.inline(emitted),
-        )
-    )
+            F.col("decl.pos").alias("kw"), kind.alias("kind"), F.col("decl.next_tok").alias("decl_name"),
+            body_kind.alias("body_kind"),
+            F.explode(emitted).alias("record"),
+        )
+        .withColumn("what", F.element_at(F.array(*map(F.lit, _RECORDS)), F.col("record") % len(_RECORDS) + 1))
+        .withColumn("level", F.floor(F.col("record") / len(_RECORDS)).cast("int"))
+    )
+    tok = F.col("tok")
     brace = F.when(F.col("what") == "open", F.struct(F.col("stmt").alias("stmt"), F.col("body_kind").alias("kind"), F.col("decl_name").alias("name")))
     upto = Window.partitionBy(file, "level").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     placed = rows.withColumn("within", F.last(brace, ignorenulls=True).over(upto)).where("what <> 'open'")
@@ -318,7 +376,7 @@ def declarations(sources: DataFrame, file: str = "file_id", code: str = "code")
     relevant = (
         (what == "header")
         | ((what == "use") & within["kind"].isin("func", "var"))
-        | ((what == "scope") & within["kind"].isin(_TYPE_KEYWORDS))
+        | ((what == "scope") & within["kind"].isin(_TYPES))
     )
     header = F.when(
         (what == "header") & F.col("kind").isNotNull(),

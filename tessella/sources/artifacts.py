@@ -31,7 +31,7 @@ def parse_artifact_path(path: Column | str) -> Column:
 
 def read_artifacts(spark: SparkSession, root: str, glob: str = "*", recursive: bool = True) -> DataFrame:
     """(folder, base_filename, ext, kind, polarity, content, n_bytes, path), one row per file whose
-    name matches; content that is not UTF-8 is null. Many small files are packed into few tasks; compact them with
+    name matches; content that is not UTF-8 is null, and files without bytes give no row. Many small files are packed into few tasks; compact them with
     ``write_snapshot`` before reading them more than once."""
     files = (
         spark.read.format("binaryFile")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tessella.functions.labels import strict_variant
-from tessella.functions.text import split_ext, base_name, strip
+from tessella.functions.text import base_name, computed_once, let, split_ext, strip
 
 FIELDS = ("instruction", "input", "output")
 
@@ -19,27 +19,21 @@ def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     missing output is no reject; the entry then counts as one with an invalid output.
     """
     keep = [c for c in lines.columns if c != line]
-    v, kind = F.col("v"), F.col("output_kind")
 
-    def field(name):
-        return F.try_variant_get(v, f"$[0].{name}", "string").alias(name)
-
-    return (
-        lines.withColumn(line, strip(line))
-        .where(F.col(line) != "")
-        .withColumn("v", strict_variant(line))
-        .withColumn("is_object", F.startswith(F.schema_of_variant(F.try_variant_get(v, "$[0]", "variant")), F.lit("OBJECT")))
-        .withColumn("output_kind", F.schema_of_variant(F.try_variant_get(v, "$[0].output", "variant")))
-        .select(
-            *keep,
-            line,
-            *[field(f) for f in FIELDS],
+    def fields(text, v):
+        kind = F.schema_of_variant(F.try_variant_get(v, "$[0].output", "variant"))
+        is_object = F.startswith(F.schema_of_variant(F.try_variant_get(v, "$[0]", "variant")), F.lit("OBJECT"))
+        return F.struct(
+            text.alias(line),
+            *[F.try_variant_get(v, f"$[0].{name}", "string").alias(name) for name in FIELDS],
             F.when(v.isNull(), "not_json")
-            .when(~F.col("is_object"), "not_object")
+            .when(~is_object, "not_object")
             .when(kind.isNotNull() & (kind != "STRING"), "output_not_text")
             .alias("reject"),
         )
-    )
+
+    parts = let(strip(line), lambda text: let(strict_variant(text), lambda v: fields(text, v)))
+    return lines.select(*keep, computed_once(parts)).where(F.col(line) != "")
 
 
 def split_lines(parsed: DataFrame, line: str = "line") -> tuple[DataFrame, DataFrame]:

@@ -146,4 +146,4 @@ def test_long_source_does_not_overflow(spark):
 
 def test_one_shuffle(spark):
     df = S.symbols(spark.createDataFrame([(1, "struct S {}")], "file_id long, code string"))
-    assert df._jdf.queryExecution().toString().split("Physical Plan")[1].count("Exchange ") == 1
+    assert df._jdf.queryExecution().toString().split("Physical Plan")[1].count("Exchange hashpartitioning") == 1
