@@ -3,7 +3,8 @@
 One row-level pass parses every output once (``parse_outputs``). Everything else reads one of two
 small aggregates of it: ``profile`` (rows per category, list length and reasoning length) and
 ``identifier_counts`` (uses per identifier). Both are combined map-side before their shuffle, so a
-dataset holding most rows costs no more than its distinct combinations.
+dataset holding most rows costs no more than its distinct combinations. ``summarize`` makes both in
+one pass with one shuffle, for results that need the two.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tessella.functions import labels
 from tessella.functions.text import computed_once, let, strip
+from tessella.session import materialize
 
 # Reasoning length ranges in characters, bounds included.
 LENGTH_BUCKETS = (
@@ -74,6 +76,35 @@ def identifier_counts(parsed: DataFrame) -> DataFrame:
     )
 
 
+def summarize(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(profile, identifier_counts) of one pass: every entry yields its profile row and one row per
+    identifier, all are counted in one shuffle, and the counts are stored before they are read twice."""
+    fields = ("valid", "category", "n_items", "reasoning_len")
+    types = dict(parsed.dtypes)
+    seen_type = f"struct<entry_id:{types['entry_id']},pos:int>"
+
+    def row(identifier, seen, *values):
+        named = [v.cast(types[f]).alias(f) for f, v in zip(fields, values)]
+        return F.struct(*named, identifier.cast("string").alias("identifier"), seen.cast(seen_type).alias("seen"))
+
+    none = F.lit(None)
+    uses = F.filter(
+        F.transform("items", lambda x, i: row(x, F.struct("entry_id", i), none, none, none, none)),
+        lambda r: r["identifier"].isNotNull(),
+    )
+    own = F.array(row(none, none, *[F.col(f) for f in fields]))
+    counted = (
+        parsed.select("dataset", F.inline(F.concat(own, F.coalesce(uses, F.slice(own, 1, 0)))))
+        .groupBy("dataset", *fields, "identifier")
+        .agg(F.count("*").alias("n"), F.min("seen").alias("first_seen"))
+    )
+    stored = materialize(counted, "summary")
+    return (
+        stored.where("identifier is null").select("dataset", *fields, "n"),
+        stored.where("identifier is not null").select("dataset", "identifier", "n", "first_seen"),
+    )
+
+
 def _count(condition):
     return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0)).cast("bigint")
 
@@ -236,13 +267,13 @@ def totals(entries: DataFrame) -> DataFrame:
     return entries.groupBy("dataset").agg(F.count("*").alias("total"))
 
 
-def report(parsed: DataFrame, k: int = TOP_IDENTIFIERS) -> DataFrame:
-    """One row per dataset with all scalar statistics, the k top identifiers and the length buckets.
+def report(prof: DataFrame, counts: DataFrame, k: int = TOP_IDENTIFIERS) -> DataFrame:
+    """One row per dataset with all scalar statistics, the k top identifiers and the length buckets,
+    from the two tables of ``summarize``.
 
     Sections without data are null. Lists that grow with the data stay tables of their own:
     ``count_distribution``, ``identifier_counts`` and ``category_members``.
     """
-    prof, counts = profile(parsed), identifier_counts(parsed)
 
     def ranked(df, order, *columns):
         items = F.array_sort(F.collect_list(F.struct(order, *columns)))

@@ -260,6 +260,7 @@ ORACLE["first_success"] = with_fixtures(
         CASE WHEN won IS NOT NULL THEN md5(good) END AS label_md5 FROM {_first(3)}""",
     "responses",
 )
+ORACLE["incremental_labels"] = ORACLE["first_success"]
 ORACLE["stored_labels"] = with_fixtures(
     f"""SELECT request_id, md5(rs) AS reasoning_md5, CAST(json_array_length(ids) AS BIGINT) AS n_items,
         CAST(length(good) + 9 + CASE json_array_length(ids) WHEN 0 THEN 0 ELSE 5 * json_array_length(ids) + 3 END AS BIGINT) AS n_chars

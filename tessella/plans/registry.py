@@ -10,6 +10,7 @@ from tessella.plans import fixtures as fx
 from tessella.session import materialize, prepare, scratch_path
 from tessella.sources import artifacts as arts, entries as ents
 from tessella.sources.catalog import read_catalog
+from tessella.streaming.ingest import ingest_responses, read_resolved
 
 SEED = 7
 GENERATORS = ["gen_a", "gen_b"]
@@ -129,7 +130,8 @@ def length_histogram(spark, sf_dir):
 
 @query
 def top_identifiers(spark, sf_dir):
-    return analytics.top_identifiers(_counts(spark, sf_dir)).withColumn("pct", _r("pct"))
+    _, counts = analytics.summarize(_parsed(spark, sf_dir))
+    return analytics.top_identifiers(counts).withColumn("pct", _r("pct"))
 
 
 @query
@@ -144,8 +146,7 @@ def diversity(spark, sf_dir):
 
 @query
 def dataset_comparison(spark, sf_dir):
-    parsed = _parsed(spark, sf_dir)
-    return analytics.compare(analytics.profile(parsed), analytics.identifier_counts(parsed))
+    return analytics.compare(*analytics.summarize(_parsed(spark, sf_dir)))
 
 
 @query
@@ -167,7 +168,7 @@ def dataset_totals(spark, sf_dir):
 
 @query
 def full_report(spark, sf_dir):
-    rep = analytics.report(materialize(_parsed(spark, sf_dir), "parsed"))
+    rep = analytics.report(*analytics.summarize(_parsed(spark, sf_dir)))
     joined = F.transform("top_identifiers", lambda t: F.concat_ws(":", t["identifier"], t["n"].cast("string")))
     buckets = F.transform("length_buckets", lambda t: F.concat_ws(":", t["label"], t["n"].cast("string")))
     return rep.select(
@@ -182,8 +183,9 @@ def report_file(spark, sf_dir):
     """The report written as one JSON object per dataset and read back."""
     path = scratch_path(prepare(spark), "report")
     parsed = materialize(_parsed(spark, sf_dir), "parsed")
-    tables = {"category_members": analytics.category_members(parsed), "identifier_frequency": analytics.identifier_counts(parsed)}
-    ents.write_report(analytics.report(parsed), path, tables)
+    prof, counts = analytics.summarize(parsed)
+    tables = {"category_members": analytics.category_members(parsed), "identifier_frequency": counts}
+    ents.write_report(analytics.report(prof, counts), path, tables)
     members = spark.read.schema("dataset string, category string, entry_id bigint").json(f"{path}/category_members")
     per = members.groupBy("dataset").agg(F.count("*").alias("members"))
     rep = spark.read.text(f"{path}/datasets").select(
@@ -224,6 +226,19 @@ def project_file_round_trip(spark, sf_dir):
     return by.unionByName(everything.withColumn("project", F.lit("all")))
 
 
+@query
+def incremental_labels(spark, sf_dir):
+    """Responses that arrive in two lots, each taken in once by the same stream."""
+    path, target, state = (scratch_path(prepare(spark), n) for n in ("arrived", "resolved", "progress"))
+    arrived = fx.responses(spark, sf_dir).drop("variant")
+    for lot in (F.col("attempt") == 1, F.col("attempt") > 1):
+        arrived.where(lot).write.mode("append").json(path)
+        ingest_responses(spark, path, target, state)
+    return responses.first_success(read_resolved(spark, target)).select(
+        "request_id", "status", "attempt", "method", _md5("label", "label_md5")
+    )
+
+
 # --- manifest -----------------------------------------------------------------------------------
 
 

@@ -71,25 +71,26 @@ def reject_sample(rejects: DataFrame, n: int = 5) -> DataFrame:
     return rejects.orderBy("file", "entry_id").limit(n)
 
 
-def number_entries(entries: DataFrame) -> DataFrame:
+def number_entries(entries: DataFrame, by: str = "file") -> DataFrame:
     """Replace ``entry_id`` by the entry's 0-based position in its file.
 
     Entries are ranked within their input split, and splits are offset by the running count of
-    one row per split, so no task holds a whole file.
+    one row per split, so no task holds a whole file. Number the narrow rows of ``parse_outputs``
+    (``by="dataset"``, one file each) rather than whole entries, and no text is shuffled.
     """
-    split = Window.partitionBy("file", "entry_id.block").orderBy("entry_id.row")
+    split = Window.partitionBy(by, "entry_id.block").orderBy("entry_id.row")
     offsets = (
-        entries.groupBy("file", F.col("entry_id.block").alias("block"))
+        entries.groupBy(by, F.col("entry_id.block").alias("block"))
         .agg(F.count("*").alias("n"))
         .select(
-            "file",
+            by,
             "block",
-            (F.sum("n").over(Window.partitionBy("file").orderBy("block")) - F.col("n")).alias("before"),
+            (F.sum("n").over(Window.partitionBy(by).orderBy("block")) - F.col("n")).alias("before"),
         )
     )
     ranked = entries.withColumn("rank", F.row_number().over(split) - 1).withColumn("block", F.col("entry_id.block"))
     return (
-        ranked.join(offsets, ["file", "block"])
+        ranked.join(offsets, [by, "block"])
         .withColumn("entry_id", (F.col("before") + F.col("rank")).cast("bigint"))
         .drop("block", "before", "rank")
     )
@@ -130,7 +131,8 @@ def write_project_entries(entries: DataFrame, path: str, all_path: str) -> None:
     if entries.isEmpty():
         return
     write_entries(entries, path, by="project")
-    entries.select(*FIELDS).write.json(all_path)
+    schema = ", ".join(f"{f} string" for f in FIELDS)
+    entries.sparkSession.read.schema(schema).json(path).write.json(all_path)  # not assembled twice
 
 
 def write_report(report: DataFrame, path: str, tables: dict[str, DataFrame] | None = None) -> None:

@@ -73,8 +73,10 @@ def parsed(spark, folder):
     return analytics.parse_outputs(ents.number_entries(entries).where("dataset = 'gen_a'")).cache()
 
 
-def test_statistics(parsed):
-    prof, counts = analytics.profile(parsed), analytics.identifier_counts(parsed)
+@pytest.mark.parametrize("one_pass", [True, False])
+def test_statistics(parsed, one_pass):
+    two = (analytics.profile(parsed), analytics.identifier_counts(parsed))
+    prof, counts = analytics.summarize(parsed) if one_pass else two
     assert tuple(analytics.basic_stats(prof).first()) == ("gen_a", 7, 4, 3, pytest.approx(400 / 7))
     assert tuple(analytics.class_split(prof).first()) == ("gen_a", 1, 2, 25.0, 50.0)
     assert {(r.n_items, r.n, r.pct) for r in analytics.count_distribution(prof).collect()} == {(4, 1, 50.0), (1, 1, 50.0)}
@@ -89,10 +91,30 @@ def test_statistics(parsed):
     assert members == {("vulnerable", 0), ("secure", 1), ("vulnerable", 2), ("invalid", 3)}
 
 
+def test_top_k_is_limited_before_the_shuffle(parsed):
+    plan = analytics.top_identifiers(analytics.identifier_counts(parsed), 3)._jdf.queryExecution().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_outputs_are_parsed_once(spark):
+    df = spark.createDataFrame([("d", 0, "x")], "dataset string, entry_id long, output string")
+    counts = analytics.identifier_counts(analytics.parse_outputs(df))
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    once = analytics.parse_outputs(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("parseJson") == once.count("parseJson") > 0
+
+
+def test_numbering_after_parsing(spark, folder):
+    entries, _ = ents.read_entries(spark, folder)
+    numbered = ents.number_entries(analytics.parse_outputs(entries), by="dataset")
+    got = {r.entry_id: r.category for r in numbered.where("dataset = 'gen_a'").collect()}
+    assert got == {0: "vulnerable", 1: "secure", 2: "vulnerable", 3: "invalid", 4: None, 5: None, 6: None}
+
+
 def test_report_of_a_dataset_without_valid_outputs(spark):
     rows = [("d" * 30, 0, "x"), ("d" * 30, 1, None)]
     parsed = analytics.parse_outputs(spark.createDataFrame(rows, "dataset string, entry_id long, output string"))
-    row = analytics.report(parsed).first()
+    row = analytics.report(*analytics.summarize(parsed)).first()
     assert (row.total, row.valid, row.secure_pct, row.top_identifiers) == (2, 0, None, None)
     assert tuple(analytics.compare_pct(analytics.profile(parsed)).first()) == ("d" * 18, 0.0, 0.0, 0.0)
 
