@@ -42,7 +42,7 @@ def audit_summary(artifacts: DataFrame) -> DataFrame:
 def select_negative(artifacts: DataFrame, generator: str | None = None) -> DataFrame:
     """Keys of all artefacts of negative samples. With artefacts stored by generator, naming one
     reads only its folder."""
-    found = artifacts.where(has_polarity("negative"))
+    found = artifacts.where(has_polarity("negative") | F.contains("base_filename", F.lit("_negative.")))
     if generator is not None:
         found = found.where(F.col("generator") == generator)
     return found.select(*KEYS)
