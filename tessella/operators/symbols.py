@@ -463,11 +463,11 @@ def sparse(rows: DataFrame) -> Column:
 
 def symbols_json(rows: DataFrame, file: str = "file_id") -> DataFrame:
     """(file, symbols_json): all symbols of a file in source order; ``[]`` when there are none."""
-    item = F.when(F.col("symbolName").isNotNull(), F.struct("pos", "ord", sparse(rows).alias("s")))
+    item = F.when(F.col("symbolName").isNotNull(), F.struct("pos", "ord", F.to_json(sparse(rows)).alias("json")))
     return (
         rows.groupBy(file)
         .agg(F.sort_array(F.collect_list(item)).alias("items"))
-        .select(file, F.to_json(F.col("items.s")).alias("symbols_json"))
+        .select(file, F.concat(F.lit("["), F.array_join("items.json", ","), F.lit("]")).alias("symbols_json"))
     )
 
 
