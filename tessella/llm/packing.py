@@ -6,7 +6,8 @@ holds it. A fixed number of sequences is open; a bitset, keyed by free space, sa
 so the best fit is its lowest bit at or above the length. When all are open and none fits, the fullest is closed.
 
 Packers work side by side, each on a share of the pieces that is dealt out by a hash of the key and is large
-enough that the open sequences it ends with do not count.
+enough that the open sequences it ends with do not count. The order in which a packer gets its pieces is free: they
+come in random blocks of about as many documents as there may be open sequences, the longest of a block first.
 
 Defined cases: a null or empty text is its end id alone; an empty table gives no rows; repeated rows and null ids
 are packed like any others, each row by itself.
@@ -28,7 +29,7 @@ from tessella.llm.tokenization import encoder
 
 LENGTH = 1024
 END_ID = 2
-OPEN_BINS = 512
+OPEN_BINS = 1024
 #: Documents of one packer.
 SHARE = 25_000
 
@@ -129,5 +130,6 @@ def pack(
     keyed = cut(texts, tokenizer, length, end_id)
     dealt = keyed.withColumn("share", F.pmod(F.xxhash64("doc_id", "ids_crc32", "piece"), F.lit(packers)))
     # a fixed order, so that a packer that runs again makes the same sequences
-    order = ["share", F.xxhash64("doc_id", "piece", "ids_crc32"), "doc_id", "piece", "start", "length", "ids_crc32"]
+    block = F.pmod(F.xxhash64("ids_crc32", "doc_id"), F.lit(max(1, share // open_bins)))
+    order = ["share", block, F.desc("length"), "doc_id", "piece", "start", "ids_crc32"]
     return dealt.repartition(packers, "share").sortWithinPartitions(*order).mapInArrow(fit(length, open_bins), PLACES)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import packing, token_counts
-from tessella.llm.tables import public_tokenizer, table
+from tessella.llm import decontamination, language, packing, quality, secrets, substrings, token_counts, toxicity
+from tessella.llm.tables import fold, public_tokenizer, table
 from tessella.session import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -24,9 +24,55 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizer(TOKENIZER))
 
 
+def op2_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", fold("doc_id", 5) == 0)
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    model = quality.fit(docs.filter("NOT held_out").select("doc_id", "text").join(labels, "doc_id"))
+    scores = quality.score(docs, model)
+    return scores.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # ``spark.tessella.secretLedger`` names a ledger that outlives the run
+    ledger = spark.conf.get("spark.tessella.secretLedger", None) or scratch_path(spark, "secret-ledger")
+    found = secrets.scan_versions(table(spark, sf_dir, "documents"), ledger)
+    number = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    listed = secrets.as_text(F.col("spans"))
+    return found.select("doc_id", *[number(r.kind) for r in secrets.RULES], F.sha2(listed.cast("binary"), 256).alias("base_sha256"), listed.alias("spans"))
+
+
+def op4_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    return toxicity.score(docs, toxicity.fit(docs.join(labels, "doc_id")))
+
+
+def op5_language_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", fold("doc_id", 3) == 1)
+    model = language.fit(docs.filter("NOT held_out"))
+    found = language.predict(docs, model)
+    return found.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+def op7_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op10_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.overlaps(docs, table(spark, sf_dir, "benchmark"))
+
+
 REGISTRY = {
     "op1_token_counts": op1_token_counts,
+    "op2_quality_nbsvm": op2_quality_nbsvm,
+    "op3_secret_ledger": op3_secret_ledger,
+    "op4_toxicity_ordinal": op4_toxicity_ordinal,
+    "op5_language_hierarchy": op5_language_hierarchy,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_block_anchors": op7_block_anchors,
+    "op10_spaced_seed_decontamination": op10_spaced_seed_decontamination,
 }
 
 ORACLE: dict[str, str] = {}

@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tessella.session import scratch_path
 
@@ -79,6 +80,14 @@ def pieces(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
         low = high
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """``name``, with underscores before it until no column is called so."""
+    taken = {x.lower() for x in taken}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def per_batch(work: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> Callable:
     """A function for mapInArrow from one that takes a batch."""
 
@@ -90,7 +99,7 @@ def per_batch(work: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> Callab
     return run
 
 
-def map_batches(df: DataFrame, work: Callable, schema: str, rows: int = 1000) -> DataFrame:
+def map_batches(df: DataFrame, work: Callable, schema: str | StructType, rows: int = 1000) -> DataFrame:
     arrow_batches(df.sparkSession, rows)
     return df.mapInArrow(per_batch(work), schema)
 
