@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import decontamination, language, packing, quality, secrets, substrings, token_counts, toxicity
+from tessella.llm import decontamination, language, neardup, packing, quality, secrets, substrings, token_counts, toxicity
 from tessella.llm.tables import fold, public_tokenizer, table
 from tessella.session import scratch_path
 
@@ -59,6 +59,10 @@ def op7_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op8_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(table(spark, sf_dir, "documents"))
+
+
 def op10_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontamination.overlaps(docs, table(spark, sf_dir, "benchmark"))
@@ -72,6 +76,7 @@ REGISTRY = {
     "op5_language_hierarchy": op5_language_hierarchy,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_block_anchors": op7_block_anchors,
+    "op8_weighted_minhash": op8_weighted_minhash,
     "op10_spaced_seed_decontamination": op10_spaced_seed_decontamination,
 }
 
