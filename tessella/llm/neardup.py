@@ -26,7 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessella.llm.components import components
@@ -226,13 +226,18 @@ def cross_pairs(members: DataFrame, plausible: float = PLAUSIBLE, block: int = B
     return dealt.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
+def node_id(doc_id: Column, text: Column) -> Column:
+    """The number of a row's document: its id, or for a null id a negative hash of its text."""
+    return F.coalesce(doc_id.cast("long"), -(F.pmod(F.xxhash64(whole_text(text)), F.lit(1 << 62)) + 1))
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, class_id and kept of each row; class_id is the smallest id of the class."""
+    """doc_id, node, class_id and kept of each row; class_id is the smallest node of the class."""
     spark = docs.sparkSession
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), whole_text(docs[text_col]).alias("text"))
     content = F.unhex(F.sha2(F.col("text").cast("binary"), 256))
-    # a null id stands for its text
-    named = rows.select(F.coalesce("doc_id", -(F.pmod(F.xxhash64("text"), F.lit(1 << 62)) + 1)).alias("doc_id"), content.alias("content"), "text")
+    node = node_id(F.col("doc_id"), F.col("text"))
+    named = rows.select(node.alias("doc_id"), content.alias("content"), "text")
     shared = spark.sparkContext.broadcast(frequencies(rows))
     signed = store(signatures(named, shared), "near-signatures")
 
@@ -254,6 +259,6 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id
     rest = store(cross_pairs(labelled).join(star, ["a", "b"], "left_anti"), "near-rest")
     more = store(similarities(rest, texts, shared).filter(F.col("similarity") >= threshold).select("a", "b"), "near-links")
     final = components(good.union(more).union(same), "near-classes")
-    out = rows.select("doc_id", F.coalesce("doc_id", -(F.pmod(F.xxhash64("text"), F.lit(1 << 62)) + 1)).alias("node"))
+    out = rows.select("doc_id", node.alias("node"))
     out = out.join(final, "node", "left").select("doc_id", "node", F.coalesce("label", "node").alias("class_id"))
-    return out.select("doc_id", "class_id", (F.col("node") == F.col("class_id")).alias("kept"))
+    return out.select("doc_id", "node", "class_id", (F.col("node") == F.col("class_id")).alias("kept"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import decontamination, language, neardup, packing, quality, secrets, substrings, token_counts, toxicity
+from tessella.llm import decontamination, fingerprints, language, neardup, packing, quality, secret_ledger, substrings, token_counts, toxicity
 from tessella.llm.tables import fold, public_tokenizer, table
 from tessella.session import scratch_path
 
@@ -35,10 +35,10 @@ def op2_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     # ``spark.tessella.secretLedger`` names a ledger that outlives the run
     ledger = spark.conf.get("spark.tessella.secretLedger", None) or scratch_path(spark, "secret-ledger")
-    found = secrets.scan_versions(table(spark, sf_dir, "documents"), ledger)
+    found = secret_ledger.scan_versions(table(spark, sf_dir, "documents"), ledger)
     number = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    listed = secrets.as_text(F.col("spans"))
-    return found.select("doc_id", *[number(r.kind) for r in secrets.RULES], F.sha2(listed.cast("binary"), 256).alias("base_sha256"), listed.alias("spans"))
+    listed = secret_ledger.as_text(F.col("spans"))
+    return found.select("doc_id", *[number(r.kind) for r in secret_ledger.RULES], F.sha2(listed.cast("binary"), 256).alias("base_sha256"), listed.alias("spans"))
 
 
 def op4_toxicity_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +60,11 @@ def op7_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.classes(table(spark, sf_dir, "documents"))
+    return neardup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
+
+
+def op9_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.with_neighbours(table(spark, sf_dir, "documents"))
 
 
 def op10_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +81,7 @@ REGISTRY = {
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_block_anchors": op7_block_anchors,
     "op8_weighted_minhash": op8_weighted_minhash,
+    "op9_bottom_k": op9_bottom_k,
     "op10_spaced_seed_decontamination": op10_spaced_seed_decontamination,
 }
 
