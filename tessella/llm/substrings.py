@@ -36,7 +36,7 @@ KEPT = "doc_id long, n_words long, n_removed long, kept string"
 def share_bytes(total: int) -> int:
     """Bytes of text of a batch and of a bucket: more as the input grows, so that the rows between them stay
     long, and at most what a worker holds with ease."""
-    return int(min(128 << 20, max(8 << 20, 300 * math.sqrt(total))))
+    return int(min(64 << 20, max(4 << 20, 150 * math.sqrt(total))))
 
 
 class Batch:
