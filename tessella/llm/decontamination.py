@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessella.functions.text import computed_once
 from tessella.llm.tables import whole_text
 
 #: Positions that count (1) and that are ignored (0). All masks have the same length.
@@ -31,6 +32,12 @@ LEAST_EQUAL = 10
 BROADCAST_SEEDS = 500_000
 
 
+def words_of(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, words) of rows with a ``text``: the hashes of its words. They are computed once per row, out of reach of
+    filters on them, so that all that follows works on an array that is there."""
+    return rows.select(*keys, computed_once(F.struct(word_hashes(whole_text()).alias("words"))))
+
+
 def word_hashes(text: Column) -> Column:
     words = F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+", -1), "")
     return F.transform(words, lambda w: F.xxhash64(w))
@@ -59,14 +66,15 @@ def hits(docs: DataFrame, items: DataFrame, keys: list[str], masks: tuple[str, .
     """(keys, item_id, place, item_place, near, before, item_near, item_before) of equal seeds, for rows
     (keys, text) and items (item_id, text)."""
     span = len(masks[0])
-    theirs = windows(items.select("item_id", word_hashes(whole_text()).alias("words")), ["item_id"], masks)
+    theirs = windows(words_of(items, ["item_id"]), ["item_id"], masks)
     near, before = around(F.col("words"), F.col("place"), span, margin)
     theirs = theirs.select("item_id", F.col("place").alias("item_place"), "seed", near.alias("item_near"), before.alias("item_before"))
-    mine = windows(docs.select(*keys, word_hashes(whole_text()).alias("words")), keys, masks)
+    mine = windows(words_of(docs, keys), keys, masks)
     small = theirs.limit(broadcast_seeds + 1).count() <= broadcast_seeds
     if small:  # the words of a document stay where they are and are cut out for hits alone
         joined = mine.join(F.broadcast(theirs), "seed")
-        return joined.select(*keys, "item_id", "place", "item_place", near.alias("near"), before.alias("before"), "item_near", "item_before")
+        cut_out = F.struct(near.alias("near"), before.alias("before"))
+        return joined.select(*keys, "item_id", "place", "item_place", computed_once(cut_out), "item_near", "item_before")
     mine = mine.select(*keys, "place", "seed", near.alias("near"), before.alias("before"))
     return mine.join(theirs, "seed").drop("seed")
 

@@ -1,0 +1,82 @@
+"""SQL for the queries that SQL can express, in DuckDB's dialect."""
+
+from __future__ import annotations
+
+_ASSIGNED = "[A-Za-z0-9+/_.=-]+"
+_KEYS = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+_PATTERNS = (
+    ("assign", f"({_KEYS})" + r"""["'']?\x20*[:=]\x20*["'']?(""" + _ASSIGNED + ")"),
+    ("access", "AKIA[A-Z0-9]+"),
+    ("hex", "[0-9a-f]+"),
+)
+
+
+def _matches(kind: str, rank: int, pattern: str) -> str:
+    least = {"assign": f"length(regexp_extract(m, '[:=]\\x20*[\"'']?({_ASSIGNED})$', 1)) >= 6", "access": "length(m) >= 20", "hex": "length(m) >= 24"}[kind]
+    return f"""
+    SELECT doc_id, {rank} AS rank, '{kind}' AS kind, b AS start, b + length(m) AS stop FROM (
+      SELECT doc_id, found[i] AS m,
+             list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(found[1:i-1], lambda x: length(x))), 0) AS b
+      FROM (SELECT doc_id, found, gaps, unnest(range(1, len(found) + 1)) AS i FROM (
+        SELECT doc_id, regexp_extract_all(t, '{pattern}') AS found, string_split_regex(t, '{pattern}') AS gaps FROM d)))
+    WHERE {least}"""
+
+
+OP3 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+s AS ({" UNION ALL ".join(_matches(k, r, p) for r, (k, p) in enumerate(_PATTERNS))}),
+g AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+         count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT), ',' ORDER BY start, rank) AS spans
+  FROM s GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (doc_id)"""
+
+OP7 = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50),
+h AS (SELECT doc_id, i, md5(array_to_string(w[i:i+49], ' ')) AS k FROM p),
+f AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY k) AS least FROM h) WHERE least < doc_id),
+r AS (SELECT DISTINCT doc_id, j FROM (SELECT doc_id, unnest(range(i, i + 50)) AS j FROM f)),
+q AS (SELECT doc_id, count(*) AS n, list(j) AS js FROM r GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
+       sha256(array_to_string(CASE WHEN n IS NULL THEN w ELSE (SELECT coalesce(list(w[x] ORDER BY x), []) FROM (
+         SELECT unnest(range(1, len(w) + 1)) AS x) WHERE NOT list_contains(js, x)) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN q USING (doc_id)"""
+
+_SEEDS = ("1101100111", "1110010111", "1011101101")
+
+
+def _seeds(source: str, keys: str) -> str:
+    parts = []
+    for mask in _SEEDS:
+        words = ", ".join(f"w[i+{k}]" for k, bit in enumerate(mask) if bit == "1")
+        parts.append(f"SELECT {keys}, i, w, concat_ws(' ', '{mask}', {words}) AS seed FROM {source}")
+    return " UNION ALL ".join(parts)
+
+
+def _windows(name: str, key: str) -> str:
+    return rf"""SELECT {key}, w, unnest(range(1, len(w) - 8)) AS i FROM (
+      SELECT {key}, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w FROM {name})
+      WHERE len(w) >= 10"""
+
+
+OP10 = f"""
+WITH dw AS ({_windows("documents", "doc_id")}), bw AS ({_windows("benchmark", "item_id")}),
+ds AS ({_seeds("dw", "doc_id")}), bs AS ({_seeds("bw", "item_id")}),
+j AS (
+  SELECT doc_id, item_id, a.i AS place, a.w AS x, b.w AS y, least(least(a.i - 1, 5), least(b.i - 1, 5)) AS back, b.i AS other
+  FROM ds a JOIN bs b USING (seed)),
+c AS (
+  SELECT doc_id, item_id, place, x[place-back : place+14] AS p, y[other-back : other+14] AS q FROM j),
+e AS (
+  SELECT doc_id, item_id, place, least(len(p), len(q)) AS compared,
+         len(list_filter(range(1, least(len(p), len(q)) + 1), lambda k: p[k] = q[k])) AS equal FROM c)
+SELECT doc_id, item_id, CAST(min(place) - 1 AS BIGINT) AS first_word, CAST(max(place) + 9 AS BIGINT) AS end_word,
+       count(*) AS n_hits, max(equal / compared) AS best_share
+FROM e WHERE equal >= least(10, compared) AND equal >= 0.7 * compared GROUP BY doc_id, item_id"""
+
+ORACLE = {"op3_secret_ledger": OP3, "op7_block_anchors": OP7, "op10_spaced_seed_decontamination": OP10}

@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.llm import decontamination, fingerprints, language, neardup, packing, quality, secret_ledger, substrings, token_counts, toxicity
+from tessella.llm.oracle import ORACLE
 from tessella.llm.tables import fold, public_tokenizer, table
 from tessella.session import scratch_path
 
+__all__ = ["ORACLE", "REGISTRY"]
+
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
 
@@ -84,5 +87,3 @@ REGISTRY = {
     "op9_bottom_k": op9_bottom_k,
     "op10_spaced_seed_decontamination": op10_spaced_seed_decontamination,
 }
-
-ORACLE: dict[str, str] = {}
