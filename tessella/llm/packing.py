@@ -126,10 +126,11 @@ def pack(
 ) -> DataFrame:
     """One row per piece of each document, with its sequence and its place there."""
     texts = docs.select(docs[id_col].cast("long").alias("doc_id"), whole_text(docs[text_col]).alias("text"))
-    packers = max(1, math.ceil(docs.select(F.lit(1)).count() / share))
+    number = docs.select(F.lit(1)).count()
+    packers = max(1, math.ceil(number / share))
     keyed = cut(texts, tokenizer, length, end_id)
     dealt = keyed.withColumn("share", F.pmod(F.xxhash64("doc_id", "ids_crc32", "piece"), F.lit(packers)))
     # a fixed order, so that a packer that runs again makes the same sequences
-    block = F.pmod(F.xxhash64("ids_crc32", "doc_id"), F.lit(max(1, share // open_bins)))
+    block = F.pmod(F.xxhash64("ids_crc32", "doc_id"), F.lit(max(1, math.ceil(number / packers / open_bins))))
     order = ["share", block, F.desc("length"), "doc_id", "piece", "start", "ids_crc32"]
     return dealt.repartition(packers, "share").sortWithinPartitions(*order).mapInArrow(fit(length, open_bins), PLACES)
