@@ -18,6 +18,9 @@ MIME_TYPES = {".swift": "text/x-swift", ".json": "application/json"}
 
 FENCE = "```"
 
+# Fixed value: what the folder of a generator is called after its name.
+GENERATOR_ENDING = "_generated"
+
 
 def as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c

@@ -10,10 +10,11 @@ one pass with one shuffle, for results that need the two.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import StructType
 
 from tessella.functions import labels
 from tessella.functions.text import computed_once, let, strip
-from tessella.session import materialize
+from tessella.sources.entries import number_entries
 
 # Reasoning length ranges in characters, bounds included.
 LENGTH_BUCKETS = (
@@ -25,7 +26,8 @@ LENGTH_BUCKETS = (
 )
 
 TOP_IDENTIFIERS = 15
-NAME_WIDTH = 18
+TOP_BUCKETS = 1024
+PLACES = 1 << 31  # more than there are items in a list
 
 
 def _pct(part, whole):
@@ -66,42 +68,60 @@ def profile(parsed: DataFrame) -> DataFrame:
     )
 
 
+def _numbered(parsed: DataFrame) -> DataFrame:
+    """Entries read from files have a struct as id; their narrow rows are numbered first."""
+    struct = isinstance(parsed.schema["entry_id"].dataType, StructType)
+    return number_entries(parsed, by="dataset") if struct else parsed
+
+
+def _place(entry, pos):
+    """Entry and position as one number of fixed width, which a hash aggregate can keep the least of."""
+    return entry.cast("decimal(20,0)") * F.lit(PLACES).cast("decimal(10,0)") + pos.cast("decimal(10,0)")
+
+
+def _seen(place: str):
+    """The entry and position that ``_place`` put together."""
+    entry = F.expr(f"{place} div {PLACES}").cast("bigint")
+    return F.struct(entry.alias("entry_id"), F.expr(f"{place} % {PLACES}").cast("int").alias("pos"))
+
+
 def identifier_counts(parsed: DataFrame) -> DataFrame:
     """(dataset, identifier, n, first_seen): uses of each identifier and its first position."""
     return (
-        parsed.select("dataset", "entry_id", F.posexplode_outer("items").alias("pos", "identifier"))
+        _numbered(parsed)
+        .select("dataset", "entry_id", F.posexplode_outer("items").alias("pos", "identifier"))
         .where(F.col("identifier").isNotNull())
         .groupBy("dataset", "identifier")
-        .agg(F.count("*").alias("n"), F.min(F.struct("entry_id", "pos")).alias("first_seen"))
+        .agg(F.count("*").alias("n"), F.min(_place(F.col("entry_id"), F.col("pos"))).alias("place"))
+        .select("dataset", "identifier", "n", _seen("place").alias("first_seen"))
     )
 
 
 def summarize(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(profile, identifier_counts) of one pass: every entry yields its profile row and one row per
-    identifier, all are counted in one shuffle, and the counts are stored before they are read twice."""
+    identifier, and all are counted in one shuffle, which a query that reads both tables shares."""
     fields = ("valid", "category", "n_items", "reasoning_len")
+    parsed = _numbered(parsed)
     types = dict(parsed.dtypes)
-    seen_type = f"struct<entry_id:{types['entry_id']},pos:int>"
 
-    def row(identifier, seen, *values):
+    def row(identifier, place, *values):
         named = [v.cast(types[f]).alias(f) for f, v in zip(fields, values)]
-        return F.struct(*named, identifier.cast("string").alias("identifier"), seen.cast(seen_type).alias("seen"))
+        return F.struct(*named, identifier.cast("string").alias("identifier"), place.cast("decimal(32,0)").alias("place"))
 
     none = F.lit(None)
     uses = F.filter(
-        F.transform("items", lambda x, i: row(x, F.struct("entry_id", i), none, none, none, none)),
+        F.transform("items", lambda x, i: row(x, _place(F.col("entry_id"), i), none, none, none, none)),
         lambda r: r["identifier"].isNotNull(),
     )
     own = F.array(row(none, none, *[F.col(f) for f in fields]))
     counted = (
         parsed.select("dataset", F.inline(F.concat(own, F.coalesce(uses, F.slice(own, 1, 0)))))
         .groupBy("dataset", *fields, "identifier")
-        .agg(F.count("*").alias("n"), F.min("seen").alias("first_seen"))
+        .agg(F.count("*").alias("n"), F.min("place").alias("place"))
     )
-    stored = materialize(counted, "summary")
     return (
-        stored.where("identifier is null").select("dataset", *fields, "n"),
-        stored.where("identifier is not null").select("dataset", "identifier", "n", "first_seen"),
+        counted.where("identifier is null").select("dataset", *fields, "n"),
+        counted.where("identifier is not null").select("dataset", "identifier", "n", _seen("place").alias("first_seen")),
     )
 
 
@@ -205,12 +225,16 @@ def identifier_totals(counts: DataFrame) -> DataFrame:
 def top_identifiers(counts: DataFrame, k: int = TOP_IDENTIFIERS) -> DataFrame:
     """The k most frequent identifiers per dataset, ties in order of first appearance.
 
-    Spark limits each task to its own k best before the shuffle (window group limit), so no task
-    receives a dataset's whole vocabulary.
+    The vocabulary is cut to the k best of each hash bucket first, whatever k is, so no task receives
+    the whole vocabulary of a dataset.
     """
-    ranking = Window.partitionBy("dataset").orderBy(F.desc("n"), "first_seen")
+    best = (F.desc("n"), F.col("first_seen"))
+    bucket = F.pmod(F.xxhash64("identifier"), F.lit(TOP_BUCKETS))
+    first_cut = counts.withColumn("place", F.row_number().over(Window.partitionBy("dataset", bucket).orderBy(*best)))
     return (
-        counts.withColumn("rank", F.row_number().over(ranking))
+        first_cut.where(F.col("place") <= k)
+        .drop("place")
+        .withColumn("rank", F.row_number().over(Window.partitionBy("dataset").orderBy(*best)))
         .where(F.col("rank") <= k)
         .join(identifier_totals(counts), "dataset")
         .select("dataset", "rank", "identifier", "n", _pct(F.col("n"), F.col("instances")).alias("pct"))
@@ -232,7 +256,7 @@ def compare(prof: DataFrame, counts: DataFrame) -> DataFrame:
         .join(class_split(prof), "dataset")
         .join(identifier_totals(counts), "dataset", "left")
         .select(
-            F.left("dataset", F.lit(NAME_WIDTH)).alias("dataset"),
+            "dataset",
             "total",
             "valid",
             "secure",
@@ -250,7 +274,7 @@ def compare_pct(prof: DataFrame) -> DataFrame:
         basic_stats(prof)
         .join(class_split(prof), "dataset")
         .select(
-            F.left("dataset", F.lit(NAME_WIDTH)).alias("dataset"),
+            "dataset",
             guarded("success_pct"),
             guarded("secure_pct"),
             guarded("vulnerable_pct"),

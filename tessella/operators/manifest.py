@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tessella.functions.text import fill
+from tessella.functions.text import GENERATOR_ENDING, fill
 
 # Category prefix of the second class, task types and polarities.
 NON_SENSITIVE = "NonSensitive_"
@@ -212,6 +212,6 @@ def artifact_paths(samples: DataFrame, root: str = "output", layout: dict = ARTI
     out = samples
     for kind, (folder, ext) in layout.items():
         name = F.concat(F.col("base_filename"), F.lit("." + ext))
-        where = F.concat(F.col("generator"), F.lit("_generated"))
+        where = F.concat(F.col("generator"), F.lit(GENERATOR_ENDING))
         out = out.withColumn(f"{kind}_path", F.concat_ws("/", F.lit(root), F.lit(folder), where, name))
     return out

@@ -3,7 +3,7 @@ training entries. No model is called here; requests are emitted as rows and resp
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tessella.functions import labels
 from tessella.functions.text import as_col, blank, computed_once, fill, non_empty, strip
@@ -95,20 +95,25 @@ def resolve_attempts(attempts: DataFrame) -> DataFrame:
     return attempts.select(*keep, computed_once(labels.resolve_label("raw_response")))
 
 
-def first_success(resolved: DataFrame, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
+def first_success(resolved: DataFrame, max_attempts: int | None = None) -> DataFrame:
     """(request_id, status, attempt, label, method): the first attempt that gave a label, among the
-    first ``max_attempts``. Failed attempts shuffle no text."""
-    ok = F.when((F.col("attempt") <= max_attempts) & F.col("label").isNotNull(), F.col("attempt"))
+    first ``max_attempts`` where that is given. The first attempt is found by numbers alone, then the texts
+    of the winners are joined; no other text is shuffled. Of rows with equal request and attempt one wins."""
+    allowed = F.col("label").isNotNull()
+    if max_attempts is not None:
+        allowed &= F.col("attempt") <= max_attempts
+    flags = resolved.select("request_id", F.when(allowed, F.col("attempt")).alias("attempt"))
+    first = flags.groupBy("request_id").agg(F.min("attempt").alias("attempt"))
+    one = F.row_number().over(Window.partitionBy("request_id", "attempt").orderBy("method", "label"))
+    texts = resolved.where(allowed).select("request_id", "attempt", "label", "method", one.alias("_one")).where("_one = 1").drop("_one")
     return (
-        resolved.select("request_id", ok.alias("attempt"), F.when(ok.isNotNull(), F.struct("label", "method")).alias("won"))
-        .groupBy("request_id")
-        .agg(F.min_by("won", "attempt").alias("won"), F.min("attempt").alias("attempt"))
+        first.join(texts, ["request_id", "attempt"], "left")
         .select(
             "request_id",
             F.when(F.col("attempt").isNull(), "failed").otherwise("ok").alias("status"),
             "attempt",
-            F.col("won.label").alias("label"),
-            F.col("won.method").alias("method"),
+            "label",
+            "method",
         )
     )
 

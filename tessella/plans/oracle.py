@@ -143,11 +143,14 @@ ORACLE["entry_file_round_trip"] = with_fixtures(
         FROM ({_GOOD_LINES}) GROUP BY ALL""",
     "lines",
 )
+_MD5_LINES = f"""(SELECT dataset AS project, md5(rs) AS input_md5, CASE WHEN line_no % 9 <> 6 THEN md5(good) END AS output_md5
+    FROM ({_GOOD_LINES}))"""
 ORACLE["project_file_round_trip"] = with_fixtures(
-    f"""SELECT dataset AS project, count(*) AS n FROM ({_GOOD_LINES}) GROUP BY ALL
-        UNION ALL SELECT 'all', count(*) FROM ({_GOOD_LINES})""",
+    f"""SELECT *, count(*) AS n FROM (SELECT * FROM {_MD5_LINES} UNION ALL SELECT * REPLACE ('all' AS project) FROM {_MD5_LINES})
+        GROUP BY ALL""",
     "lines",
 )
+ORACLE["stored_dataset_stats"] = ORACLE["basic_stats"]
 
 # --- manifest -----------------------------------------------------------------------------------
 
@@ -261,6 +264,11 @@ ORACLE["first_success"] = with_fixtures(
     "responses",
 )
 ORACLE["incremental_labels"] = ORACLE["first_success"]
+ORACLE["incremental_rejects"] = with_fixtures(
+    """SELECT CASE attempt WHEN 1 THEN 'not_json' ELSE 'bad_field' END AS reject, count(*) AS n FROM attempts
+       WHERE error_class IS NOT NULL GROUP BY ALL""",
+    "responses",
+)
 ORACLE["stored_labels"] = with_fixtures(
     f"""SELECT request_id, md5(rs) AS reasoning_md5, CAST(json_array_length(ids) AS BIGINT) AS n_items,
         CAST(length(good) + 9 + CASE json_array_length(ids) WHEN 0 THEN 0 ELSE 5 * json_array_length(ids) + 3 END AS BIGINT) AS n_chars
@@ -316,7 +324,8 @@ ORACLE["pending_labels"] = with_fixtures(
 )
 ORACLE["failure_marks"] = with_fixtures(
     f"""SELECT request_id, CASE WHEN won IS NULL THEN 'failed' ELSE 'ok' END AS status,
-        md5(CASE WHEN won IS NULL THEN '{{"error": "generation_failed"}}' ELSE good END) AS label_md5 FROM {_first(2)}""",
+        md5(CASE WHEN won IS NULL THEN '{{"error": "generation_failed"}}' ELSE good END) AS label_md5 FROM {_first(3)}
+        UNION ALL SELECT DISTINCT -request_id - 1, 'failed', md5('{{"error": "generation_failed"}}') FROM attempts""",
     "responses",
 )
 _JUDGED = """(SELECT *, CASE WHEN doc_id % 11 IN (0, 2) THEN 'label_too_small' WHEN doc_id % 11 = 3 THEN 'label_not_json'
@@ -344,10 +353,11 @@ ORACLE["artifact_keys"] = with_fixtures(
     f"SELECT generator AS folder, base_filename, {_EXT} AS ext, kind, polarity FROM artifacts", "artifacts"
 )
 ORACLE["artifact_file_scan"] = with_fixtures(
-    """SELECT generator, project, kind AS stored_kind, CAST(octet_length(encode(max(content))) + 1 AS BIGINT) AS n_bytes
-       FROM artifacts WHERE kind <> 'prompt' GROUP BY generator, project, kind""",
+    """SELECT generator, project, base_filename, kind AS stored_kind, CAST(octet_length(encode(content)) + 1 AS BIGINT) AS n_bytes,
+       md5(content || chr(10)) AS content_md5 FROM artifacts""",
     "artifacts",
 )
+ORACLE["stored_work_states"] = ORACLE["work_states"]
 ORACLE["artifact_snapshot"] = with_fixtures(
     """SELECT generator, kind, base_filename,
        md5(CASE WHEN kind = 'label' AND generator = 'gen_a' THEN 'new ' || content ELSE content END) AS content_md5 FROM artifacts""",
@@ -454,7 +464,8 @@ _LISTS = f"""(SELECT file_id, '[' || coalesce(string_agg({_ONE_JSON}, ',' ORDER
     FROM fw LEFT JOIN cw USING (file_id) GROUP BY file_id)"""
 ORACLE["symbol_lists"] = with_fixtures(f"SELECT file_id, md5(symbols_json) AS symbols_md5 FROM {_LISTS}", "source_words")
 ORACLE["symbol_failures"] = with_fixtures(
-    f"""SELECT file_id, CASE WHEN file_id % 3 = 0 THEN 'no_symbols' END AS reject,
-        CASE file_id % 3 WHEN 1 THEN 2 WHEN 2 THEN CAST(length(symbols_json) AS BIGINT) END AS n_chars FROM {_LISTS}""",
+    f"""SELECT file_id, NULL AS reject, md5(symbols_json) AS symbols_md5 FROM {_LISTS}
+        UNION ALL SELECT -3 * doc_id - 1, 'no_symbols', NULL FROM documents
+        UNION ALL SELECT -3 * doc_id - 2, NULL, md5('[]') FROM documents""",
     "source_words",
 )

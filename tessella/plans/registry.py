@@ -10,7 +10,7 @@ from tessella.plans import fixtures as fx
 from tessella.session import materialize, prepare, scratch_path
 from tessella.sources import artifacts as arts, entries as ents
 from tessella.sources.catalog import read_catalog
-from tessella.streaming.ingest import ingest_responses, read_resolved
+from tessella.streaming.ingest import ingest_responses, read_rejected, read_resolved
 
 SEED = 7
 GENERATORS = ["gen_a", "gen_b"]
@@ -208,35 +208,59 @@ def entry_file_round_trip(spark, sf_dir):
     """Entries written as JSONL by dataset, then read and parsed as files."""
     path = scratch_path(prepare(spark), "entries")
     ents.write_entries(_stored_entries(spark, sf_dir), path)
-    good, _ = ents.read_entries(spark, f"{path}/*")
-    folder = F.regexp_extract("file", r"dataset=([^/]*)/", 1)
-    return good.groupBy(folder.alias("dataset"), _md5("input", "input_md5"), _md5("output", "output_md5")).agg(
+    good, _ = ents.read_entries(spark, path)
+    return good.groupBy("dataset", _md5("input", "input_md5"), _md5("output", "output_md5")).agg(
         F.count("*").alias("n")
     )
 
 
+@query
+def stored_dataset_stats(spark, sf_dir):
+    """Entries written as JSONL by dataset, then read as files and counted under the names they were read with."""
+    path = scratch_path(prepare(spark), "entries")
+    ents.write_entries(fx.entries(spark, sf_dir).withColumn("instruction", F.lit("find")), path)
+    good, _ = ents.read_entries(spark, path)
+    return analytics.basic_stats(analytics.profile(analytics.parse_outputs(good))).withColumn("success_pct", _r("success_pct"))
+
+
 @query
 def project_file_round_trip(spark, sf_dir):
-    """Entries written per project and all together, counted from the files."""
+    """Entries written per project and all together, compared by the content of the files."""
     path, all_path = scratch_path(prepare(spark), "by_project"), scratch_path(spark, "all")
     ents.write_project_entries(_stored_entries(spark, sf_dir), path, all_path)
     schema = "instruction string, input string, output string"
-    by = spark.read.schema(schema + ", project string").json(path).groupBy("project").agg(F.count("*").alias("n"))
-    everything = spark.read.schema(schema).json(all_path).agg(F.count("*").alias("n"))
-    return by.unionByName(everything.withColumn("project", F.lit("all")))
+    by = spark.read.schema(schema + ", project string").json(path)
+    everything = spark.read.schema(schema).json(all_path).withColumn("project", F.lit("all"))
+    both = by.unionByName(everything)
+    return both.groupBy("project", _md5("input", "input_md5"), _md5("output", "output_md5")).agg(F.count("*").alias("n"))
 
 
-@query
-def incremental_labels(spark, sf_dir):
-    """Responses that arrive in two lots, each taken in once by the same stream."""
+def _arrivals(spark, sf_dir):
+    """(resolved, rejects) of responses that arrive in two lots of lines, some of them cut short or with an id that
+    is text, each taken in once by the same stream."""
     path, target, state = (scratch_path(prepare(spark), n) for n in ("arrived", "resolved", "progress"))
     arrived = fx.responses(spark, sf_dir).drop("variant")
-    for lot in (F.col("attempt") == 1, F.col("attempt") > 1):
-        arrived.where(lot).write.mode("append").json(path)
+    line = F.to_json(F.struct(*arrived.columns))
+    cut = F.expr("left(value, length(value) - 1)")
+    text_id = F.regexp_replace("value", r'"request_id":(\d+)', '"request_id":"$1"')
+    for lot, broken in ((F.col("attempt") == 1, cut), (F.col("attempt") > 1, text_id)):
+        good = arrived.where(lot).select(line.alias("value"))
+        bad = good.where(F.expr("get_json_object(value, '$.error_class') is not null")).select(broken.alias("value"))
+        good.unionByName(bad).write.mode("append").text(path)
         ingest_responses(spark, path, target, state)
-    return responses.first_success(read_resolved(spark, target)).select(
-        "request_id", "status", "attempt", "method", _md5("label", "label_md5")
-    )
+    return target
+
+
+@query
+def incremental_labels(spark, sf_dir):
+    found = responses.first_success(read_resolved(spark, _arrivals(spark, sf_dir)), max_attempts=3)
+    return found.select("request_id", "status", "attempt", "method", _md5("label", "label_md5"))
+
+
+@query
+def incremental_rejects(spark, sf_dir):
+    """Arrived lines that are no attempts, with the reason."""
+    return read_rejected(spark, f"{_arrivals(spark, sf_dir)}-rejects").groupBy("reject").agg(F.count("*").alias("n"))
 
 
 # --- manifest -----------------------------------------------------------------------------------
@@ -513,7 +537,13 @@ def pending_labels(spark, sf_dir):
 
 @query
 def failure_marks(spark, sf_dir):
-    marked = resume.mark_failed(responses.first_success(_resolved(spark, sf_dir), max_attempts=2))
+    # each document has a second request, none of whose attempts gives a label
+    broken = fx.responses(spark, sf_dir).select(
+        (-F.col("request_id") - 1).alias("request_id"), "attempt", "variant",
+        F.expr("case when variant = 6 then '{' else left(raw_response, 5) end").alias("raw_response"), "error_class",
+    )
+    attempts = fx.responses(spark, sf_dir).unionByName(broken)
+    marked = resume.mark_failed(responses.first_success(responses.resolve_attempts(attempts)))
     return marked.select("request_id", "status", _md5("label", "label_md5"))
 
 
@@ -557,25 +587,46 @@ def artifact_keys(spark, sf_dir):
     for suffix, kind in arts.KINDS.items():
         ext = F.when(F.col("kind") == kind, suffix).otherwise(ext)
     path = F.concat(F.lit("/data/v1.2/"), "generator", F.lit("/"), "base_filename", ext)
-    return stored.select(F.inline(F.array(arts.parse_artifact_path(path))))
+    return stored.select(F.inline(F.array(arts.parse_artifact_path(path)))).drop("generator")
+
+
+def _as_files(rows, path):
+    """Every row of (folder, name, content) as one file with a line end behind the content."""
+    rows.write.partitionBy("folder", "name").text(path)
 
 
 @query
 def artifact_file_scan(spark, sf_dir):
-    """Artefacts written as files, found by name pattern in nested folders, counted by key parts."""
+    """All artefacts written as files, found by name pattern in nested folders, with their content."""
     path = scratch_path(prepare(spark), "files")
-    stored = fx.artifacts(spark, sf_dir).where(F.col("kind") != "prompt")
-    per = stored.groupBy("generator", "kind", "project").agg(F.max("content").alias("value"))
-    per.write.partitionBy("generator", "kind", "project").text(path)
+    name = F.concat_ws(".", "base_filename", "kind")
+    _as_files(fx.artifacts(spark, sf_dir).select(F.concat_ws("@", "generator", "project").alias("folder"), name.alias("name"), F.col("content").alias("value")), path)
     found = arts.read_artifacts(spark, path, "part-*.txt")
     return found.select(
-        F.regexp_extract("path", "generator=([^/]*)", 1).alias("generator"),
-        F.regexp_extract("folder", "project=(.*)", 1).alias("project"),
-        F.regexp_extract("path", "kind=([^/]*)", 1).alias("stored_kind"),
-        F.col("n_bytes"),
+        F.regexp_extract("path", "folder=([^/]*)@", 1).alias("generator"),
+        F.regexp_extract("path", "folder=[^/]*@([^/]*)/", 1).alias("project"),
+        F.regexp_extract("path", "name=([^/]*)[.]", 1).alias("base_filename"),
+        F.regexp_extract("path", "name=[^/]*[.]([^/]*)/", 1).alias("stored_kind"),
+        "n_bytes",
+        _md5("content", "content_md5"),
     )
 
 
+@query
+def stored_work_states(spark, sf_dir):
+    """The keys of artefacts laid out at the paths of their samples, found again from these paths alone."""
+    stored = fx.artifacts(spark, sf_dir)
+    paths = manifest.artifact_paths(stored.drop("content"), "/out")
+    by_kind = F.lit(None).cast("string")
+    for kind in manifest.ARTIFACT_LAYOUT:
+        by_kind = F.when(F.col("kind") == kind, F.col(f"{kind}_path")).otherwise(by_kind)
+    laid = paths.select("generator", "base_filename", "kind", by_kind.alias("path"))
+    texts = stored.select("generator", "base_filename", "kind", "content")
+    files = laid.join(texts, ["generator", "base_filename", "kind"]).select(F.inline(F.array(arts.parse_artifact_path("path"))), "content")
+    state = resume.work_state(fx.samples(spark, sf_dir), files, fx.symbol_texts(spark, sf_dir))
+    return state.select("generator", "base_filename", "state")
+
+
 @query
 def artifact_snapshot(spark, sf_dir):
     """A snapshot, updated labels put over it, and what a reader then finds."""
@@ -703,7 +754,9 @@ def symbol_lists(spark, sf_dir):
 
 @query
 def symbol_failures(spark, sf_dir):
-    """Some sources are blank and some declare nothing."""
-    shaped = F.when(F.col("file_id") % 3 == 0, F.lit(" \n\t")).when(F.col("file_id") % 3 == 1, F.regexp_replace("code", "(?s)@objc.*", ""))
-    found = symbols.symbols_or_null(fx.sources(spark, sf_dir).withColumn("code", F.coalesce(shaped, "code")))
-    return found.select("file_id", "reject", F.length("symbols_json").cast("bigint").alias("n_chars"))
+    """All sources, and for each of them a blank one and one that declares nothing."""
+    src = fx.sources(spark, sf_dir)
+    blank = src.select((-3 * F.col("file_id") - 1).alias("file_id"), F.lit(" \n\t").alias("code"))
+    bare = src.select((-3 * F.col("file_id") - 2).alias("file_id"), F.regexp_extract("code", "^[^@]*", 0).alias("code"))
+    found = symbols.symbols_or_null(src.unionByName(blank).unionByName(bare))
+    return found.select("file_id", "reject", _md5("symbols_json", "symbols_md5"))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tessella.functions.text import as_col, base_name, split_ext
+from tessella.functions.text import GENERATOR_ENDING, as_col, base_name, split_ext
 
 # File extension -> artefact kind.
 KINDS = {".swift": "code", ".json": "label", ".txt": "prompt"}
@@ -13,38 +13,43 @@ KEYS = ("generator", "base_filename", "kind")
 
 
 def parse_artifact_path(path: Column | str) -> Column:
-    """``struct(folder, base_filename, ext, kind, polarity)``. ``folder`` is the last folder of the
-    path: the generator's or the project's."""
+    """``struct(folder, base_filename, ext, kind, polarity, generator)``. ``folder`` is the last folder of
+    the path: the generator's or the project's; ``generator`` is its name without the ending that
+    ``manifest.artifact_paths`` gives it."""
     p = as_col(path)
     parts = split_ext(base_name(p))
     kind = F.lit(None).cast("string")
     for ext, name in KINDS.items():
         kind = F.when(parts["ext"] == ext, name).otherwise(kind)
+    folder = F.regexp_extract(p, r"([^/]*)/[^/]*\z", 1)
     return F.struct(
-        F.regexp_extract(p, r"([^/]*)/[^/]*\z", 1).alias("folder"),
+        folder.alias("folder"),
         parts["stem"].alias("base_filename"),
         parts["ext"].alias("ext"),
         kind.alias("kind"),
         F.nullif(F.regexp_extract(parts["stem"], r"_(positive|negative)\z", 1), F.lit("")).alias("polarity"),
+        F.regexp_replace(folder, f"{GENERATOR_ENDING}\\z", "").alias("generator"),
     )
 
 
 def read_artifacts(spark: SparkSession, root: str, glob: str = "*", recursive: bool = True) -> DataFrame:
-    """(folder, base_filename, ext, kind, polarity, content, n_bytes, path), one row per file whose
-    name matches; content that is not UTF-8 is null, and files without bytes give no row. Many small files are packed into few tasks; compact them with
-    ``write_snapshot`` before reading them more than once."""
+    """(folder, base_filename, ext, kind, polarity, generator, content, n_bytes, path), one row per file whose
+    name matches; content that is not UTF-8 is null, that of a file without bytes is empty. Many small files
+    are packed into few tasks; compact them with ``write_snapshot`` before reading them more than once."""
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", recursive)
         .load(root)
     )
-    return files.select(
-        F.inline(F.array(parse_artifact_path("path"))),
-        F.try_validate_utf8(F.col("content").cast("string")).alias("content"),
-        F.col("length").alias("n_bytes"),
-        "path",
-    )
+    # Spark lists files without bytes but reads none of them; a listed path is escaped, a read one is not
+    listed = spark.createDataFrame([(f,) for f in files.inputFiles()], "path string")
+    plain = F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))
+    bare = lambda c: F.regexp_replace(c, r"^(\w+:)/+", "$1/")
+    empty = listed.select(bare(plain).alias("path")).join(files.select(bare(F.col("path")).alias("path")), "path", "left_anti")
+    found = files.select("path", F.try_validate_utf8(F.col("content").cast("string")).alias("content"), F.col("length").alias("n_bytes"))
+    found = found.unionByName(empty.select("path", F.lit("").alias("content"), F.lit(0).cast("bigint").alias("n_bytes")))
+    return found.select(F.inline(F.array(parse_artifact_path("path"))), "content", "n_bytes", "path")
 
 
 def projects(artifacts: DataFrame) -> DataFrame:
@@ -58,16 +63,29 @@ def order_projects(df: DataFrame, priority: list[str] = ()) -> DataFrame:
     return ranked.orderBy(F.asc_nulls_last("priority"), "project")
 
 
-def discover_sources(artifacts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(code artefacts, code files per project). Projects without code count zero."""
+def discover_sources(artifacts: DataFrame, known: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(code artefacts, code files per project). Projects without code count zero, and so do those of
+    ``known`` (project) without any artefact."""
     code = F.col("kind") == "code"
     tasks = artifacts.where(code).select("project", "base_filename")
-    return tasks, artifacts.groupBy("project").agg(F.count_if(code).alias("n_code"))
-
-
-def upsert(existing: DataFrame, updates: DataFrame, keys=KEYS) -> DataFrame:
-    """Updates replace existing artefacts of the same key."""
-    return existing.join(updates.select(*keys), list(keys), "left_anti").unionByName(updates)
+    flags = artifacts.select("project", code.alias("is_code"))
+    if known is not None:
+        flags = flags.unionByName(known.select("project", F.lit(False).alias("is_code")))
+    return tasks, flags.groupBy("project").agg(F.count_if("is_code").alias("n_code"))
+
+
+def upsert(existing: DataFrame, updates: DataFrame, keys=KEYS, order: str | None = None) -> DataFrame:
+    """Updates replace existing artefacts of the same key. Of several updates of one key the last by the
+    column ``order`` counts; without an order they are an error."""
+    keys = list(keys)
+    if order is None:
+        number = updates.groupBy(*keys).agg(F.count("*").alias("_n"))
+        single = F.assert_true(F.col("_n") == 1, F.lit("several updates of one key; name a column to order them by"))
+        updates = updates.join(number, keys).where(single.isNull()).select(*updates.columns)
+    else:
+        last = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(order)))
+        updates = updates.withColumn("_last", last).where("_last = 1").drop("_last")
+    return existing.join(updates.select(*keys), keys, "left_anti").unionByName(updates.select(*existing.columns))
 
 
 def write_snapshot(artifacts: DataFrame, path: str) -> None:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tessella.functions.labels import strict_variant
 from tessella.functions.text import base_name, computed_once, let, split_ext, strip
+from tessella.session import prepare
 
 FIELDS = ("instruction", "input", "output")
 
@@ -45,11 +46,16 @@ def split_lines(parsed: DataFrame, line: str = "line") -> tuple[DataFrame, DataF
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(dataset, file, block, row, line): (block, row) ascends in file order.
 
-    ``block`` is the byte offset of the input split and ``row`` ascends within a split, so lines
+    The dataset is the ``dataset=`` folder that the file lies in, as ``write_entries`` lays them out, else the
+    file's stem. ``block`` is the byte offset of the input split and ``row`` ascends within a split, so lines
     are ordered without a sort or a shuffle.
     """
-    return spark.read.text(path).select(
-        split_ext(base_name("_metadata.file_path"))["stem"].alias("dataset"),
+    folder = F.nullif(F.regexp_extract("_metadata.file_path", r"/dataset=([^/]+)/[^/]*\z", 1), F.lit(""))
+    # the folder's name is escaped, and so is the path as a whole; a plus sign stands for itself
+    decode = lambda c: F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)
+    name = decode(decode(folder))
+    return spark.read.text(path, recursiveFileLookup=True).select(
+        F.coalesce(name, split_ext(base_name("_metadata.file_path"))["stem"]).alias("dataset"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
@@ -58,11 +64,11 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_entries(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(entries, rejects) of a JSONL file or folder. ``entry_id`` is ``struct(block, row)``: it
-    orders the entries of a file; ``number_entries`` turns it into a contiguous index."""
-    parsed = parse_lines(read_lines(spark, path))
+    """(entries, rejects) of a JSONL file or folder. ``entry_id`` is ``struct(file, block, row)``: it
+    orders the entries of a dataset; ``number_entries`` turns it into a contiguous index."""
+    parsed = parse_lines(read_lines(prepare(spark), path))
     return tuple(
-        df.withColumn("entry_id", F.struct("block", "row")).drop("block", "row") for df in split_lines(parsed)
+        df.withColumn("entry_id", F.struct("file", "block", "row")).drop("block", "row") for df in split_lines(parsed)
     )
 
 
@@ -72,27 +78,26 @@ def reject_sample(rejects: DataFrame, n: int = 5) -> DataFrame:
 
 
 def number_entries(entries: DataFrame, by: str = "file") -> DataFrame:
-    """Replace ``entry_id`` by the entry's 0-based position in its file.
+    """Replace ``entry_id`` by the entry's 0-based position in its file or dataset.
 
     Entries are ranked within their input split, and splits are offset by the running count of
     one row per split, so no task holds a whole file. Number the narrow rows of ``parse_outputs``
-    (``by="dataset"``, one file each) rather than whole entries, and no text is shuffled.
+    (``by="dataset"``) rather than whole entries, and no text is shuffled.
     """
-    split = Window.partitionBy(by, "entry_id.block").orderBy("entry_id.row")
+    # of its own names, so that entries may have columns called alike
+    splits = [F.col(f"entry_id.{x}").alias(f"_{x}") for x in ("file", "block")]
     offsets = (
-        entries.groupBy(by, F.col("entry_id.block").alias("block"))
-        .agg(F.count("*").alias("n"))
-        .select(
-            by,
-            "block",
-            (F.sum("n").over(Window.partitionBy(by).orderBy("block")) - F.col("n")).alias("before"),
-        )
+        entries.groupBy(by, *splits)
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_before", F.sum("_n").over(Window.partitionBy(by).orderBy("_file", "_block")) - F.col("_n"))
+        .drop("_n")
     )
-    ranked = entries.withColumn("rank", F.row_number().over(split) - 1).withColumn("block", F.col("entry_id.block"))
+    split = Window.partitionBy(by, "_file", "_block").orderBy("entry_id.row")
+    ranked = entries.select("*", *splits).withColumn("_rank", F.row_number().over(split) - 1)
     return (
-        ranked.join(offsets, [by, "block"])
-        .withColumn("entry_id", (F.col("before") + F.col("rank")).cast("bigint"))
-        .drop("block", "before", "rank")
+        ranked.join(offsets, [by, "_file", "_block"])
+        .withColumn("entry_id", (F.col("_before") + F.col("_rank")).cast("bigint"))
+        .select(*entries.columns)
     )
 
 
@@ -127,12 +132,10 @@ def write_entries(entries: DataFrame, path: str, by: str = "dataset", max_rows_p
 
 
 def write_project_entries(entries: DataFrame, path: str, all_path: str) -> None:
-    """One folder per project and one with all entries; nothing is written for an empty input."""
-    if entries.isEmpty():
-        return
+    """One folder per project and one with all entries; an empty input leaves empty folders."""
     write_entries(entries, path, by="project")
     schema = ", ".join(f"{f} string" for f in FIELDS)
-    entries.sparkSession.read.schema(schema).json(path).write.json(all_path)  # not assembled twice
+    entries.sparkSession.read.schema(schema).json(path).select(*FIELDS).write.json(all_path)  # not assembled twice
 
 
 def write_report(report: DataFrame, path: str, tables: dict[str, DataFrame] | None = None) -> None:

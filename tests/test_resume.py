@@ -202,10 +202,10 @@ def test_artifact_files(spark, tmp_path):
     one = rows["gen_a", "x_positive", ".swift"]
     assert (one.kind, one.polarity, one.content, one.n_bytes) == ("code", "positive", "let é = 1\n", 11)
     assert rows["deep", "y_negative", ".txt"].polarity == "negative"
-    assert ("gen_b", "z.v2", ".swift") not in rows  # Spark reads no files without bytes
+    assert (rows["gen_b", "z.v2", ".swift"].content, rows["gen_b", "z.v2", ".swift"].n_bytes) == ("", 0)
     assert rows["gen_b", "w.v2", ".swift"].polarity is None and rows["gen_b", "skip", ".md"].kind is None
     assert A.read_artifacts(spark, str(tmp_path), "*_negative.*").count() == 1
-    assert A.read_artifacts(spark, str(tmp_path / "gen_b"), recursive=False).count() == 2
+    assert A.read_artifacts(spark, str(tmp_path / "gen_b"), recursive=False).count() == 3
 
 
 def test_snapshot_replaces_only_touched_partitions(spark, tmp_path):
