@@ -32,6 +32,12 @@ def _at(v: Column, path: str, kind: str = "variant") -> Column:
     return F.try_variant_get(v, path, kind)
 
 
+def _parse(text: Column) -> Column:
+    """The text as variant, null if it is no JSON, without the parser's usual limit of a string's length."""
+    options = {"maxStringLen": str(2**31 - 1), "allowSingleQuotes": "false", "allowNonNumericNumbers": "false", "mode": "PERMISSIVE"}
+    return F.from_json(text, "variant", options)
+
+
 def strict_variant(c: Column | str) -> Column:
     """The text wrapped as variant ``[value, ...]``, or null unless it is exactly one JSON value.
 
@@ -44,15 +50,15 @@ def strict_variant(c: Column | str) -> Column:
 
     def check(j):
         marked = let(
-            F.try_parse_json(F.concat(F.lit("["), j, F.lit(f",{_END}]"))),
+            _parse(F.concat(F.lit("["), j, F.lit(f",{_END}]"))),
             lambda v: F.when((_at(v, "$[1]", "bigint") == int(_END)) & _at(v, "$[2]").isNull(), v),
         )
         twice = let(
-            F.try_parse_json(F.concat(F.lit("["), j, F.lit("]"))),
+            _parse(F.concat(F.lit("["), j, F.lit("]"))),
             lambda v: F.when(
                 _at(v, "$[0]").isNotNull()
                 & _at(v, "$[1]").isNull()
-                & F.try_parse_json(F.concat(F.lit('{"v":'), j, F.lit("}"))).isNotNull(),
+                & _parse(F.concat(F.lit('{"v":'), j, F.lit("}"))).isNotNull(),
                 v,
             ),
         )

@@ -437,7 +437,7 @@ def label_resolution(spark, sf_dir):
 
 @query
 def first_success(spark, sf_dir):
-    return responses.first_success(_resolved(spark, sf_dir)).select(
+    return responses.first_success(_resolved(spark, sf_dir), max_attempts=3).select(
         "request_id", "status", "attempt", "method", _md5("label", "label_md5")
     )
 
@@ -445,7 +445,7 @@ def first_success(spark, sf_dir):
 @query
 def stored_labels(spark, sf_dir):
     """Winning labels as they are stored, by their size and the parts read back from them."""
-    done = responses.render_labels(responses.first_success(_resolved(spark, sf_dir)))
+    done = responses.render_labels(responses.first_success(_resolved(spark, sf_dir), max_attempts=3))
     v = labels.strict_variant("label")
     return done.where(F.col("status") == "ok").select(
         "request_id",

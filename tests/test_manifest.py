@@ -96,3 +96,24 @@ def test_prompts(catalog):
     assert got["Mixed_Input_B_1_positive"].startswith("pos {} p1~n")
     paths = M.artifact_paths(samples, "out").where("base_filename = 'Input_B_1_negative' and generator = 'g2'").first()
     assert paths.label_path == "out/outputs/g2_generated/Input_B_1_negative.json"
+
+
+def test_catalog_files_are_strict(spark, tmp_path):
+    from tessella.sources.catalog import read_catalog
+
+    (tmp_path / "good.json").write_text('{"A_x": ["1"], "B_y": ["2"], "A_x": ["3", "4"]}')
+    got = [(r.category, r.idx, r.text) for r in read_catalog(spark, str(tmp_path)).orderBy("cat_pos", "idx").collect()]
+    assert got == [("A_x", 1, "3"), ("A_x", 2, "4"), ("B_y", 1, "2")]
+    for i, text in enumerate(["{'A': ['1']}", '{"A": ["1"]} x', "[1]x"]):
+        (tmp_path / f"bad{i}").mkdir()
+        (tmp_path / f"bad{i}" / "c.json").write_text(text)
+        with pytest.raises(Exception, match="strict JSON"):
+            read_catalog(spark, str(tmp_path / f"bad{i}")).collect()
+
+
+def test_paths_give_back_their_generator(spark):
+    from tessella.sources.artifacts import parse_artifact_path
+
+    samples = spark.createDataFrame([("gen_a", "x_positive")], "generator string, base_filename string")
+    found = M.artifact_paths(samples).select(parse_artifact_path("label_path").alias("p")).first().p
+    assert (found.generator, found.base_filename, found.kind) == ("gen_a", "x_positive", "label")

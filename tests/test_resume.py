@@ -21,7 +21,7 @@ def test_first_success_takes_the_earliest(spark):
         (3, 3, f"x {GOOD}", None),
     ]
     attempts = spark.createDataFrame(rows, "request_id int, attempt int, raw_response string, error_class string")
-    got = {r.request_id: (r.status, r.attempt, r.method) for r in R.first_success(R.resolve_attempts(attempts)).collect()}
+    got = {r.request_id: (r.status, r.attempt, r.method) for r in R.first_success(R.resolve_attempts(attempts), max_attempts=3).collect()}
     assert got == {1: ("ok", 2, "balanced"), 2: ("failed", None, None), 3: ("ok", 3, "slice")}
 
 
@@ -224,3 +224,27 @@ def test_project_order_and_discovery(spark):
     assert [r.project for r in A.order_projects(A.projects(artifacts)).collect()] == ["a", "b", "c", "z"]
     _, counts = A.discover_sources(artifacts)
     assert {r.project: r.n_code for r in counts.collect()} == {"a": 0, "b": 1, "c": 0, "z": 2}
+
+
+def test_updates_of_one_key(spark):
+    base = _art(spark, [("a", "code", "old"), ("b", "code", "kept")])
+    twice = _art(spark, [("a", "code", "1"), ("a", "code", "2")])
+    with pytest.raises(Exception, match="several updates"):
+        A.upsert(base, twice).collect()
+    ordered = twice.withColumn("at", F.col("content").cast("int"))
+    assert sorted(r.content for r in A.upsert(base, ordered, order="at").collect()) == ["2", "kept"]
+    assert sorted(r.content for r in A.upsert(base, twice.where("content = '1'")).collect()) == ["1", "kept"]
+
+
+def test_all_attempts_count_unless_limited(spark):
+    attempts = spark.createDataFrame([(1, 4, GOOD, None), (1, 4, GOOD, None), (1, 1, "x", None)], "request_id int, attempt int, raw_response string, error_class string")
+    resolved = R.resolve_attempts(attempts)
+    assert [(r.status, r.attempt) for r in R.first_success(resolved).collect()] == [("ok", 4)]
+    assert [r.status for r in R.first_success(resolved, max_attempts=3).collect()] == ["failed"]
+    assert "SortAggregate" not in R.first_success(resolved)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_known_projects_count_zero(spark):
+    artifacts = spark.createDataFrame([("a", "x", "code")], "project string, base_filename string, kind string")
+    _, counts = A.discover_sources(artifacts, spark.createDataFrame([("a",), ("empty",)], "project string"))
+    assert {r.project: r.n_code for r in counts.collect()} == {"a": 1, "empty": 0}
