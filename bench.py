@@ -1,6 +1,8 @@
-"""Time the headline queries and print one JSON line.
+"""Time the headline queries, cold and warm, and print one JSON line.
 
-BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
+BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8). The documents are first dealt into as many files as
+there are cores, as a large table has many; that is not timed. ``queries`` holds the first runs, ``warm`` the second ones
+and ``rows_per_sec`` the documents taken in a second of the warm run.
 """
 
 from __future__ import annotations
@@ -30,6 +32,19 @@ HEADLINE = (
     "pruned_snapshot",
     "symbol_lists",
 )
+#: A second run of a query that took longer than this tells nothing new.
+WARM_LIMIT_S = 40
+
+
+def dealt(spark, sf_dir: str, parts: int) -> str:
+    """A folder with the tables, the documents in ``parts`` files."""
+    from tessella.session import scratch_path
+
+    folder = scratch_path(spark, "bench")
+    for name in ("documents", "part", "labels", "conversations", "pages", "nation", "events"):
+        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        (df.repartition(parts) if name == "documents" else df).write.parquet(f"{folder}/{name}.parquet")
+    return folder
 
 
 def main() -> None:
@@ -47,21 +62,30 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     names = sys.argv[1:] or HEADLINE
-    REGISTRY["dataset_totals"](spark, sf_dir).collect()  # start the engine before timing
-    times = {}
-    for name in names:
+    folder = dealt(spark, sf_dir, int(cpus) * 2)
+    rows = spark.read.parquet(f"{folder}/documents.parquet").count()
+    REGISTRY["dataset_totals"](spark, folder).collect()  # start the engine before timing
+
+    def timed(name: str) -> float:
         start = time.perf_counter()
-        REGISTRY[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - start, 3)
-        print(name, times[name], file=sys.stderr, flush=True)
+        REGISTRY[name](spark, folder).write.format("noop").mode("overwrite").save()
+        return round(time.perf_counter() - start, 3)
+
+    cold, warm = {}, {}
+    for name in names:
+        cold[name] = timed(name)
+        warm[name] = timed(name) if cold[name] < WARM_LIMIT_S else cold[name]
+        print(name, cold[name], warm[name], file=sys.stderr, flush=True)
     spark.stop()
     print(
         json.dumps(
             {
                 "metric": "headline_total",
-                "value": round(sum(times.values()), 3),
+                "value": round(sum(cold.values()), 3),
                 "unit": "sec",
-                "queries": times,
+                "queries": cold,
+                "warm": warm,
+                "rows_per_sec": {n: round(rows / t) for n, t in warm.items()},
                 "sf": Path(sf_dir).name.removeprefix("sf"),
             }
         )

@@ -20,20 +20,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents, spread over the cluster when they come in fewer splits than it has cores. A
-    table of many files never is."""
-    df = table(spark, sf_dir, "documents")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return table(spark, sf_dir, "documents")
 
 
 def _label_parts(docs: DataFrame) -> DataFrame:
     """Adds ``words``, ``rs`` (reasoning text), ``ids`` (JSON list) and ``good`` (a full label)."""
     k = (F.col("doc_id") % 5).cast("int")
     return (
-        docs.withColumn("words", F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0)))
-        .withColumn("rs", F.regexp_replace("text", "[^A-Za-z ]", " "))
-        .withColumn("idl", F.filter("words", lambda w: (k > 0) & (F.length(w) == k + 8)))
+        docs.withColumn("words", F.regexp_extract_all("text", F.lit(r"\p{L}+"), F.lit(0)))
+        .withColumn("rs", F.regexp_replace("text", r"[^\p{L} ]", " "))
+        .withColumn("idl", F.filter("words", lambda w: (k > 0) & (F.length(w) >= k + 4)))
         .withColumn(
             "ids",
             F.when(F.size("idl") == 0, "[]").otherwise(
@@ -228,7 +224,7 @@ def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         runs = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))
         return F.when(n == 0, F.lit("")).otherwise(F.array_join(F.transform(runs, decl), ""))
 
-    words = F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))
+    words = F.regexp_extract_all("text", F.lit(r"\p{L}+"), F.lit(0))
     return documents(spark, sf_dir).select(
         F.col("doc_id").alias("file_id"),
         F.concat(F.lit("import Foundation\n"), let(words, build)).alias("code"),
@@ -237,9 +233,9 @@ def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 FIXTURE_SQL = {
     "parts": r"""
-        w AS (SELECT *, regexp_extract_all(text, '[A-Za-z]+') AS words,
-                     regexp_replace(text, '[^A-Za-z ]', ' ', 'g') AS rs, doc_id % 5 AS k FROM documents),
-        i AS (SELECT *, [x FOR x IN words IF k > 0 AND length(x) = k + 8] AS idl FROM w),
+        w AS (SELECT *, regexp_extract_all(text, '\p{L}+') AS words,
+                     regexp_replace(text, '[^\p{L} ]', ' ', 'g') AS rs, doc_id % 5 AS k FROM documents),
+        i AS (SELECT *, [x FOR x IN words IF k > 0 AND length(x) >= k + 4] AS idl FROM w),
         j AS (SELECT *, CASE WHEN len(idl) = 0 THEN '[]'
                              ELSE '["' || array_to_string(idl, '","') || '"]' END AS ids FROM i),
         parts AS (SELECT *, '{"reasoning":"' || rs || '","identifiers":' || ids || '}' AS good FROM j)""",
@@ -327,7 +323,7 @@ FIXTURE_SQL = {
             UNION ALL SELECT filename, task_type, id1, text1, text2 FROM pair_tasks
             UNION ALL SELECT filename, task_type, id1, text1, text2 FROM mixed_tasks)""",
     "source_words": r"""
-        fw AS (SELECT doc_id AS file_id, regexp_extract_all(text, '[A-Za-z]+') AS words FROM documents),
+        fw AS (SELECT doc_id AS file_id, regexp_extract_all(text, '\p{L}+') AS words FROM documents),
         chunks AS (SELECT file_id, words, unnest(range(0, CAST(ceil(len(words) / 7.0) AS BIGINT))) AS c FROM fw),
         cw AS (SELECT file_id, c,
             coalesce(words[c * 7 + 1], 'pad') AS w1, coalesce(words[c * 7 + 2], 'pad') AS w2,
