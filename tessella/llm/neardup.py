@@ -7,9 +7,10 @@ agree in all samples of a band are candidates, and candidates are linked if thei
 computed from the whole texts, is at least ``THRESHOLD``. Classes are the connected components of the links.
 
 No bucket is expanded into all its pairs. Equal texts are one node. In each bucket all nodes are first compared to its
-smallest one; after that only pairs of nodes with different classes so far are left to look at. Those are
-enumerated in blocks of at most ``BLOCK`` x ``BLOCK``, each its own group, and only pairs whose samples make a link
-plausible are verified.
+smallest one; after that only pairs of nodes with different classes so far are left to look at. Their samples are
+compared in blocks of at most ``BLOCK`` x ``BLOCK``, each its own group, in the first band that a pair shares. Pairs whose
+samples make a link plausible are verified in units: the pairs between two sets of nodes, packed, meet the texts of
+these nodes, so a dense group of very many near texts moves each text a few times and never a row for each pair.
 
 Document frequencies are counted for ``2**DF_BITS`` hashed groups of shingles, a table of fixed size that goes to
 all workers: idf = 1 + ln((N + 1) / (df + 1)) / ln(N + 1), from 1 (in every text) to 2. Groups only raise a frequency.
@@ -20,6 +21,7 @@ their classes are one; null ids with equal texts are one document, numbered by a
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,8 +40,10 @@ THRESHOLD = 0.8
 BANDS, ROWS = 15, 3
 DF_BITS = 18
 BLOCK = 1024
+#: Nodes of one of the sets that a unit of pairs lies between.
+UNIT = 2048
 #: Share of equal samples from which a pair is verified; a pair at the threshold falls below it about once in 10**5.
-PLAUSIBLE = 0.5
+PLAUSIBLE = 0.55
 
 _STEPS = 4096
 
@@ -159,16 +163,29 @@ def signatures(docs: DataFrame, shared) -> DataFrame:
     return map_batches(docs, work, "doc_id long, content binary, bands array<long>, samples binary")
 
 
+def weighted(text: str, table: Frequencies) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of a text, in order, and their weights."""
+    found = list(shingles(pa.array([text])))
+    if not found or not len(found[0][3]):
+        return np.zeros(0, np.uint64), np.zeros(0)
+    _, _, _, hashes, times = found[0]
+    return hashes, times * table.idf(hashes)
+
+
+def jaccard(one: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.ndarray]) -> float:
+    """Weighted Jaccard similarity of two sets of shingles."""
+    (ha, wa), (hb, wb) = one, other
+    if not len(ha) or not len(hb):
+        return 0.0
+    at = np.minimum(np.searchsorted(ha, hb), len(ha) - 1)
+    same = ha[at] == hb
+    both = np.minimum(wa[at[same]], wb[same]).sum()
+    return float(both / (wa.sum() + wb.sum() - both))
+
+
 def similarities(pairs: DataFrame, texts: DataFrame, shared) -> DataFrame:
     """(a, b, similarity) of pairs (a, b) of nodes with their rows (node, text)."""
 
-    def weights(text: str) -> tuple[np.ndarray, np.ndarray]:
-        found = list(shingles(pa.array([text])))
-        if not found or not len(found[0][3]):
-            return np.zeros(0, np.uint64), np.zeros(0)
-        _, _, _, hashes, times = found[0]
-        return hashes, times * shared.value.idf(hashes)
-
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         known: dict[str, tuple] = {}
         left, right, out = batch.column(2).to_pylist(), batch.column(3).to_pylist(), []
@@ -176,12 +193,8 @@ def similarities(pairs: DataFrame, texts: DataFrame, shared) -> DataFrame:
             if one not in known:
                 if len(known) > 64:
                     known.clear()
-                known[one] = weights(one)
-            (ha, wa), (hb, wb) = known[one], weights(other)
-            _, ia, ib = np.intersect1d(ha, hb, assume_unique=True, return_indices=True)
-            both = np.minimum(wa[ia], wb[ib]).sum()
-            all_ = wa.sum() + wb.sum() - both
-            out.append(float(both / all_) if all_ > 0 else 0.0)
+                known[one] = weighted(one, shared.value)
+            out.append(jaccard(known[one], weighted(other, shared.value)))
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.float64())], ["a", "b", "similarity"])
 
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
@@ -190,9 +203,29 @@ def similarities(pairs: DataFrame, texts: DataFrame, shared) -> DataFrame:
     return map_batches(joined, work, "a long, b long, similarity double", rows=500)
 
 
-def cross_pairs(members: DataFrame, plausible: float = PLAUSIBLE, block: int = BLOCK) -> DataFrame:
-    """Pairs (a, b) of nodes in one bucket whose labels differ and whose samples make a link plausible, for rows
-    (key, node, label, samples).
+def packed_links(packed: DataFrame, texts: DataFrame, shared, threshold: float) -> DataFrame:
+    """The links (a, b) among the pairs of rows (i, j, pairs), each row holding pairs of one unit (i, j)."""
+
+    def nodes(table: pa.Table) -> pa.Table:
+        found = np.unique(np.frombuffer(b"".join(table["pairs"].to_pylist()), "<i8"))
+        unit = {n: pa.array(np.full(len(found), table[n][0].as_py()), pa.int64()) for n in ("i", "j")}
+        return pa.table({**unit, "node": pa.array(found, pa.int64())})
+
+    def verify(pairs: pa.Table, own: pa.Table) -> pa.Table:
+        known = {n: weighted(t, shared.value) for n, t in zip(own["node"].to_pylist(), own["text"].to_pylist(), strict=True)}
+        each = np.frombuffer(b"".join(pairs["pairs"].to_pylist()), "<i8").reshape(-1, 2)
+        good = [(a, b) for a, b in each.tolist() if jaccard(known[a], known[b]) >= threshold]
+        return pa.table({"a": pa.array([a for a, _ in good], pa.int64()), "b": pa.array([b for _, b in good], pa.int64())})
+
+    asked = packed.groupBy("i", "j").applyInArrow(nodes, "i long, j long, node long")
+    own = asked.join(texts, "node").select("i", "j", "node", "text")
+    return packed.groupBy("i", "j").cogroup(own.groupBy("i", "j")).applyInArrow(verify, "a long, b long")
+
+
+def cross_pairs(members: DataFrame, sets: int, plausible: float = PLAUSIBLE, block: int = BLOCK) -> DataFrame:
+    """Rows (i, j, pairs): the pairs of nodes in one bucket whose labels differ and whose samples make a link
+    plausible, packed by the two of ``sets`` sets of nodes that they lie between; for rows
+    (key, band, node, label, samples).
 
     The nodes of a bucket's largest label are not compared to each other, so the others, the few, go to every block
     of the bucket, and those of the largest label to the blocks of the few.
@@ -206,24 +239,33 @@ def cross_pairs(members: DataFrame, plausible: float = PLAUSIBLE, block: int = B
     every = F.transform(F.sequence(F.lit(0).cast("long"), F.col("few") - 1), lambda i: F.struct(i.alias("i"), dice("all").alias("j"), F.lit(False).alias("left")))
     mine = F.transform(F.sequence(F.lit(0).cast("long"), F.col("all") - 1), lambda j: F.struct(dice("few").alias("i"), j.alias("j"), F.lit(True).alias("left")))
     none = F.array().cast("array<struct<i:long,j:long,left:boolean>>")
-    dealt = own.select("key", "node", "label", "samples", F.explode(F.concat(every, F.when(F.col("is_few"), mine).otherwise(none))).alias("g"))
-    dealt = dealt.select("key", "g.i", "g.j", "g.left", "node", "label", "samples")
-    number = BANDS * ROWS
+    dealt = own.select("key", "band", "node", "label", "samples", F.explode(F.concat(every, F.when(F.col("is_few"), mine).otherwise(none))).alias("g"))
+    dealt = dealt.select("key", "band", "g.i", "g.j", "g.left", "node", "label", "samples")
 
     def compare(table: pa.Table) -> pa.Table:
         left = table["left"].to_numpy(zero_copy_only=False)
         node, label = table["node"].to_numpy(), table["label"].to_numpy()
-        each = np.frombuffer(b"".join(table["samples"].to_pylist()), "<u4").reshape(-1, number)
+        band = table["band"][0].as_py()
+        each = np.frombuffer(b"".join(table["samples"].to_pylist()), "<u4").reshape(-1, BANDS * ROWS)
         ones, others = np.flatnonzero(left), np.flatnonzero(~left)
         out = []
         for x in ones:
-            near = others[(each[others] == each[x]).sum(1) >= plausible * number]
-            near = near[label[near] != label[x]]
-            out.append(np.stack([np.minimum(node[near], node[x]), np.maximum(node[near], node[x])]))
-        pairs = np.unique(np.concatenate(out, 1), axis=1) if out else np.zeros((2, 0), np.int64)
-        return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
-
-    return dealt.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+            cross = others[label[others] != label[x]]
+            same = each[cross] == each[x]
+            near = same.sum(1) >= plausible * BANDS * ROWS
+            first = same[near].reshape(-1, BANDS, ROWS).all(2).argmax(1) == band
+            found = node[cross[near][first]]
+            out.append(np.stack([np.minimum(found, node[x]), np.maximum(found, node[x])], 1))
+        pairs = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
+        unit = np.sort((mix(pairs.astype(np.uint64)) % np.uint64(sets)).astype(np.int64), axis=1)
+        order = np.lexsort((unit[:, 1], unit[:, 0]))
+        pairs, unit = pairs[order], unit[order]
+        starts = np.flatnonzero(np.concatenate([[True], (unit[1:] != unit[:-1]).any(1)])) if len(unit) else np.zeros(0, np.int64)
+        ends = np.append(starts[1:], len(unit))
+        rows = [pairs[p:q].astype("<i8").tobytes() for p, q in zip(starts, ends, strict=False)]
+        return pa.table({"i": pa.array(unit[starts, 0], pa.int64()), "j": pa.array(unit[starts, 1], pa.int64()), "pairs": pa.array(rows, pa.binary())})
+
+    return dealt.groupBy("key", "i", "j").applyInArrow(compare, "i long, j long, pairs binary")
 
 
 def node_id(doc_id: Column, text: Column) -> Column:
@@ -243,21 +285,22 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id
 
     of_content = signed.groupBy("content").agg(F.min("doc_id").alias("node"))
     signed_nodes = signed.join(of_content.withColumn("doc_id", F.col("node")), ["doc_id", "content"], "left_semi")
-    keyed = signed_nodes.filter("bands IS NOT NULL").select(F.col("doc_id").alias("node"), F.explode("bands").alias("key"), "samples").select("key", "node", "samples")
+    keyed = signed_nodes.filter("bands IS NOT NULL").select(F.col("doc_id").alias("node"), "samples", F.posexplode("bands").alias("band", "key"))
     buckets = keyed.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most")
     members = store(keyed.join(buckets.select("key", "least"), "key"), "near-members")
 
     needed = members.select(F.col("node").alias("doc_id")).distinct()
-    texts = store(named.join(needed, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "text"), "near-texts").dropDuplicates(["node"])
+    texts = named.join(needed, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "text").dropDuplicates(["node"])
+    texts = store(texts, "near-texts")
     star = members.select(F.col("least").alias("a"), F.col("node").alias("b")).filter("a < b").distinct()
     # rows that share an id are one document
     same = signed.join(of_content, "content").select(F.col("doc_id").alias("a"), F.col("node").alias("b")).filter("a <> b")
     good = store(similarities(star, texts, shared).filter(F.col("similarity") >= threshold).select("a", "b"), "near-links")
     label = components(good, "near-classes")
 
-    labelled = members.join(label, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"), "samples")
-    rest = store(cross_pairs(labelled).join(star, ["a", "b"], "left_anti"), "near-rest")
-    more = store(similarities(rest, texts, shared).filter(F.col("similarity") >= threshold).select("a", "b"), "near-links")
+    labelled = members.join(label, "node", "left").select("key", "band", "node", F.coalesce("label", "node").alias("label"), "samples")
+    rest = store(cross_pairs(labelled, max(1, math.ceil(texts.count() / UNIT))), "near-rest")
+    more = store(packed_links(rest, texts, shared, threshold), "near-links")
     final = components(good.union(more).union(same), "near-classes")
     out = rows.select("doc_id", node.alias("node"))
     out = out.join(final, "node", "left").select("doc_id", "node", F.coalesce("label", "node").alias("class_id"))

@@ -122,6 +122,7 @@ def _copies():
 @pytest.mark.parametrize("block", [4, 1024])
 def test_near_classes(spark, monkeypatch, block):
     monkeypatch.setattr(neardup.cross_pairs, "__defaults__", (neardup.PLAUSIBLE, block))
+    monkeypatch.setattr(neardup, "UNIT", block)
     docs = _copies()
     got = {r.doc_id: r.class_id for r in neardup.classes(clashing(documents(spark, docs))).collect()}
     want = weighted_classes([(i, t or "") for i, t in docs])
