@@ -39,6 +39,18 @@ def word_features(data: np.ndarray, offsets: np.ndarray, bits: int = BITS) -> tu
     return words.owner(), _feature(words.hash, 1, bits)
 
 
+def stem_features(data: np.ndarray, offsets: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
+    """Single words, and the first four and five bytes of longer ones."""
+    words = Words(data, offsets)
+    owner, sums = words.owner(), prefix(data.astype(np.uint64) + np.uint64(1))
+    texts, found = [owner], [_feature(words.hash, 1, bits)]
+    for size in (4, 5):
+        longer = words.end - words.start > size
+        texts.append(owner[longer])
+        found.append(_feature(spans(sums, words.start[longer], words.start[longer] + size), size, bits))
+    return np.concatenate(texts), np.concatenate(found)
+
+
 def style_features(data: np.ndarray, offsets: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     """Single words, and runs of two and of three word looks, in which a word that repeats the one before
     it is a look of its own."""

@@ -1,13 +1,14 @@
 """Toxicity: expected severity by cumulative-link ordinal regression.
 
 P(grade <= k) is a sigmoid of threshold k minus one weighted sum of the text's features, the weights being the same for
-all thresholds, which are kept in order. Features are hashed words, case and marks at the edges ignored, as indicators.
-The fit is a proximal gradient descent on the negative log likelihood with an L1 term, so that most weights are exactly
-zero and a long text does not add up noise. It takes at most ``SAMPLE`` labelled rows of each grade.
+all thresholds, which are kept in order. Features are hashed words and their first letters, case and marks ignored, as indicators.
+The fit is a proximal gradient descent on the negative log likelihood with an L1 term over the ``FEATURES`` features that
+depend most on the label, so that all other weights are exactly zero and a long text does not add up noise. It takes at
+most ``SAMPLE`` distinct labelled rows of each label.
 
 Grades come with the labelled rows. ``severity_grades`` makes three of them from labels that only say toxic or not: a
-toxic text is of grade 2 if the share of its words that are found in toxic texts alone is above the median of the
-toxic texts, else of grade 1.
+toxic text is of grade 2 if it has more distinct telling words that are found in toxic texts alone than the median of
+the toxic texts, and two at least, else of grade 1.
 
 Defined cases: a null or empty text has no features, and its severity is that of the thresholds alone; null labels are not
 learned from; without labels of two grades every severity is 0; repeated rows and null ids are scored row by row.
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tessella.llm.features import BITS, distinct, word_features
+from tessella.llm.features import BITS, distinct, stem_features
 from tessella.llm.quality import sampled
 from tessella.llm.svm import Rows, sigmoid
 from tessella.llm.tables import map_batches, pieces, raw, texts_of, whole_text
@@ -32,8 +33,10 @@ from tessella.llm.tables import map_batches, pieces, raw, texts_of, whole_text
 #: Labelled rows of each label that the model is fitted on, at most (twice that in the worst case).
 SAMPLE = 3000
 SIZE = 1 << BITS
+#: Features that may get a weight: those that tell most about the labels in the sample.
+FEATURES = 64
 #: A text is rejected if grade 1 or more is at least this likely.
-REJECT = 0.5
+REJECT = 0.7
 
 
 @dataclass
@@ -50,7 +53,7 @@ def _plain(batch: pa.RecordBatch) -> pa.Array:
 def _rows(batch: pa.RecordBatch):
     data, offsets = raw(_plain(batch))
     for low, high in pieces(offsets):
-        text, feature = word_features(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
+        text, feature = stem_features(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
         yield low, high - low, *distinct(text, feature)
 
 
@@ -66,20 +69,35 @@ def feature_rows(sample: DataFrame) -> tuple[Rows, np.ndarray]:
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(index, pa.binary()), pa.array(value, pa.binary())], ["label", "i", "v"])
 
     got = map_batches(sample, work, "label int, i binary, v binary").toArrow()
-    rows = sorted(zip(got["i"].to_pylist(), got["v"].to_pylist(), got["label"].to_pylist(), strict=True))
+    # copies of one text say no more than one of them
+    rows = sorted(set(zip(got["i"].to_pylist(), got["v"].to_pylist(), got["label"].to_pylist(), strict=True)))
     pairs = [(np.frombuffer(i, "<i4").astype(np.int64), np.frombuffer(v, "<i4").astype(float)) for i, v, _ in rows]
     return Rows.of(pairs), np.array([y for _, _, y in rows], int)
 
 
-def severity_grades(rows: Rows, toxic: np.ndarray, least: int = 3) -> np.ndarray:
-    """Grades 0, 1 and 2 from word counts and labels 0 and 1."""
+def screened(rows: Rows, grade: np.ndarray, most: int = FEATURES, least: int = 5) -> np.ndarray:
+    """The features whose occurrence depends most on the grade being 0 or not (largest chi-square), among those
+    in ``least`` rows or more."""
+    seen = Rows(rows.bounds, rows.index, np.ones(len(rows.index)))
+    bad, good = seen.spread((grade > 0).astype(float), SIZE), seen.spread((grade == 0).astype(float), SIZE)
+    n_bad, n_good = max(int((grade > 0).sum()), 1), max(int((grade == 0).sum()), 1)
+    both, n = bad + good, n_bad + n_good
+    spread = both * (n - both) * n_bad * n_good
+    chi = np.where(both >= min(least, n), n * (bad * n_good - good * n_bad) ** 2 / np.maximum(spread, 1e-9), 0.0)
+    return np.sort(np.argsort(-chi, kind="stable")[:most])
+
+
+def severity_grades(rows: Rows, toxic: np.ndarray) -> np.ndarray:
+    """Grades 0, 1 and 2 from words and labels 0 and 1."""
     grade = (toxic == 1).astype(int)
     if not grade.any() or grade.all():
         return grade
     seen = Rows(rows.bounds, rows.index, np.ones(len(rows.index)))
-    bad, good = seen.spread(grade.astype(float), SIZE), seen.spread(1.0 - grade, SIZE)
-    share = rows.times(((bad >= least) & (good == 0)).astype(float)) / np.maximum(rows.times(np.ones(SIZE)), 1)
-    grade[(grade == 1) & (share > np.median(share[grade == 1]))] = 2
+    terms = np.zeros(SIZE)
+    terms[screened(rows, grade)] = 1.0
+    terms[seen.spread(1.0 - grade, SIZE) > 0] = 0.0
+    number = seen.times(terms)
+    grade[(grade == 1) & (number > max(np.median(number[grade == 1]), 1))] = 2
     return grade
 
 
@@ -88,37 +106,45 @@ def _ordered(free: np.ndarray) -> np.ndarray:
     return np.cumsum(np.concatenate([free[:1], np.exp(np.clip(free[1:], -10, 10))]))
 
 
-def fit_grades(rows: Rows, grade: np.ndarray, penalty: float = 2e-4, steps: int = 300) -> Model:
-    """Weights and thresholds of rows with grades 0 to K; every grade weighs alike in the loss."""
+def fit_grades(rows: Rows, grade: np.ndarray, penalty: float = 5e-4, steps: int = 1500) -> Model:
+    """Weights and thresholds of rows with grades 0 to K, by descent with momentum on the screened features; every
+    grade weighs alike in the loss."""
     top = int(grade.max()) if len(grade) else 0
     if top < 1 or len(set(grade.tolist())) < 2:
         return Model(np.zeros(SIZE), np.zeros(0))
-    rows = Rows(rows.bounds, rows.index, np.ones(len(rows.index)))
+    kept = screened(rows, grade)
+    x = np.zeros((len(rows), len(kept)))
+    at = np.minimum(np.searchsorted(kept, rows.index), len(kept) - 1)
+    hit = kept[at] == rows.index
+    x[np.repeat(np.arange(len(rows)), np.diff(rows.bounds))[hit], at[hit]] = 1.0
     number = np.bincount(grade, minlength=top + 1)
     each = (1.0 / np.maximum(number, 1))[grade] / (number > 0).sum()
-    share = np.cumsum(number / number.sum())[:-1]
-    start = np.log(np.clip(share, 1e-3, 1 - 1e-3) / np.clip(1 - share, 1e-3, 1))
+    share = np.clip(np.cumsum(number / number.sum())[:-1], 1e-3, 1 - 1e-3)
+    start = np.log(share / (1 - share))
     free = np.concatenate([start[:1], np.log(np.maximum(np.diff(start), 0.1))])
-    weights, speed, speed_free = np.zeros(SIZE), np.full(SIZE, 1e-8), np.full(len(free), 1e-8)
-    low_edge, high_edge = np.float64(-40.0), np.float64(40.0)
-    for _ in range(steps):
-        cut = np.concatenate([[low_edge], _ordered(free), [high_edge]])
-        z = rows.times(weights)
+    # weights first, then the thresholds' free numbers, in one vector
+    found = np.concatenate([np.zeros(len(kept)), free])
+    mean, square, m = np.zeros_like(found), np.zeros_like(found), len(kept)
+    for step in range(1, steps + 1):
+        weights, free = found[:m], found[m:]
+        cut = np.concatenate([[-40.0], _ordered(free), [40.0]])
+        z = x @ weights
         above, below = sigmoid(cut[grade + 1] - z), sigmoid(cut[grade] - z)
         within = np.maximum(above - below, 1e-12)
         rise_above, rise_below = above * (1 - above) / within, below * (1 - below) / within
-        slope = rows.spread(each * (rise_above - rise_below), SIZE)
-        by_cut = np.bincount(grade + 1, -each * rise_above, top + 2) + np.bincount(grade, each * rise_below, top + 2)
-        by_cut = by_cut[1:-1]
+        slope = (each * (rise_above - rise_below)) @ x
+        by_cut = (np.bincount(grade + 1, -each * rise_above, top + 2) + np.bincount(grade, each * rise_below, top + 2))[1:-1]
         later = np.cumsum(by_cut[::-1])[::-1]
         by_free = np.concatenate([later[:1], later[1:] * np.exp(np.clip(free[1:], -10, 10))])
-        speed += slope**2
-        speed_free += by_free**2
-        rate = 0.5 / np.sqrt(speed)
-        weights -= rate * slope
-        weights = np.sign(weights) * np.maximum(np.abs(weights) - rate * penalty, 0)
-        free -= 0.2 * by_free / np.sqrt(speed_free)
-    return Model(weights, _ordered(free))
+        change = np.concatenate([slope, by_free])
+        mean = 0.9 * mean + 0.1 * change
+        square = 0.99 * square + 0.01 * change**2
+        rate = 0.03 / (np.sqrt(square / (1 - 0.99**step)) + 1e-6)
+        found = found - rate * mean / (1 - 0.9**step)
+        found[:m] = np.sign(found[:m]) * np.maximum(np.abs(found[:m]) - rate[:m] * penalty, 0)
+    weights = np.zeros(SIZE)
+    weights[kept] = found[:m]
+    return Model(weights, _ordered(found[m:]))
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
