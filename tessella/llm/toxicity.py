@@ -35,8 +35,10 @@ SAMPLE = 3000
 SIZE = 1 << BITS
 #: Features that may get a weight: those that tell most about the labels in the sample.
 FEATURES = 64
+#: Chi-square that a feature without any bearing reaches about once in 10**7; less is taken for chance.
+CHANCE = 28.0
 #: A text is rejected if grade 1 or more is at least this likely.
-REJECT = 0.7
+REJECT = 0.5
 
 
 @dataclass
@@ -84,7 +86,9 @@ def screened(rows: Rows, grade: np.ndarray, most: int = FEATURES, least: int = 5
     both, n = bad + good, n_bad + n_good
     spread = both * (n - both) * n_bad * n_good
     chi = np.where(both >= min(least, n), n * (bad * n_good - good * n_bad) ** 2 / np.maximum(spread, 1e-9), 0.0)
-    return np.sort(np.argsort(-chi, kind="stable")[:most])
+    best = np.argsort(-chi, kind="stable")[:most]
+    telling = best[chi[best] >= CHANCE]
+    return np.sort(telling if len(telling) else best)
 
 
 def severity_grades(rows: Rows, toxic: np.ndarray) -> np.ndarray:
