@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tessella.functions.labels import is_strict_json
-from tessella.functions.text import as_col, blank, strip
+from tessella.functions.text import as_col, blank, let, strip
 from tessella.operators.responses import recover_symbols, to_entry
 
 KEYS = ("generator", "base_filename")
@@ -103,54 +103,67 @@ REJECT_ORDER = (
 
 
 def judge(artifacts: DataFrame, symbols: DataFrame, keys=("project", "base_filename")) -> DataFrame:
-    """(keys, code, symbols_json, label, reject) for every key that has a label.
+    """(keys, reject) for every key that has a label.
 
-    One shuffle brings the artefacts of a key together; symbols come from the stored request, else
-    from the computed table. Consumers that use no text (counts, rejects) shuffle only flags.
+    All texts, symbols included, are judged where they are read; one shuffle of flags brings the verdicts of a
+    key together. Symbols come from the stored request, else from the computed table.
     """
     content = F.col("content")
-    stored = artifacts.select(
+    none = F.lit(None).cast("boolean")
+    stored_symbols = let(recover_symbols(content), lambda s: F.when(s.isNotNull(), is_strict_json(s)))
+    flags = artifacts.select(
         *keys,
-        _if_kind("label", content).alias("label"),
-        _if_kind("label", F.octet_length(content)).alias("label_bytes"),
+        _if_kind("label", F.octet_length(content) <= MIN_LABEL_BYTES).alias("label_small"),
         _if_kind("label", blank(content)).alias("label_blank"),
         _if_kind("label", is_strict_json(strip(content))).alias("label_json"),
         _if_kind("label", is_strict_json(content)).alias("label_raw_json"),
-        _if_kind("code", content).alias("code"),
         _if_kind("code", blank(content)).alias("code_blank"),
         _if_kind("prompt", F.lit(True)).alias("has_prompt"),
-        _if_kind("prompt", recover_symbols(content)).alias("stored_symbols"),
-    )
-    together = stored.groupBy(*keys).agg(*[F.max(c).alias(c) for c in stored.columns if c not in keys])
-    joined = (
-        together.where(F.col("label_bytes").isNotNull())
-        .join(symbols.select(*keys, F.col("symbols_json").alias("computed")), list(keys), "left")
-        .withColumn("symbols_json", F.coalesce("stored_symbols", "computed"))
-        .withColumn("symbols_ok", is_strict_json("symbols_json"))
+        _if_kind("prompt", stored_symbols).alias("stored_ok"),
+        none.alias("computed_ok"),
     )
+    text = F.col("symbols_json")
+    computed = symbols.where(text != "").select(*keys, *[none.alias(c) for c in flags.columns[len(keys) : -1]], is_strict_json(text).alias("computed_ok"))
+    together = flags.unionByName(computed).groupBy(*keys).agg(*[F.max(c).alias(c) for c in flags.columns if c not in keys])
+    symbols_ok = F.coalesce("stored_ok", "computed_ok")
     failed = dict(
         zip(
             REJECT_ORDER,
             (
-                F.col("label_bytes") <= MIN_LABEL_BYTES,
+                F.col("label_small"),
                 F.col("label_blank"),
                 ~F.col("label_json"),
                 F.col("code_blank").isNull() | F.col("has_prompt").isNull(),
                 F.col("code_blank"),
-                F.coalesce(F.col("symbols_json") == "", F.lit(True)),
-                ~F.col("symbols_ok") | ~F.col("label_raw_json"),
+                symbols_ok.isNull(),
+                ~symbols_ok | ~F.col("label_raw_json"),
             ),
         )
     )
     reject = F.coalesce(*[F.when(test, reason) for reason, test in failed.items()])
-    return joined.select(*keys, "code", "symbols_json", "label", reject.alias("reject"))
+    return together.where(F.col("label_small").isNotNull()).select(*keys, reject.alias("reject"))
 
 
 def assemble(artifacts: DataFrame, symbols: DataFrame, keys=("project", "base_filename")) -> tuple[DataFrame, DataFrame]:
-    """(entries, rejects); sort entries by the keys for the order of the stored names."""
+    """(entries, rejects); sort entries by the keys for the order of the stored names.
+
+    Texts are joined for accepted keys only. A key has one artefact of each kind, as ``upsert`` keeps it.
+    """
+    keys = list(keys)
     judged = judge(artifacts, symbols, keys)
-    entries = to_entry(judged.where(F.col("reject").isNull()), list(keys))
-    return entries, judged.where(F.col("reject").isNotNull()).select(*keys, "reject")
+
+    def texts(kind, name, value=F.col("content")):
+        return artifacts.where(F.col("kind") == kind).select(*keys, value.alias(name))
+
+    accepted = (
+        judged.where(F.col("reject").isNull())
+        .join(texts("code", "code"), keys)
+        .join(texts("label", "label"), keys)
+        .join(texts("prompt", "stored", recover_symbols(F.col("content"))), keys)
+        .join(symbols.select(*keys, F.col("symbols_json").alias("computed")), keys, "left")
+        .withColumn("symbols_json", F.coalesce("stored", "computed"))
+    )
+    return to_entry(accepted, keys), judged.where(F.col("reject").isNotNull()).select(*keys, "reject")
 
 
 def assembly_counts(judged: DataFrame, projects: DataFrame) -> DataFrame:
