@@ -592,7 +592,7 @@ def artifact_keys(spark, sf_dir):
 
 def _as_files(rows, path):
     """Every row of (folder, name, content) as one file with a line end behind the content."""
-    rows.write.partitionBy("folder", "name").text(path)
+    rows.repartition(16, "folder", "name").write.partitionBy("folder", "name").text(path)
 
 
 @query
