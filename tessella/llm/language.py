@@ -24,7 +24,7 @@ from tessella.llm.svm import Rows, sigmoid, train
 from tessella.llm.tables import map_batches, pieces, raw, texts_of, whole_text
 
 #: Texts of each language that the machines are fitted on, at most (twice that in the worst case).
-SAMPLE = 1000
+SAMPLE = 400
 BITS = 15
 RUNS = (1, 2, 3, 4)
 UNKNOWN = "und"
