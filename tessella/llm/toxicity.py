@@ -2,8 +2,8 @@
 
 P(grade <= k) is a sigmoid of threshold k minus one weighted sum of the text's features, the weights being the same for
 all thresholds, which are kept in order. Features are hashed words and their first letters, case and marks ignored, as indicators.
-The fit is a proximal gradient descent on the negative log likelihood with an L1 term over the ``FEATURES`` features that
-depend most on the label, so that all other weights are exactly zero and a long text does not add up noise. It takes at
+The fit is a proximal gradient descent on the negative log likelihood with an L1 term over all features whose bearing on
+the label is beyond chance, so that all other weights are exactly zero and a long text does not add up noise. It takes at
 most ``SAMPLE`` distinct labelled rows of each label.
 
 Grades come with the labelled rows. ``severity_grades`` makes three of them from labels that only say toxic or not: a
@@ -33,8 +33,6 @@ from tessella.llm.tables import map_batches, pieces, raw, texts_of, whole_text
 #: Labelled rows of each label that the model is fitted on, at most (twice that in the worst case).
 SAMPLE = 3000
 SIZE = 1 << BITS
-#: Features that may get a weight: those that tell most about the labels in the sample.
-FEATURES = 64
 #: Chi-square that a feature without any bearing reaches about once in 10**7; less is taken for chance.
 CHANCE = 28.0
 #: A text is rejected if grade 1 or more is at least this likely.
@@ -77,18 +75,17 @@ def feature_rows(sample: DataFrame) -> tuple[Rows, np.ndarray]:
     return Rows.of(pairs), np.array([y for _, _, y in rows], int)
 
 
-def screened(rows: Rows, grade: np.ndarray, most: int = FEATURES, least: int = 5) -> np.ndarray:
-    """The features whose occurrence depends most on the grade being 0 or not (largest chi-square), among those
-    in ``least`` rows or more."""
+def screened(rows: Rows, grade: np.ndarray, least: int = 5) -> np.ndarray:
+    """All features in ``least`` rows or more whose occurrence depends on the grade being 0 or not beyond chance
+    (chi-square); if there are none, all that depend on it at all."""
     seen = Rows(rows.bounds, rows.index, np.ones(len(rows.index)))
     bad, good = seen.spread((grade > 0).astype(float), SIZE), seen.spread((grade == 0).astype(float), SIZE)
     n_bad, n_good = max(int((grade > 0).sum()), 1), max(int((grade == 0).sum()), 1)
     both, n = bad + good, n_bad + n_good
     spread = both * (n - both) * n_bad * n_good
     chi = np.where(both >= min(least, n), n * (bad * n_good - good * n_bad) ** 2 / np.maximum(spread, 1e-9), 0.0)
-    best = np.argsort(-chi, kind="stable")[:most]
-    telling = best[chi[best] >= CHANCE]
-    return np.sort(telling if len(telling) else best)
+    telling = np.flatnonzero(chi >= CHANCE)
+    return telling if len(telling) else np.flatnonzero(chi)
 
 
 def severity_grades(rows: Rows, toxic: np.ndarray) -> np.ndarray:
@@ -117,10 +114,10 @@ def fit_grades(rows: Rows, grade: np.ndarray, penalty: float = 5e-4, steps: int
     if top < 1 or len(set(grade.tolist())) < 2:
         return Model(np.zeros(SIZE), np.zeros(0))
     kept = screened(rows, grade)
-    x = np.zeros((len(rows), len(kept)))
-    at = np.minimum(np.searchsorted(kept, rows.index), len(kept) - 1)
-    hit = kept[at] == rows.index
-    x[np.repeat(np.arange(len(rows)), np.diff(rows.bounds))[hit], at[hit]] = 1.0
+    place = np.full(SIZE, -1)
+    place[kept] = np.arange(len(kept))
+    owner, at = np.repeat(np.arange(len(rows)), np.diff(rows.bounds)), place[rows.index]
+    owner, at = owner[at >= 0], at[at >= 0]
     number = np.bincount(grade, minlength=top + 1)
     each = (1.0 / np.maximum(number, 1))[grade] / (number > 0).sum()
     share = np.clip(np.cumsum(number / number.sum())[:-1], 1e-3, 1 - 1e-3)
@@ -132,11 +129,11 @@ def fit_grades(rows: Rows, grade: np.ndarray, penalty: float = 5e-4, steps: int
     for step in range(1, steps + 1):
         weights, free = found[:m], found[m:]
         cut = np.concatenate([[-40.0], _ordered(free), [40.0]])
-        z = x @ weights
+        z = np.bincount(owner, weights[at], len(rows))
         above, below = sigmoid(cut[grade + 1] - z), sigmoid(cut[grade] - z)
         within = np.maximum(above - below, 1e-12)
         rise_above, rise_below = above * (1 - above) / within, below * (1 - below) / within
-        slope = (each * (rise_above - rise_below)) @ x
+        slope = np.bincount(at, (each * (rise_above - rise_below))[owner], m)
         by_cut = (np.bincount(grade + 1, -each * rise_above, top + 2) + np.bincount(grade, each * rise_below, top + 2))[1:-1]
         later = np.cumsum(by_cut[::-1])[::-1]
         by_free = np.concatenate([later[:1], later[1:] * np.exp(np.clip(free[1:], -10, 10))])

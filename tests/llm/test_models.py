@@ -60,6 +60,14 @@ def test_thresholds_share_weights_and_stay_in_order():
     assert (np.diff(severity) > 0).all() and np.abs(severity - np.arange(4)).max() < 0.6
 
 
+def test_every_telling_feature_gets_a_weight():
+    """A hundred words, each in its own six toxic texts: none may lose its weight to a rank."""
+    rows = [(np.array([k, 500 + i]), np.ones(2)) for k in range(100) for i in range(6)] + [(np.array([900 + i % 40]), np.ones(1)) for i in range(3000)]
+    label = np.repeat([1, 0], [600, 3000])
+    model = toxicity.fit_grades(svm.Rows.of(rows), label, steps=300)
+    assert (model.weights[:100] > 0).all()
+
+
 def test_language_held_out(spark):
     found = REGISTRY["op5_language_hierarchy"](spark, SF).filter("held_out")
     rows = found.join(spark.read.parquet(f"{SF}/documents.parquet"), "doc_id").collect()
