@@ -2,13 +2,14 @@
 
 P(grade <= k) is a sigmoid of threshold k minus one weighted sum of the text's features, the weights being the same for
 all thresholds, which are kept in order. Features are hashed words and their first letters, case and marks ignored, as indicators.
-The fit is a proximal gradient descent on the negative log likelihood with an L1 term over all features whose bearing on
-the label is beyond chance, so that all other weights are exactly zero and a long text does not add up noise. It takes at
-most ``SAMPLE`` distinct labelled rows of each label.
+The fit is a proximal gradient descent on the negative log likelihood with an L1 term over all features of the sample, so
+that most weights are exactly zero and a long text does not add up noise. How strong the term is, is chosen on rows left
+aside, each in turn; it is thus weaker for larger samples. The sample is of at most ``SAMPLE`` distinct labelled rows of each
+label. Toxic and clean rows weigh alike in the loss, and so do the toxic grades among themselves.
 
 Grades come with the labelled rows. ``severity_grades`` makes three of them from labels that only say toxic or not: a
 toxic text is of grade 2 if it has more distinct telling words that are found in toxic texts alone than the median of
-the toxic texts, and two at least, else of grade 1.
+the toxic texts, and two at least, else of grade 1. Telling words are those with a positive weight in a fit of the labels.
 
 Defined cases: a null or empty text has no features, and its severity is that of the thresholds alone; null labels are not
 learned from; without labels of two grades every severity is 0; repeated rows and null ids are scored row by row.
@@ -33,8 +34,9 @@ from tessella.llm.tables import map_batches, pieces, raw, texts_of, whole_text
 #: Labelled rows of each label that the model is fitted on, at most (twice that in the worst case).
 SAMPLE = 3000
 SIZE = 1 << BITS
-#: Chi-square that a feature without any bearing reaches about once in 10**7; less is taken for chance.
-CHANCE = 28.0
+#: The strongest L1 term that is tried, which is halved as long as the loss on rows left aside falls, and the term of
+#: samples with too few rows to leave any aside.
+STRONGEST, PENALTY = 0.02, 5e-4
 #: A text is rejected if grade 1 or more is at least this likely.
 REJECT = 0.5
 
@@ -75,27 +77,42 @@ def feature_rows(sample: DataFrame) -> tuple[Rows, np.ndarray]:
     return Rows.of(pairs), np.array([y for _, _, y in rows], int)
 
 
-def screened(rows: Rows, grade: np.ndarray, least: int = 5) -> np.ndarray:
-    """All features in ``least`` rows or more whose occurrence depends on the grade being 0 or not beyond chance
-    (chi-square); if there are none, all that depend on it at all."""
-    seen = Rows(rows.bounds, rows.index, np.ones(len(rows.index)))
-    bad, good = seen.spread((grade > 0).astype(float), SIZE), seen.spread((grade == 0).astype(float), SIZE)
-    n_bad, n_good = max(int((grade > 0).sum()), 1), max(int((grade == 0).sum()), 1)
-    both, n = bad + good, n_bad + n_good
-    spread = both * (n - both) * n_bad * n_good
-    chi = np.where(both >= min(least, n), n * (bad * n_good - good * n_bad) ** 2 / np.maximum(spread, 1e-9), 0.0)
-    telling = np.flatnonzero(chi >= CHANCE)
-    return telling if len(telling) else np.flatnonzero(chi)
-
-
-def severity_grades(rows: Rows, toxic: np.ndarray) -> np.ndarray:
+def chosen_penalty(rows: Rows, toxic: np.ndarray, steps: int = 60) -> float:
+    """The L1 term with the least loss on rows left aside."""
+    toxic = (toxic > 0).astype(int)
+    number = np.bincount(toxic, minlength=2)
+    parts = min(5, int(number.min()))
+    if parts < 2:
+        return PENALTY
+    # each part is left aside once in small samples, where each row counts, and two of them in large ones
+    tried = min(parts, max(2, 6000 // len(rows)))
+    part = np.zeros(len(rows), int)
+    for y in (0, 1):
+        part[toxic == y] = np.arange(number[y]) % parts
+    split = [(rows.pick(np.flatnonzero(part != k)), toxic[part != k], rows.pick(np.flatnonzero(part == k)), toxic[part == k]) for k in range(tried)]
+    models: list[Model | None] = [None] * tried
+    penalty, best, least = STRONGEST, STRONGEST, np.inf
+    while penalty > 1e-6:
+        loss = 0.0
+        for k, (learned, y, aside, want) in enumerate(split):
+            models[k] = fit_grades(learned, y, penalty, steps, models[k])
+            p = np.clip(expected(models[k], aside.times(models[k].weights))[1], 1e-9, 1 - 1e-9)
+            loss -= np.log(p[want == 1]).mean() + np.log(1 - p[want == 0]).mean()
+        if loss < least:
+            best, least = penalty, loss
+        elif penalty < best / 2:  # it has risen twice
+            break
+        penalty /= 2
+    return best
+
+
+def severity_grades(rows: Rows, toxic: np.ndarray, penalty: float = PENALTY) -> np.ndarray:
     """Grades 0, 1 and 2 from words and labels 0 and 1."""
     grade = (toxic == 1).astype(int)
     if not grade.any() or grade.all():
         return grade
     seen = Rows(rows.bounds, rows.index, np.ones(len(rows.index)))
-    terms = np.zeros(SIZE)
-    terms[screened(rows, grade)] = 1.0
+    terms = (fit_grades(rows, grade, penalty, 100).weights > 0).astype(float)
     terms[seen.spread(1.0 - grade, SIZE) > 0] = 0.0
     number = seen.times(terms)
     grade[(grade == 1) & (number > max(np.median(number[grade == 1]), 1))] = 2
@@ -107,24 +124,23 @@ def _ordered(free: np.ndarray) -> np.ndarray:
     return np.cumsum(np.concatenate([free[:1], np.exp(np.clip(free[1:], -10, 10))]))
 
 
-def fit_grades(rows: Rows, grade: np.ndarray, penalty: float = 5e-4, steps: int = 1500) -> Model:
-    """Weights and thresholds of rows with grades 0 to K, by descent with momentum on the screened features; every
-    grade weighs alike in the loss."""
+def fit_grades(rows: Rows, grade: np.ndarray, penalty: float = PENALTY, steps: int = 300, start: Model | None = None) -> Model:
+    """Weights and thresholds of rows with grades 0 to K, by descent with momentum from ``start``; grade 0 and all
+    others together weigh alike in the loss, and so do the others among themselves."""
     top = int(grade.max()) if len(grade) else 0
     if top < 1 or len(set(grade.tolist())) < 2:
         return Model(np.zeros(SIZE), np.zeros(0))
-    kept = screened(rows, grade)
-    place = np.full(SIZE, -1)
-    place[kept] = np.arange(len(kept))
-    owner, at = np.repeat(np.arange(len(rows)), np.diff(rows.bounds)), place[rows.index]
-    owner, at = owner[at >= 0], at[at >= 0]
+    kept, at = np.unique(rows.index, return_inverse=True)
+    owner = np.repeat(np.arange(len(rows)), np.diff(rows.bounds))
     number = np.bincount(grade, minlength=top + 1)
-    each = (1.0 / np.maximum(number, 1))[grade] / (number > 0).sum()
+    weight = 1.0 / np.maximum(number, 1)
+    weight[1:] /= max((number[1:] > 0).sum(), 1)
+    each = weight[grade] / weight[grade].sum()
     share = np.clip(np.cumsum(number / number.sum())[:-1], 1e-3, 1 - 1e-3)
-    start = np.log(share / (1 - share))
-    free = np.concatenate([start[:1], np.log(np.maximum(np.diff(start), 0.1))])
+    cut = start.thresholds if start and len(start.thresholds) == top else np.log(share / (1 - share))
+    free = np.concatenate([cut[:1], np.log(np.maximum(np.diff(cut), 0.1))])
     # weights first, then the thresholds' free numbers, in one vector
-    found = np.concatenate([np.zeros(len(kept)), free])
+    found = np.concatenate([start.weights[kept] if start else np.zeros(len(kept)), free])
     mean, square, m = np.zeros_like(found), np.zeros_like(found), len(kept)
     for step in range(1, steps + 1):
         weights, free = found[:m], found[m:]
@@ -152,7 +168,9 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from rows (label int: toxic 0/1, text)."""
     labelled = labelled.filter(F.col("label").isin(0, 1)).select(F.col("label").cast("int").alias("label"), whole_text().alias("text"))
     rows, label = feature_rows(sampled(labelled, sample))
-    return fit_grades(rows, severity_grades(rows, label))
+    rows.value = np.ones(len(rows.value))
+    penalty = chosen_penalty(rows, label)
+    return fit_grades(rows, severity_grades(rows, label, penalty), penalty)
 
 
 def expected(model: Model, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

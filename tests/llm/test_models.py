@@ -62,12 +62,22 @@ def test_thresholds_share_weights_and_stay_in_order():
 
 def test_every_telling_feature_gets_a_weight():
     """A hundred words, each in its own six toxic texts: none may lose its weight to a rank."""
-    rows = [(np.array([k, 500 + i]), np.ones(2)) for k in range(100) for i in range(6)] + [(np.array([900 + i % 40]), np.ones(1)) for i in range(3000)]
+    rows = [(np.array([k]), np.ones(1)) for k in range(100) for _ in range(6)] + [(np.array([900 + i % 40]), np.ones(1)) for i in range(3000)]
     label = np.repeat([1, 0], [600, 3000])
     model = toxicity.fit_grades(svm.Rows.of(rows), label, steps=300)
     assert (model.weights[:100] > 0).all()
 
 
+def test_toxicity_of_few_labelled(spark):
+    """Fifty toxic texts, fifteen of them not English: those, too, are learned from."""
+    found = REGISTRY["op4_toxicity_ordinal"](spark, SF).select("doc_id", "toxic")
+    labels = spark.read.parquet(f"{SF}/labels.parquet").withColumnRenamed("toxic", "label")
+    rows = found.join(labels, "doc_id").join(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
+    assert np.mean([r.toxic for r in rows if r.label == 1 and r.lang != "en"]) > 0.7
+    assert np.mean([r.toxic for r in rows if r.label == 1]) > 0.85
+    assert np.mean([r.toxic for r in rows if r.label == 0]) < 0.05
+
+
 def test_language_held_out(spark):
     found = REGISTRY["op5_language_hierarchy"](spark, SF).filter("held_out")
     rows = found.join(spark.read.parquet(f"{SF}/documents.parquet"), "doc_id").collect()
