@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import decontamination, fingerprints, language, neardup, packing, quality, secret_ledger, substrings, token_counts, toxicity
+from tessella.llm import decision_list, decontamination, fingerprints, language, neardup, packing, quality, secret_ledger, statistics, substrings, token_counts, toxicity
 from tessella.llm.oracle import ORACLE
-from tessella.llm.tables import fold, public_tokenizer, table
+from tessella.llm.tables import fold, public_tokenizer, store, table
 from tessella.session import scratch_path
 
 __all__ = ["ORACLE", "REGISTRY"]
@@ -76,6 +76,20 @@ def op10_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFr
     return decontamination.overlaps(docs, table(spark, sf_dir, "benchmark"))
 
 
+def op11_decision_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = store(statistics.statistics(table(spark, sf_dir, "documents"), ["doc_id"]), "text-statistics")
+    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    counted = counted.withColumn("base_failed", failed)
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    # labels grow with the documents, so they are shuffled at every size
+    passed = counted.filter("NOT base_failed").join(labels.hint("merge"), "doc_id")
+    rules = decision_list.fit(passed.select("label", *decision_list.features()))
+    shown = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    judged = counted.select(*[F.col(c).alias(f"own_{c}") for c in shown], *decision_list.features()).withColumn("rule", rules.number())
+    out = judged.select(*[F.col(f"own_{c}").alias(c) for c in shown], F.when(F.col("own_base_failed"), F.lit(0)).otherwise(F.col("rule")).alias("rule"))
+    return out.withColumn("kept", F.col("rule").isNull())
+
+
 REGISTRY = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_nbsvm": op2_quality_nbsvm,
@@ -87,4 +101,5 @@ REGISTRY = {
     "op8_weighted_minhash": op8_weighted_minhash,
     "op9_bottom_k": op9_bottom_k,
     "op10_spaced_seed_decontamination": op10_spaced_seed_decontamination,
+    "op11_decision_lists": op11_decision_lists,
 }
