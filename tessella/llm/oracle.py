@@ -79,4 +79,28 @@ SELECT doc_id, item_id, CAST(min(place) - 1 AS BIGINT) AS first_word, CAST(max(p
        count(*) AS n_hits, max(equal / compared) AS best_share
 FROM e WHERE equal >= least(10, compared) AND equal >= 0.7 * compared GROUP BY doc_id, item_id"""
 
-ORACLE = {"op3_secret_ledger": OP3, "op7_block_anchors": OP7, "op10_spaced_seed_decontamination": OP10}
+def _clustering(number: int = 16, rounds: int = 3) -> str:
+    """Rounds of plain assignment to all centroids."""
+    steps = [
+        """v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS x,
+            row_number() OVER () AS r FROM embeddings
+          WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+        f"""c0 AS (SELECT CAST(row_number() OVER (ORDER BY h, x) - 1 AS INTEGER) AS cluster, x AS c FROM (
+          SELECT sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, x FROM v ORDER BY h, x LIMIT {number}))""",
+    ]
+    for k in range(rounds + 1):
+        apart = "list_sum(list_transform(range(1, 65), lambda i: (x[i] - c[i]) * (x[i] - c[i])))"
+        steps.append(f"""a{k} AS (SELECT r, vec_id, x, arg_min(cluster, (d, cluster)) AS cluster, CAST(min(d) AS BIGINT) AS distance
+          FROM (SELECT r, vec_id, x, cluster, {apart} AS d FROM v, c{k}) GROUP BY r, vec_id, x)""")
+        if k < rounds:
+            steps.append(f"""c{k + 1} AS (SELECT cluster, coalesce(m, c) AS c FROM c{k} LEFT JOIN (
+              SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS m FROM (
+                SELECT cluster, i, sum(x[i]) AS s, count(*) AS n FROM (SELECT cluster, x, unnest(range(1, 65)) AS i FROM a{k}) GROUP BY cluster, i)
+              GROUP BY cluster) USING (cluster))""")
+    last = f"""SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+      CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+    FROM a{rounds} JOIN c{rounds} USING (cluster)"""
+    return "WITH " + ",\n".join(steps) + "\n" + last
+
+
+ORACLE = {"op3_secret_ledger": OP3, "op7_block_anchors": OP7, "op10_spaced_seed_decontamination": OP10, "op12_hadamard_centroids": _clustering()}

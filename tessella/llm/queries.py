@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import decision_list, decontamination, fingerprints, language, neardup, packing, quality, secret_ledger, statistics, substrings, token_counts, toxicity
+from tessella.llm import centroids, decision_list, decontamination, fingerprints, language, neardup, packing, quality, secret_ledger, statistics, substrings, token_counts, toxicity
 from tessella.llm.oracle import ORACLE
 from tessella.llm.tables import fold, public_tokenizer, store, table
 from tessella.session import scratch_path
@@ -90,6 +90,10 @@ def op11_decision_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("kept", F.col("rule").isNull())
 
 
+def op12_hadamard_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(table(spark, sf_dir, "embeddings"))
+
+
 REGISTRY = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_nbsvm": op2_quality_nbsvm,
@@ -102,4 +106,5 @@ REGISTRY = {
     "op9_bottom_k": op9_bottom_k,
     "op10_spaced_seed_decontamination": op10_spaced_seed_decontamination,
     "op11_decision_lists": op11_decision_lists,
+    "op12_hadamard_centroids": op12_hadamard_centroids,
 }
