@@ -103,4 +103,30 @@ def _clustering(number: int = 16, rounds: int = 3) -> str:
     return "WITH " + ",\n".join(steps) + "\n" + last
 
 
-ORACLE = {"op3_secret_ledger": OP3, "op7_block_anchors": OP7, "op10_spaced_seed_decontamination": OP10, "op12_hadamard_centroids": _clustering()}
+_CRC32 = """xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(s) + 1), lambda i: ascii(s[i]))), lambda a, b:
+  list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+OP13 = rf"""
+WITH t AS (
+  SELECT conv_id, list((coalesce(role, ''), coalesce(text, '')) ORDER BY turn NULLS FIRST) AS ts
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+c AS (SELECT conv_id, ts, conv_id - conv_id % 20 AS base, {_CRC32} % 4 AS h FROM (SELECT conv_id, ts, CAST(conv_id AS VARCHAR) AS s FROM t)),
+r AS (
+  SELECT c.conv_id, list_concat(coalesce(b.ts, [])[1 : CAST(h AS BIGINT)], c.ts[CAST(h AS BIGINT) + 1 :]) AS ts
+  FROM c LEFT JOIN t AS b ON b.conv_id = base),
+p AS (SELECT conv_id, len(ts) AS n, ts, unnest(range(0, len(ts) + 1)) AS d FROM r),
+n AS (
+  SELECT d, path, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (d = n), '')) AS ends_sha256
+  FROM (SELECT conv_id, n, d, ts[1 : d] AS path FROM p) GROUP BY d, path),
+v AS (
+  SELECT n.*, u.conv_id AS parent_conv_id, coalesce(k.n, 0) AS n_children,
+         (n_convs - 1) * CASE WHEN n.d = 0 THEN 0 ELSE len(list_filter(string_split_regex(n.path[n.d][2], '[ 	-]+'), lambda x: x <> '')) END AS saved
+  FROM n LEFT JOIN (SELECT d, path, conv_id FROM n) AS u ON n.d = u.d + 1 AND n.path[1 : n.d - 1] = u.path
+  LEFT JOIN (SELECT d - 1 AS d, path[1 : d - 1] AS path, count(*) AS n FROM n WHERE d > 0 GROUP BY ALL) AS k ON n.d = k.d AND n.path = k.path),
+a AS (SELECT path[1 : k] AS path, k AS d, saved, n_children FROM (SELECT path, saved, n_children, unnest(range(0, d + 1)) AS k FROM v)),
+s AS (SELECT d, path, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves FROM a GROUP BY d, path)
+SELECT v.conv_id, v.d AS depth, parent_conv_id, n_convs, n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+FROM v JOIN s ON v.d = s.d AND v.path = s.path"""
+
+ORACLE = {"op3_secret_ledger": OP3, "op7_block_anchors": OP7, "op10_spaced_seed_decontamination": OP10, "op12_hadamard_centroids": _clustering(), "op13_prefix_trie": OP13}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import centroids, decision_list, decontamination, fingerprints, language, neardup, packing, quality, secret_ledger, statistics, substrings, token_counts, toxicity
+from tessella.llm import centroids, decision_list, decontamination, fingerprints, language, neardup, packing, quality, secret_ledger, statistics, substrings, token_counts, toxicity, tries
 from tessella.llm.oracle import ORACLE
 from tessella.llm.tables import fold, public_tokenizer, store, table
 from tessella.session import scratch_path
@@ -94,6 +94,10 @@ def op12_hadamard_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clusters(table(spark, sf_dir, "embeddings"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.trie(table(spark, sf_dir, "conversations"))
+
+
 REGISTRY = {
     "op1_token_counts": op1_token_counts,
     "op2_quality_nbsvm": op2_quality_nbsvm,
@@ -107,4 +111,5 @@ REGISTRY = {
     "op10_spaced_seed_decontamination": op10_spaced_seed_decontamination,
     "op11_decision_lists": op11_decision_lists,
     "op12_hadamard_centroids": op12_hadamard_centroids,
+    "op13_prefix_trie": op13_prefix_trie,
 }
