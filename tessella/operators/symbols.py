@@ -1,441 +1,298 @@
-"""Symbol lists of Swift sources: a lexical job over a table of source texts.
+"""Symbol lists of Swift sources: a row-local job over a table of source texts.
 
-Declarations, calls and references are found from tokens, not from a syntax tree, so unusual code
-is approximated (see the README). The work is one shuffle: a file becomes token rows partitioned by
-file, and every later window and aggregation is keyed by file plus something, which Spark runs on
-that same partitioning. A window never holds more than the tokens of one input row.
+A source becomes packed arrays of tokens and statements (``functions/lexer.py``), in which brackets, strings, comments and
+lists of types nest to any depth. Everything else are column functions over these arrays: which tokens use a name, what a
+statement declares, and what its body uses. Nothing is shuffled or sorted between rows, so the job is as parallel as the
+table has rows; a source is the largest unit of work.
+
+Bodies are nested intervals of positions. The uses of a source are one array in order of position, each use once; a body's
+own ones are the run of that array between its two braces, found by two binary searches, and nested bodies are runs within
+runs. The types around a declaration are found by following each statement to the one whose body holds it.
+
+It is a lexical job, not a full parse; the README lists what it approximates.
 """
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import Column, DataFrame, Window, functions as F
-
-from tessella.functions.text import blank, let, non_empty, strip
-
-# --- fixed values: the lexical shapes of the language -------------------------------------------
-
-_TRIVIA = r"(?:\s++|//[^\n]*+|/\*(?:(?!\*/).)*+\*/)*+"
-_PAREN = r"\((?:[^()]|\((?:[^()]|\([^()]*+\))*+\))*+\)"
-_SQUARE = r"\[(?:[^\[\]]|\[(?:[^\[\]]|\[[^\[\]]*+\])*+\])*+\]"
-_ANGLE = r"<(?:[^<>]|<(?:[^<>]|<[^<>]*+>)*+>)*+>"
-_NAME = r"(?:`[^`\n]++`|[\p{L}_$][\w$]*+)"
-
-_STRINGS = (
-    r'#"(?:(?!"#).)*+"#',
-    r'"""(?:\\.|(?!""").)*+"""',
-    rf'"(?:\\{_PAREN}|\\.|[^"\\\n])*+"',
-)
-_TOKEN = "|".join(
-    (
-        *_STRINGS,
-        rf"@[A-Za-z_][\w.]*+(?:{_PAREN})?+",
-        r"(?:private|fileprivate|internal|public|open|package)\s*+\(\s*+set\s*+\)",
-        r"unowned\s*+\(\s*+(?:safe|unsafe)\s*+\)",
-        _NAME,
-        r"\d\w*+(?:\.\d\w*+)?+",
-        r"\#\w++",
-        r"->",
-        r"\.\.[.<]",
-        r"[-+*/=<>!&|^~?%]++",
-        r"\S",
-    )
-)
-PIECE = rf"(?sU){_TRIVIA}(?:{_TOKEN})"
-_INTERPOLATION = rf"(?sU)\\({_PAREN})"
-_IS_NAME = rf"(?sU)\A{_NAME}\z"
-_IS_OPERATOR = r"\A[-+*/=<>!&|^~?%]+\z"
-
-KEYWORDS = (
-    "associatedtype class deinit enum extension fileprivate func import init inout internal let operator "
-    "private precedencegroup protocol public rethrows static struct subscript typealias var break case catch "
-    "continue default defer do else fallthrough for guard if in repeat return throw switch where while Any as "
-    "await false is nil super throws true try _"
-).split()
-MODIFIERS = (
-    "public private fileprivate internal open package static final override lazy weak unowned mutating "
-    "nonmutating dynamic optional required convenience indirect nonisolated"
-).split()
-_TYPES = ["class", "struct"]
-_BINDINGS = ["var", "let"]
-
-# What a token can be, beyond its own text. The name of a class is the key, its members the value.
-_CLASSES = {
-    "keyword": KEYWORDS,
-    "type": _TYPES,
-    "binding": _BINDINGS,
-    # A class keyword before one of these is a modifier of a member.
-    "member_start": ["func", "var", "let", "subscript", "init", *MODIFIERS],
-    # A type keyword after one of these is no declaration.
-    "no_type_after": [".", ":", ","],
-    # A binding after one of these is a condition or a pattern, not a declaration.
-    "pattern_before": ["if", "guard", "while", "case", "for", "catch", "(", ",", "."],
-    # A name after one of these is introduced, not used.
-    "introduces": "let var func class struct enum protocol extension typealias import for".split(),
-    # Statements whose brace opens their own block, not a trailing closure.
-    "block_head": (
-        "if guard while for switch repeat do catch else defer func class struct enum extension protocol actor "
-        "init deinit subscript get set didSet willSet"
-    ).split(),
-    "accessor": ["get", "set", "didSet", "willSet"],
-    "accessor_next": ["get", "set", "didSet", "willSet", "{", "}"],
-    "observer": ["didSet", "willSet"],
-    # A line that starts or ends with one of these goes on.
-    "goes_on_start": "{ . , ) ] -> : where throws rethrows async else in as is".split(),
-    "goes_on_end": [",", ".", "(", "[", "->", ":", "where", *MODIFIERS],
-    # After a closing brace these continue the statement.
-    "follows_brace": [".", ")", "]", "(", ",", ":"],
-    "ends_statement": [";", "}"],
-    "starts_statement": ["{", ";"],
-    "cast": ["as", "is"],
-    "mark": ["?", "!"],
-    # Operators that may end a type and so a line.
-    "type_end": ["?", "!", ">", ">?", ">!"],
-    "label_before": ["(", ",", "}"],
-    **{name: [text] for name, text in {
-        "func": "func", "as": "as", "in": "in", "for": "for", "case": "case", "self": "self", "underscore": "_",
-        "open": "{", "close": "}", "paren": "(", "dot": ".", "comma": ",", "colon": ":", "equals": "=", "less": "<",
-    }.items()},
-}
-_BITS = {name: 1 << i for i, name in enumerate([*_CLASSES, "name", "operator", "attribute"])}
-# The token before the first and after the last one.
-_EDGE = _BITS["starts_statement"]
-
-
-def _lexicon() -> dict[str, int]:
-    out: dict[str, int] = {}
-    for name, members in _CLASSES.items():
-        for token in members:
-            word = re.fullmatch(r"[A-Za-z_]\w*", token)
-            operator = re.fullmatch(r"[-+*/=<>!&|^~?%]+", token) and token != "->"
-            base = _BITS["name"] if word else _BITS["operator"] if operator else 0
-            out[token] = out.get(token, base) | _BITS[name]
-    return out
-
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
+
+from tessella.functions import lexer
+from tessella.functions.text import blank, computed_once, let, non_empty, strip
+
+_TOKEN = "pos int, tok string, gap string, inner boolean, nl boolean, cls bigint, depth int, p_depth int, rel int, angle int, stmt int"
+_STATEMENT = "first int, stop int, decl int, kind string, eq int, colon int, last_in int, open int, close int, within int"
+#: Characters of source after which the arrays read so far are passed on.
+_PACK = 1 << 18
+_SPLIT = "\x01"
+
+
+def _types(fields: str) -> list[tuple[str, pa.DataType]]:
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string(), "boolean": pa.bool_()}
+    return [(name, kinds[kind]) for name, kind in (f.split() for f in fields.split(", "))]
+
+
+def _packed(columns: list[dict], fields: str) -> pa.ListArray:
+    """One list of structs for each source."""
+    arrays = []
+    for name, kind in _types(fields):
+        parts = [c[name] for c in columns]
+        if parts and isinstance(parts[0], np.ndarray):
+            values = np.concatenate(parts)
+            none = (values < 0) & (fields is _STATEMENT)
+            arrays.append(pa.array(values, kind, mask=none if none.any() else None))
+        else:
+            arrays.append(pa.array([x for p in parts for x in p], kind))
+    edges = np.cumsum([0, *[len(c[_types(fields)[0][0]]) for c in columns]])
+    return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.StructArray.from_arrays(arrays, [n for n, _ in _types(fields)]))
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        low, size, read = 0, 0, []
+        codes = batch.column(1).to_pylist()
+        for i, code in enumerate(codes):
+            read.append(lexer.structure(code))
+            size += len(code)
+            if size > _PACK or i + 1 == len(codes):
+                own = batch.column(0).slice(low, len(read))
+                yield pa.RecordBatch.from_arrays([own, _packed([t for t, _ in read], _TOKEN), _packed([s for _, s in read], _STATEMENT)], ["key", "tokens", "stmts"])
+                low, size, read = i + 1, 0, []
+
+
+def structured(sources: DataFrame, file: str = "file_id", code: str = "code") -> DataFrame:
+    """(file, tokens, stmts) of each source; blank sources have null arrays."""
+    texts = sources.select(F.col(file).alias("key"), F.col(code).alias("code"))
+    kind = texts.schema["key"].dataType.simpleString()
+    schema = f"key {kind}, tokens array<struct<{_TOKEN.replace(' ', ':').replace(',:', ',')}>>, stmts array<struct<{_STATEMENT.replace(' ', ':').replace(',:', ',')}>>"
+    read = texts.where(~blank("code")).mapInArrow(_read, schema)
+    none = texts.where(blank("code")).select("key", *[F.lit(None).cast(read.schema[c].dataType).alias(c) for c in ("tokens", "stmts")])
+    return read.union(none).withColumnRenamed("key", file)
 
-def _is(column: str | Column, *names: str) -> Column:
-    """Whether a token belongs to any of the named classes."""
-    mask = sum(_BITS[n] for n in set(names))
-    c = F.col(column) if isinstance(column, str) else column
-    return c.bitwiseAND(F.lit(mask)) != 0
 
+def tokens(sources: DataFrame, file: str = "file_id", code: str = "code") -> DataFrame:
+    """(file, pos, tok, gap, inner, nl, cls, depth, p_depth, rel, angle, stmt), one row per token."""
+    return structured(sources, file, code).select(file, F.inline("tokens"))
 
-def _pieces(code: Column) -> Column:
-    """Tokens with the blanks and comments before them; joined they give the source back. The code
-    inside string interpolations follows its string, marked ``inner``."""
 
-    def cut(text):
-        return F.regexp_extract_all(text, F.lit(PIECE), F.lit(0))
+def _is(cls: Column, *names: str) -> Column:
+    """Whether a token's classes are any of the named ones."""
+    return cls.bitwiseAND(F.lit(sum(lexer.BITS[n] for n in set(names)))) != 0
 
-    def tagged(pieces, inner):
-        return F.transform(pieces, lambda p: F.struct(p.alias("piece"), F.lit(inner).alias("inner")))
 
-    def with_interpolations(p):
-        inner = F.flatten(F.transform(F.regexp_extract_all(p, F.lit(_INTERPOLATION), F.lit(1)), cut))
-        own = tagged(F.array(p), False)
-        has = F.contains(p, F.lit('"')) & F.contains(p, F.lit("\\("))
-        return F.when(has, F.concat(own, tagged(inner, True))).otherwise(own)
+def _token(at: Column) -> Column:
+    return F.get(F.col("tokens"), at)
 
-    return F.when(
-        F.contains(code, F.lit("\\(")), F.flatten(F.transform(cut(code), with_interpolations))
-    ).otherwise(tagged(cut(code), False))
 
+def _class(at: Column) -> Column:
+    """The classes of the token at a position, or of the edge beyond the first and last one."""
+    return F.coalesce(_token(at)["cls"], F.when(at < 0, F.lit(lexer.EDGE)).otherwise(0))
 
-def _without_trivia(piece: Column) -> Column:
-    """The token of a piece. Most follow at most some blanks, which needs no pattern."""
-    bare = F.ltrim(piece)
-    plain = (F.ascii(bare) > 32) & (F.ascii(bare) < 127) & ~bare.startswith("/")
-    return F.when(plain, bare).otherwise(F.regexp_replace(piece, rf"(?sU)\A{_TRIVIA}", ""))
 
+def _statement(at: Column) -> Column:
+    return F.get(F.col("stmts"), at)
 
-def _step(opening: str, closing: str) -> Column:
-    """+1 for a token of the first texts, -1 for one of the second, else 0."""
-    tok = F.col("tok")
-    return F.when(tok.isin(*opening), 1).when(tok.isin(*closing), -1).otherwise(0)
 
+def _or_false(c: Column) -> Column:
+    return F.coalesce(c, F.lit(False))
 
-def tokens(sources: DataFrame, file: str = "file_id", code: str = "code") -> DataFrame:
-    """(file, pos, tok, gap, inner, nl, cls, depth, p_depth, prev, ...), one row per token.
 
-    ``gap`` holds the blanks and comments before it. ``cls`` tells the classes the token belongs to
-    as bits, ``prev``, ``prev2``, ``next`` and ``next2`` those of its neighbours. ``depth`` counts
-    open braces, ``p_depth`` open parentheses and brackets, both including the token itself; ``nl``
-    tells whether the token starts a line. Every file that is not blank also has one row with
-    position -1, so files without tokens stay. The lexicon joined for ``cls`` has a fixed size.
-    """
-    start = F.array(F.struct(F.lit("").alias("piece"), F.lit(False).alias("inner")))
-    pieces = F.when(~blank(code), F.concat(start, _pieces(F.col(code))))
-    known = ", ".join(f"('{token}', {bits}L)" for token, bits in _lexicon().items())
-    lexicon = sources.sparkSession.sql(f"SELECT * FROM VALUES {known} AS t(tok, known)")
-    other = (
-        F.when(F.col("tok").rlike(_IS_NAME), _BITS["name"])
-        .when(F.col("tok").rlike(_IS_OPERATOR), _BITS["operator"])
-        .when(F.col("tok").startswith("@"), _BITS["attribute"])
-        .otherwise(0)
-        .cast("bigint")
-    )
-    rows = (
-        sources.select(file, F.posexplode(pieces).alias("at", "t"))
-        .select(
-            file,
-            (F.col("at") - 1).alias("pos"),
-            "t.piece",
-            "t.inner",
-            _without_trivia(F.col("t.piece")).alias("tok"),
-        )
-        .withColumn("gap", F.left("piece", F.length("piece") - F.length("tok")))
-        .withColumn("nl", F.contains("gap", F.lit("\n")))
-        .drop("piece")
-        .join(F.broadcast(lexicon), "tok", "left")
-        .withColumn("cls", F.when(F.col("pos") < 0, F.lit(_EDGE)).when(F.col("known").isNull(), other).otherwise(F.col("known")))
-        .drop("known")
-    )
-    order = Window.partitionBy(file).orderBy("pos")
-    upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    return rows.select(
-        "*",
-        F.sum(_step("{", "}")).over(upto).cast("int").alias("depth"),
-        F.sum(_step("([", ")]")).over(upto).cast("int").alias("p_depth"),
-        F.lag("cls", 1, _EDGE).over(order).alias("prev"),
-        F.lag("cls", 2, _EDGE).over(order).alias("prev2"),
-        F.lead("cls", 1, 0).over(order).alias("next"),
-        F.lead("cls", 2, 0).over(order).alias("next2"),
-        F.lead("tok", 1, "").over(order).alias("next_tok"),
-        F.lead("nl", 1, True).over(order).alias("next_nl"),
-    )
-
-
-def _statements(toks: DataFrame, file: str) -> DataFrame:
-    """Adds to every token its statement, what the statement starts with and what it declares.
-
-    A statement ends at a brace, a semicolon or a line end outside parentheses. ``rel`` is the
-    parenthesis depth counted from the enclosing brace.
-    """
-    opened = F.last(F.when(_is("cls", "open"), F.col("p_depth")), ignorenulls=True)
-    level = Window.partitionBy(file, "depth").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    with_rel = toks.withColumn("rel", F.col("p_depth") - F.coalesce(opened.over(level), F.lit(0)))
-
-    line_break = (
-        F.col("nl")
-        & (F.col("rel") == _step("([", ")]"))
-        & ~_is("cls", "goes_on_start", "operator")
-        & ~_is("prev", "goes_on_end", "attribute")
-        & (~_is("prev", "operator") | _is("prev", "type_end"))
-    )
-    after_block = _is("prev", "close") & ~_is("cls", "follows_brace", "operator")
-    breaks = _is("prev", "starts_statement") | _is("cls", "ends_statement") | line_break | after_block
-    upto = Window.partitionBy(file).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    numbered = with_rel.withColumn("stmt", F.sum(breaks.cast("int")).over(upto).cast("int"))
-
-    declares = (
-        F.when(
-            _is("cls", "type") & _is("next", "name") & ~_is("next", "member_start") & ~_is("prev", "no_type_after"),
-            F.col("tok"),
-        )
-        .when(_is("cls", "func") & ~_is("prev", "dot"), "func")
-        .when(_is("cls", "binding") & ~_is("prev", "pattern_before"), "var")
-    )
-    stmt = Window.partitionBy(file, "stmt")
-    outer = F.col("rel") == 0
-
-    def at(name):
-        return F.when(outer & _is("cls", name), F.col("pos"))
-
-    declared = F.when(F.col("declares").isNotNull(), F.struct("pos", "declares", "next_tok"))
-    return numbered.withColumn("declares", declares).select(
-        "*",
-        F.min(F.struct("pos", "cls", "prev", "next")).over(stmt).alias("head"),
-        F.min(declared).over(stmt).alias("decl"),
-        F.min(at("equals")).over(stmt).alias("eq_pos"),
-        F.max(at("in")).over(stmt).alias("in_pos"),
-        F.min(at("colon")).over(stmt).alias("colon_pos"),
-    )
-
-
-def _use() -> Column:
+def _is_use(t: Column) -> Column:
     """Whether a token uses a name: not a keyword, label, introduced name, type or binding."""
-    pos, head = F.col("pos"), F.col("head.cls")
-    member = _is("prev", "dot")
-    word = _is("cls", "name") & (member | ~_is("cls", "keyword"))
-    label = _is("next", "colon") & _is("prev", "label_before")
-    cast_type = _is("prev", "cast") | (_is("prev", "mark") & _is("prev2", "as"))
-    generic = _is("prev", "less") & F.startswith("next_tok", F.lit(">"))
-    accessor = _is("cls", "accessor") & _is("next", "accessor_next") & _is("prev", "accessor_next")
-    kind = F.col("decl.declares")
-    declared = (kind != "var") & (pos >= F.col("decl.pos"))
-    later_name = _is("prev", "comma") & _is("next", "equals", "colon") & (F.col("rel") == 0)
-    in_binding = (kind == "var") & ((pos <= F.coalesce(F.col("eq_pos"), pos)) | later_name)
-    bound_in = (pos < F.col("in_pos")) & (_is(head, "for") | (_is("head.prev", "open") & ~_is("cls", "self")))
-    bound_case = _is(head, "case") & _is("head.next", "binding") & (F.col("rel") > 0) & (pos < F.col("colon_pos"))
-    excluded = label | _is("prev", "introduces") | cast_type | generic | accessor
+    pos, cls = t["pos"], t["cls"]
+    prev, prev2, following = _class(pos - 1), _class(pos - 2), _class(pos + 1)
+    s = _statement(t["stmt"])
+    head = _class(s["first"])
+    word = _is(cls, "name") & (~_is(cls, "keyword") | _is(prev, "dot"))
+    label = _is(following, "colon") & _is(prev, "label_before")
+    cast_type = _is(prev, "cast") | (_is(prev, "mark") & _is(prev2, "as"))
+    accessor = _is(cls, "accessor") & _is(following, "accessor_next") & _is(prev, "accessor_next")
+    declared = (s["kind"] != "var") & (pos >= s["decl"])
+    later_name = _is(prev, "comma") & _is(following, "equals", "colon") & (t["rel"] == 0)
+    in_binding = (s["kind"] == "var") & ((pos <= F.coalesce(s["eq"], pos)) | later_name)
+    bound_in = (pos < s["last_in"]) & (_is(head, "for") | (_is(_class(s["first"] - 1), "open") & ~_is(cls, "self")))
+    bound_case = _is(head, "case") & _is(_class(s["first"] + 1), "binding") & (t["rel"] > 0) & (pos < s["colon"])
+    out = word & (t["angle"] == 0) & ~label & ~_is(prev, "introduces") & ~cast_type & ~accessor
     for rule in (declared, in_binding, bound_in, bound_case):
-        excluded |= F.coalesce(rule, F.lit(False))
-    return word & ~excluded
+        out = out & ~_or_false(rule)
+    return out
 
 
-def _call() -> Column:
+def _is_call(t: Column) -> Column:
     """Whether a used name is called: parentheses or a trailing closure follow on its line."""
-    own_block = F.coalesce((F.col("decl.declares") == "var") & F.col("eq_pos").isNull(), F.lit(False))
-    block = (F.col("rel") == 0) & (_is("head.cls", "block_head") | own_block)
-    parens = _is("next", "paren") & ~_is("next2", "underscore")
-    return ~F.col("next_nl") & (parens | (_is("next", "open") & ~block))
-
-
-# What a token contributes: to its own statement, as an opening brace, as a use at each level of
-# nesting, and as a declaration at each level.
-_RECORDS = ("header", "open", "use", "scope")
-
-# Shapes of what follows a declaration keyword.
-_CONFORMS = rf"(?sU)\A\s*(?:{_ANGLE})?+\s*:\s*(.*?)\s*(?:\bwhere\b.*)?\z"
-_SIGNATURE = rf"(?sU)\A\s*(?:{_ANGLE})?+\s*(\(.*?)\s*(?:\bwhere\b.*)?\z"
-_VAR_TYPE = rf"(?sU)\A\s*(?:{_NAME}|{_PAREN})\s*:\s*((?:{_ANGLE}|{_PAREN}|{_SQUARE}|->|[^=,{{<>(\[])++)"
-_TOP_COMMA = r",(?![^<(\[]*[>)\]])"
-
-
-def _described(group: DataFrame) -> DataFrame:
-    """From the statement's tokens to name, signature, conformances and attributes."""
-    toks = F.col("toks")
-    after = F.filter(toks, lambda t: (t["pos"] > F.col("kw")) & ~t["inner"])
-    head = F.filter(after, lambda t: ~t["opens"])
-    text = F.array_join(F.transform(head, lambda t: F.concat(t["gap"], t["tok"])), "")
-    past_name = F.array_join(F.transform(F.filter(head, lambda t: t["pos"] > F.col("kw") + 1), lambda t: F.concat(t["gap"], t["tok"])), "")
-    top = F.filter(head, lambda t: (t["rel"] == 0) & ~t["tok"].isin(")", "]"))
-    flat = F.array_join(F.transform(top, lambda t: t["tok"]), " ")
-    for _ in range(2):
-        flat = F.regexp_replace(flat, r"<[^<>=]*>", " ")
-    names = F.filter(
-        F.transform(F.split(flat, " , ", -1), lambda part: F.regexp_extract(part, rf"(?sU)\A\s*({_NAME})", 1)),
-        lambda n: n != "",
-    )
-    attributes = F.transform(
-        F.filter(toks, lambda t: (t["pos"] < F.col("kw")) & t["tok"].startswith("@")),
-        lambda t: F.regexp_extract(t["tok"], r"(?U)\A@[\w.]+", 0),
-    )
-    first = F.get(after, 0)["tok"]
-    is_type, is_func = F.col("kind").isin(_TYPES), F.col("kind") == "func"
-    conforms = F.transform(
-        F.split(F.regexp_extract("past_name", _CONFORMS, 1), _TOP_COMMA, -1), lambda c: strip(c)
-    )
-    return (
-        group.withColumn("past_name", past_name)
-        .withColumn("names", F.when(F.col("kind") == "var", names).otherwise(F.array(first)))
-        .withColumn("attributes", attributes)
-        .withColumn(
-            "signature",
-            F.when(is_func, F.regexp_extract("past_name", _SIGNATURE, 1))
-            .when(~is_type, strip(F.regexp_extract(text, _VAR_TYPE, 1)))
-            .otherwise(""),
+    pos, s = t["pos"], _statement(t["stmt"])
+    following = _class(pos + 1)
+    own_block = _or_false((s["kind"] == "var") & s["eq"].isNull())
+    block = (t["rel"] == 0) & (_is(_class(s["first"]), "block_head") | own_block)
+    parens = _is(following, "paren") & ~_is(_class(pos + 2), "underscore")
+    return ~F.coalesce(_token(pos + 1)["nl"], F.lit(True)) & (parens | (_is(following, "open") & ~block))
+
+
+def _uses_before(at: Column) -> Column:
+    """How many uses stand before a position, by binary search."""
+
+    def halve(range_: Column, _: Column) -> Column:
+        middle = F.shiftright(range_["low"] + range_["high"], 1)
+        lower = F.get(F.col("uses"), middle)["pos"] < at
+        return (
+            F.when(range_["low"] >= range_["high"], range_)
+            .when(lower, F.struct((middle + 1).alias("low"), range_["high"].alias("high")))
+            .otherwise(F.struct(range_["low"].alias("low"), middle.alias("high")))
         )
-        .withColumn("conforms", F.when(is_type, F.filter(conforms, lambda c: c != "")).otherwise(F.array()))
-        .drop("toks", "past_name")
-    )
 
+    return F.aggregate("steps", F.struct(F.lit(0).alias("low"), F.size("uses").alias("high")), halve)["low"]
 
-def declarations(sources: DataFrame, file: str = "file_id", code: str = "code") -> DataFrame:
-    """One row per declaration, and one without ``kind`` per file that has code.
 
-    Every token yields records: one for its own statement, and if it is a use one per enclosing
-    brace level. A window over (file, level) finds which brace encloses it there, so
-    bodies are matched without a join and nested bodies count for all that enclose them.
-    """
-    t = _statements(tokens(sources, file, code), file)
-    kind, depth = F.col("decl.declares"), F.col("depth")
-    opens_accessor = F.col("eq_pos").isNull() | _is("next", "observer")
-    body_kind = F.when((kind == "var") & ~opens_accessor, "other").otherwise(F.coalesce(kind, F.lit("other")))
-    none = F.array().cast("array<int>")
-
-    def all_levels(what):
-        code, n = _RECORDS.index(what), len(_RECORDS)
-        return F.sequence(F.lit(n + code), depth * n + code, F.lit(n))
-
-    header = kind.isNotNull() | (F.col("pos") < 0)
-    emitted = F.concat(
-        F.when(header, F.array(F.lit(_RECORDS.index("header")))).otherwise(none),
-        F.when(_is("cls", "open"), F.array(depth * len(_RECORDS) + _RECORDS.index("open"))).otherwise(none),
-        F.when(F.col("is_use") & (depth > 0), all_levels("use")).otherwise(none),
-        F.when((F.col("pos") == F.col("decl.pos")) & (depth > 0), all_levels("scope")).otherwise(none),
-    )
-    rows = (
-        t.withColumn("is_use", _use())
-        .withColumn("is_call", _call())
-        .select(
-            file, "pos", "tok", "gap", "inner", "rel", "stmt", "is_call",
-            F.col("decl.pos").alias("kw"), kind.alias("kind"), F.col("decl.next_tok").alias("decl_name"),
-            body_kind.alias("body_kind"),
-            F.explode(emitted).alias("record"),
-        )
-        .withColumn("what", F.element_at(F.array(*map(F.lit, _RECORDS)), F.col("record") % len(_RECORDS) + 1))
-        .withColumn("level", F.floor(F.col("record") / len(_RECORDS)).cast("int"))
-    )
-    tok = F.col("tok")
-    brace = F.when(F.col("what") == "open", F.struct(F.col("stmt").alias("stmt"), F.col("body_kind").alias("kind"), F.col("decl_name").alias("name")))
-    upto = Window.partitionBy(file, "level").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    placed = rows.withColumn("within", F.last(brace, ignorenulls=True).over(upto)).where("what <> 'open'")
-    what, within = F.col("what"), F.col("within")
-    relevant = (
-        (what == "header")
-        | ((what == "use") & within["kind"].isin("func", "var"))
-        | ((what == "scope") & within["kind"].isin(_TYPES))
-    )
-    header = F.when(
-        (what == "header") & F.col("kind").isNotNull(),
-        F.struct("pos", "tok", "gap", "inner", "rel", (tok == "{").alias("opens")),
-    )
-    return (
-        placed.where(relevant)
-        .withColumn("owner", F.when(what == "use", within["stmt"]).otherwise(F.col("stmt")))
-        .groupBy(file, "owner")
-        .agg(
-            F.max(F.when(what == "header", F.col("kw"))).alias("kw"),
-            F.max(F.when(what == "header", F.col("kind"))).alias("kind"),
-            F.array_sort(F.collect_list(header)).alias("toks"),
-            F.array_sort(F.collect_set(F.when((what == "use") & F.col("is_call"), tok))).alias("calls_out"),
-            F.array_sort(F.collect_set(F.when(what == "use", tok))).alias("references"),
-            F.array_sort(F.collect_list(F.when(what == "scope", F.struct(F.col("level"), within["name"].alias("name"))))).alias("scopes"),
+def _text(toks: Column) -> Column:
+    """Tokens as they stand in the source, from the first one on."""
+    return F.array_join(F.transform(toks, lambda t, i: F.when(i == 0, t["tok"]).otherwise(F.concat(t["gap"], t["tok"]))), "")
+
+
+def _first(toks: Column, *texts: str, after: Column) -> Column:
+    """The position of the first of these tokens outside brackets and lists of types."""
+    found = F.filter(toks, lambda t: t["tok"].isin(*texts) & (t["rel"] == 0) & (t["angle"] == 0) & (t["pos"] > after))
+    return F.get(found, 0)["pos"]
+
+
+def _between(toks: Column, low: Column, high: Column) -> Column:
+    return F.filter(toks, lambda t: (t["pos"] > low) & (t["pos"] < F.coalesce(high, F.lit(2**31 - 1))))
+
+
+def _names(head: Column, s: Column) -> Column:
+    """The names that a binding introduces: the first ones of its parts."""
+    top = F.filter(head, lambda t: (t["rel"] == 0) & (t["angle"] == 0) & ~t["tok"].isin(")", "]"))
+
+    def begins(parts: Column) -> Column:
+        found = F.filter(parts, lambda t, i: _is(t["cls"], "name") & ((i == 0) | (F.get(parts, i - 1)["tok"] == ",")))
+        return F.transform(found, lambda t: t["tok"])
+
+    return F.when(s["kind"] == "var", let(top, begins)).otherwise(F.array(_token(s["decl"] + 1)["tok"]))
+
+
+def _signature(head: Column, s: Column) -> Column:
+    """From the parentheses of a function up to its conditions; the type of a binding's first name."""
+    name = s["decl"] + 1
+    opened = F.get(F.filter(head, lambda t: (t["tok"] == "(") & (t["angle"] == 0) & (t["pos"] > name)), 0)["pos"]
+    of_func = F.rtrim(_text(_between(head, opened - 1, _first(head, "where", after=opened))))
+    colon, ends = _first(head, ":", after=s["decl"]), _first(head, "=", ",", after=s["decl"])
+    of_var = F.when(_or_false(ends < colon), None).otherwise(strip(_text(_between(head, colon, ends))))
+    return F.coalesce(F.when(s["kind"] == "func", of_func).when(s["kind"] == "var", of_var), F.lit(""))
+
+
+def _conforms(head: Column, s: Column) -> Column:
+    colon, where = _first(head, ":", after=s["decl"] + 1), _first(head, "where", after=s["decl"] + 1)
+    listed = _between(head, colon, where)
+    cut = F.transform(listed, lambda t: F.when((t["tok"] == ",") & (t["rel"] == 0) & (t["angle"] == 0), _SPLIT).otherwise(F.concat(t["gap"], t["tok"])))
+    parts = F.transform(F.split(F.array_join(cut, ""), _SPLIT, -1), lambda c: strip(c))
+    found = s["kind"].isin(*lexer.TYPES) & colon.isNotNull() & (F.coalesce(where, colon + 1) > colon)
+    return F.when(found, F.filter(parts, lambda c: c != "")).otherwise(F.array().cast("array<string>"))
+
+
+def _scopes(s: Column) -> Column:
+    """The names of the types whose bodies hold a declaration, from the outside in."""
+    start = F.struct(s["within"].alias("at"), F.array().cast("array<string>").alias("names"))
+
+    def out_of(step: Column, _: Column) -> Column:
+        around = _statement(step["at"])
+        name = F.array(_token(around["decl"] + 1)["tok"])
+        names = F.when(_or_false(around["kind"].isin(*lexer.TYPES)), F.concat(name, step["names"])).otherwise(step["names"])
+        return F.when(step["at"].isNull(), step).otherwise(F.struct(around["within"].alias("at"), names.alias("names")))
+
+    depth = _token(s["decl"])["depth"]
+    return F.when(depth > 0, F.aggregate(F.sequence(F.lit(1), F.greatest(depth, F.lit(1))), start, out_of)["names"]).otherwise(F.array().cast("array<string>"))
+
+
+def _declared(s: Column) -> Column:
+    """What a declaring statement says, as a struct."""
+    toks = F.slice("tokens", s["first"] + 1, s["stop"] - s["first"])
+    head = F.filter(toks, lambda t: (t["pos"] > s["decl"]) & ~t["inner"] & (t["tok"] != "{"))
+    marks = F.filter(toks, lambda t: (t["pos"] < s["decl"]) & _is(t["cls"], "attribute"))
+    attributes = F.transform(marks, lambda t: F.regexp_extract(t["tok"], r"(?U)\A@[\w.]+", 0))
+    has_body = (s["kind"] == "func") | ((s["kind"] == "var") & (s["eq"].isNull() | _is(_class(s["open"] + 1), "observer")))
+    low = _uses_before(s["open"])
+    body = F.when(_or_false(has_body & s["open"].isNotNull()), let(low, lambda x: F.slice("uses", x + 1, _uses_before(s["close"]) - x)))
+    body = F.coalesce(body, F.slice("uses", 1, 0))
+
+    def named(uses: Column) -> Column:
+        return F.array_sort(F.array_distinct(F.transform(uses, lambda u: u["tok"])))
+
+    def whole(head: Column) -> Column:
+        return F.struct(
+            s["decl"].alias("kw"),
+            s["kind"].alias("kind"),
+            _names(head, s).alias("names"),
+            attributes.alias("attributes"),
+            _signature(head, s).alias("signature"),
+            _conforms(head, s).alias("conforms"),
+            let(body, lambda b: F.struct(named(F.filter(b, lambda u: u["call"])).alias("calls_out"), named(b).alias("references"))).alias("body"),
+            _scopes(s).alias("scopes"),
         )
-        .transform(_described)
-    )
+
+    return let(head, whole)
+
+
+def described(sources: DataFrame, file: str = "file_id", code: str = "code") -> DataFrame:
+    """(file, decls): the declarations of each source as an array in its order; null for blank sources."""
+    found = F.filter("tokens", _is_use)
+    uses = F.transform(found, lambda t: F.struct(t["pos"].alias("pos"), t["tok"].alias("tok"), _is_call(t).alias("call")))
+    used = structured(sources, file, code).select(file, "tokens", "stmts", computed_once(F.struct(uses.alias("uses"))))
+    steps = F.sequence(F.lit(0), F.length(F.bin(F.size("uses").cast("long"))))
+    used = used.select(file, "tokens", "stmts", "uses", computed_once(F.struct(steps.alias("steps"))))
+    decls = F.transform(F.filter("stmts", lambda s: s["kind"].isNotNull()), _declared)
+    return used.select(file, computed_once(F.struct(decls.alias("decls"))))
+
+
+def declarations(sources: DataFrame, file: str = "file_id", code: str = "code") -> DataFrame:
+    """One row per declaration, and one without ``kind`` per file that has code but declares nothing."""
+    rows = described(sources, file, code).where("decls is not null").select(file, F.inline_outer("decls"))
+    return rows.select("*", "body.calls_out", "body.references").drop("body")
 
 
-def qualify(decls: DataFrame, mode: str = "compat") -> DataFrame:
-    """Adds ``symbolKind`` and ``prefix``.
+def _symbols_of(decl: Column, mode: str) -> Column:
+    """The symbols of a declaration, one for each name.
 
     ``compat``: names are never qualified and bindings are always variables. ``qualified``: names
     carry their enclosing types and bindings inside a type are properties.
     """
-    if mode not in ("compat", "qualified"):
-        raise ValueError(f"unknown mode {mode!r}")
-    scopes = F.col("scopes") if mode == "qualified" else F.slice("scopes", 1, 0)
+    scopes = decl["scopes"] if mode == "qualified" else F.array().cast("array<string>")
+    prefix = F.array_join(F.transform(scopes, lambda n: F.concat(n, F.lit("."))), "")
     binding = F.when(F.size(scopes) > 0, "property").otherwise("variable")
-    return decls.withColumn(
-        "symbolKind", F.when(F.col("kind") == "func", "method").when(F.col("kind") == "var", binding).otherwise(F.col("kind"))
-    ).withColumn("prefix", F.array_join(F.transform(scopes, lambda s: F.concat(s["name"], F.lit("."))), ""))
+    kind = F.when(decl["kind"] == "func", "method").when(decl["kind"] == "var", binding).otherwise(decl["kind"])
+    ending = F.when(decl["kind"] == "func", F.concat(F.lit("("), decl["signature"], F.lit(")"))).otherwise("")
+
+    def one(name: Column, at: Column) -> Column:
+        return F.struct(
+            decl["kw"].alias("pos"),
+            at.alias("ord"),
+            F.concat(prefix, name, ending).alias("symbolName"),
+            kind.alias("symbolKind"),
+            decl["signature"].alias("typeSignature"),
+            decl["body"]["calls_out"].alias("calls_out"),
+            decl["body"]["references"].alias("references"),
+            decl["conforms"].alias("conforms"),
+            decl["attributes"].alias("attributes"),
+        )
+
+    return F.transform(F.filter(decl["names"], lambda n: n.isNotNull()), one)
 
 
 FIELDS = ("symbolName", "symbolKind", "typeSignature", "calls_out", "references", "conforms", "attributes")
 
 
+def _listed(sources: DataFrame, file: str, code: str, mode: str) -> DataFrame:
+    if mode not in ("compat", "qualified"):
+        raise ValueError(f"unknown mode {mode!r}")
+    found = F.flatten(F.transform("decls", lambda d: _symbols_of(d, mode)))
+    return described(sources, file, code).select(file, found.alias("symbols"))
+
+
 def symbols(sources: DataFrame, file: str = "file_id", code: str = "code", mode: str = "compat") -> DataFrame:
     """(file, pos, ord, symbolName, ...) in the order of the source: one row per declared name, and
     one row with null ``symbolName`` for a file that declares nothing."""
-    decls = qualify(declarations(sources, file, code), mode)
-    full = F.when(
-        F.col("kind") == "func", F.concat("prefix", "name", F.lit("("), "signature", F.lit(")"))
-    ).otherwise(F.concat("prefix", "name"))
-    named = decls.select("*", F.posexplode_outer("names").alias("ord", "name"))
-    return named.where("kind is null or name is not null").select(
-        file,
-        F.col("kw").alias("pos"),
-        "ord",
-        F.when(F.col("kind").isNotNull(), full).alias("symbolName"),
-        "symbolKind",
-        F.col("signature").alias("typeSignature"),
-        "calls_out",
-        "references",
-        "conforms",
-        "attributes",
-    )
+    return _listed(sources, file, code, mode).where("symbols is not null").select(file, F.inline_outer("symbols"))
 
 
 def _of_kind(rows: DataFrame, *kinds: str) -> DataFrame:
@@ -443,7 +300,7 @@ def _of_kind(rows: DataFrame, *kinds: str) -> DataFrame:
 
 
 def type_symbols(rows: DataFrame) -> DataFrame:
-    return _of_kind(rows, "class", "struct")
+    return _of_kind(rows, *lexer.TYPES)
 
 
 def func_symbols(rows: DataFrame) -> DataFrame:
@@ -454,29 +311,31 @@ def var_symbols(rows: DataFrame) -> DataFrame:
     return _of_kind(rows, "variable", "property")
 
 
-def sparse(rows: DataFrame) -> Column:
+def sparse(symbol: Column) -> Column:
     """A symbol as a struct whose empty fields are null, which JSON encoding leaves out."""
-    fields = [F.col("symbolName"), F.col("symbolKind"), non_empty(F.col("typeSignature")).alias("typeSignature")]
-    fields += [F.when(F.size(c) > 0, F.col(c)).alias(c) for c in FIELDS[3:]]
+    fields = [symbol["symbolName"].alias("symbolName"), symbol["symbolKind"].alias("symbolKind"), non_empty(symbol["typeSignature"]).alias("typeSignature")]
+    fields += [F.when(F.size(symbol[c]) > 0, symbol[c]).alias(c) for c in FIELDS[3:]]
     return F.struct(*fields)
 
 
+def _as_json(items: Column) -> Column:
+    return F.concat(F.lit("["), F.array_join(items, ","), F.lit("]"))
+
+
 def symbols_json(rows: DataFrame, file: str = "file_id") -> DataFrame:
-    """(file, symbols_json): all symbols of a file in source order; ``[]`` when there are none."""
-    item = F.when(F.col("symbolName").isNotNull(), F.struct("pos", "ord", F.to_json(sparse(rows)).alias("json")))
-    return (
-        rows.groupBy(file)
-        .agg(F.sort_array(F.collect_list(item)).alias("items"))
-        .select(file, F.concat(F.lit("["), F.array_join("items.json", ","), F.lit("]")).alias("symbols_json"))
-    )
+    """(file, symbols_json) from rows of symbols: all of a file in source order; ``[]`` when there are none."""
+    own = F.struct(*[F.col(c) for c in FIELDS])
+    item = F.when(F.col("symbolName").isNotNull(), F.struct("pos", "ord", F.to_json(sparse(own)).alias("json")))
+    return rows.groupBy(file).agg(F.sort_array(F.collect_list(item)).alias("items")).select(file, _as_json(F.col("items.json")).alias("symbols_json"))
+
+
+def symbol_lists(sources: DataFrame, file: str = "file_id", code: str = "code", mode: str = "compat") -> DataFrame:
+    """(file, symbols_json) from sources, without a shuffle; null for blank sources."""
+    items = F.transform("symbols", lambda s: F.to_json(sparse(s)))
+    return _listed(sources, file, code, mode).select(file, _as_json(items).alias("symbols_json"))
 
 
 def symbols_or_null(sources: DataFrame, file: str = "file_id", code: str = "code", mode: str = "compat") -> DataFrame:
     """(file, symbols_json, reject) for every source; blank sources have no symbols and are
     rejected as ``no_symbols``, sources without declarations are kept."""
-    found = symbols_json(symbols(sources, file, code, mode), file)
-    return (
-        sources.select(file)
-        .join(found, file, "left")
-        .withColumn("reject", F.when(F.col("symbols_json").isNull(), "no_symbols"))
-    )
+    return symbol_lists(sources, file, code, mode).withColumn("reject", F.when(F.col("symbols_json").isNull(), "no_symbols"))

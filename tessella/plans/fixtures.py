@@ -7,6 +7,8 @@ shapes a row takes, never whether its document takes part.
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tessella.functions.text import let
@@ -205,24 +207,34 @@ def catalog_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 CHUNK = 7
 
 
-def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One source file per document (file_id, code): every run of seven words of the text becomes
-    a class with a property and a method, so the file grows with the text."""
-    def build(words):
-        def at(c, j):
-            return F.coalesce(F.get(words, c * CHUNK + j), F.lit("pad"))
+#: What a run of seven words becomes, by turns: {0} to {6} stand for the words.
+SOURCE_SHAPES = (
+    "@objc class T_{0}: P_{1}, P_{2} {{\n  var v_{3}: Int\n  func f_{4}(x: Int) -> Bool {{ c_{5}(v_{3}.m_{6}()) }}\n}}\n",
+    "/* {{ /* T_{0} */ }} */\npublic struct S_{0}<A, B: P_{1}>: Q_{2}<A, B> {{\n"
+    "  struct N_{3} {{\n    let p_{4}: D<Int, [K_{5}]> = e_{5}(/}}{6}{{2}}/)\n  }}\n"
+    "  func g_{4}<C>(_ y: [C], by z: D<C, Int>) -> [C] where C: P_{1} {{\n"
+    "    y.filter {{ k in h_{5}(k, R<Int, C>(x: i_{6})) }}\n  }}\n}}\n",
+)
 
-        def decl(c):
-            return F.concat(
-                F.lit("@objc class T_"), at(c, 0), F.lit(": P_"), at(c, 1), F.lit(", P_"), at(c, 2),
-                F.lit(" {\n  var v_"), at(c, 3),
-                F.lit(": Int\n  func f_"), at(c, 4), F.lit("(x: Int) -> Bool { c_"), at(c, 5),
-                F.lit("(v_"), at(c, 3), F.lit(".m_"), at(c, 6), F.lit("()) }\n}\n"),
-            )
 
+def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One source file per document (file_id, code): every run of seven words of the text becomes, by turns, a class with
+    a property and a method, or nested types with comments, generics, a regex literal and a closure; so the file
+    grows with the text."""
+
+    def shaped(shape: str, words, c):
+        pieces = []
+        for text, field, _, _ in string.Formatter().parse(shape):
+            pieces.append(F.lit(text))
+            if field is not None:
+                pieces.append(F.coalesce(F.get(words, c * CHUNK + int(field)), F.lit("pad")))
+        return F.concat(*pieces)
+
+    def build(words):
         n = F.ceil(F.size(words) / CHUNK).cast("int")
         runs = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))
-        return F.when(n == 0, F.lit("")).otherwise(F.array_join(F.transform(runs, decl), ""))
+        by_turns = F.transform(runs, lambda c: F.when(c % 2 == 0, shaped(SOURCE_SHAPES[0], words, c)).otherwise(shaped(SOURCE_SHAPES[1], words, c)))
+        return F.when(n == 0, F.lit("")).otherwise(F.array_join(by_turns, ""))
 
     words = F.regexp_extract_all("text", F.lit(r"\p{L}+"), F.lit(0))
     return documents(spark, sf_dir).select(

@@ -6,6 +6,8 @@ response shapes of the fixture must give.
 
 from __future__ import annotations
 
+import re
+
 from tessella.functions.text import WHITESPACE
 from tessella.operators.responses import INSTRUCTION
 from tessella.plans.fixtures import with_fixtures
@@ -400,22 +402,36 @@ ORACLE["removal_counts"] = with_fixtures(
 )
 
 # --- symbols ------------------------------------------------------------------------------------
-# Every run of seven words gives 32 tokens after the two of the import line.
+# Runs of seven words give, by turns, the tokens of these two shapes, after the two of the import line.
+
+_SHAPES = tuple(
+    shape.split()
+    for shape in (
+        "@objc class T_{w1} : P_{w2} , P_{w3} { var v_{w4} : Int func f_{w5} ( x : Int ) -> Bool "
+        "{ c_{w6} ( v_{w4} . m_{w7} ( ) ) } }",
+        "public struct S_{w1} < A , B : P_{w2} > : Q_{w3} < A , B > { "
+        "struct N_{w4} { let p_{w5} : D < Int , [ K_{w6} ] > = e_{w6} ( /}{w7}{2}/ ) } "
+        "func g_{w5} < C > ( _ y : [ C ] , by z : D < C , Int > ) -> [ C ] where C : P_{w2} { "
+        "y . filter { k in h_{w6} ( k , R < Int , C > ( x : i_{w7} ) ) } } }",
+    )
+)
+_STARTS = ((0, 8, 12, 31), (0, 18, 21, 37, 38, 70, 93, 94))
+_EVEN, _ODD = (f"(SELECT * FROM cw WHERE c % 2 = {k})" for k in (0, 1))
 
-_CHUNK_TOKENS = (
-    "@objc class T_{w1} : P_{w2} , P_{w3} { var v_{w4} : Int func f_{w5} ( x : Int ) -> Bool "
-    "{ c_{w6} ( v_{w4} . m_{w7} ( ) ) } }"
-).split()
+
+def _at(shape: int, i: int) -> str:
+    return f"CAST({2 + len(_SHAPES[0]) * shape + i} + {sum(map(len, _SHAPES))} * (c // 2) AS INTEGER) AS pos"
 
 
 def _token_rows() -> str:
-    rows, depth = [], 0
-    for i, token in enumerate(_CHUNK_TOKENS):
-        depth += (token == "{") - (token == "}")
-        word = token[token.index("{") + 1 : -1] if "{w" in token else None
-        text = f"'{token.split('{')[0]}' || {word}" if word else f"'{token}'"
-        starts = token in ("@objc", "var", "func") or i == len(_CHUNK_TOKENS) - 1
-        rows.append(f"SELECT {text} AS tok, {depth} AS depth, 2 + 32 * c + {i} AS pos, {str(starts).lower()} AS nl FROM cw")
+    rows = []
+    for shape, tokens in enumerate(_SHAPES):
+        depth = 0
+        for i, token in enumerate(tokens):
+            depth += (token == "{") - (token == "}")
+            parts = re.split(r"\{(w\d)\}", token)
+            text = " || ".join(part if k % 2 else f"'{part}'" for k, part in enumerate(parts))
+            rows.append(f"SELECT {text} AS tok, {depth} AS depth, {_at(shape, i)}, {str(i in _STARTS[shape]).lower()} AS nl FROM {(_EVEN, _ODD)[shape]}")
     rows.append("SELECT unnest(['import', 'Foundation']) AS tok, 0 AS depth, unnest([0, 1]) AS pos, false AS nl FROM fw")
     return " UNION ALL ".join(rows)
 
@@ -425,41 +441,58 @@ ORACLE["source_tokens"] = with_fixtures(
         FROM ({_token_rows()}) GROUP BY tok, depth""",
     "source_words",
 )
-_SIG = "(x: Int) -> Bool"
-_POS = "CAST(2 + 32 * c + {} AS INTEGER) AS pos"
+_SIG, _SIG_B = "(x: Int) -> Bool", "(_ y: [C], by z: D<C, Int>) -> [C]"
 _CALLS = "list_sort(list_distinct(['c_' || w6, 'm_' || w7]))"
 _REFS = "list_sort(list_distinct(['c_' || w6, 'm_' || w7, 'v_' || w4]))"
+_CALLS_B, _REFS_B = "['filter', 'h_' || w6]", "['R', 'filter', 'h_' || w6, 'i_' || w7, 'k', 'y']"
 ORACLE["type_declarations"] = with_fixtures(
-    f"""SELECT file_id, {_POS.format(1)}, 'T_' || w1 AS symbolName, 'class' AS symbolKind,
-        'P_' || w2 || '|P_' || w3 AS conforms, '@objc' AS attributes FROM cw""",
+    f"""SELECT file_id, {_at(0, 1)}, 'T_' || w1 AS symbolName, 'class' AS symbolKind,
+        'P_' || w2 || '|P_' || w3 AS conforms, '@objc' AS attributes FROM {_EVEN}
+        UNION ALL SELECT file_id, {_at(1, 1)}, 'S_' || w1, 'struct', 'Q_' || w3 || '<A, B>', '' FROM {_ODD}
+        UNION ALL SELECT file_id, {_at(1, 18)}, 'N_' || w4, 'struct', '', '' FROM {_ODD}""",
     "source_words",
 )
 ORACLE["function_declarations"] = with_fixtures(
-    f"""SELECT file_id, {_POS.format(12)}, 'f_' || w5 || '({_SIG})' AS symbolName, 'method' AS symbolKind,
-        '{_SIG}' AS typeSignature FROM cw""",
+    f"""SELECT file_id, {_at(0, 12)}, 'f_' || w5 || '({_SIG})' AS symbolName, 'method' AS symbolKind,
+        '{_SIG}' AS typeSignature FROM {_EVEN}
+        UNION ALL SELECT file_id, {_at(1, 38)}, 'g_' || w5 || '({_SIG_B})', 'method', '{_SIG_B}' FROM {_ODD}""",
     "source_words",
 )
 ORACLE["variable_declarations"] = with_fixtures(
-    f"""SELECT file_id, {_POS.format(8)}, 'v_' || w4 AS symbolName, 'variable' AS symbolKind, 'Int' AS typeSignature FROM cw""",
+    f"""SELECT file_id, {_at(0, 8)}, 'v_' || w4 AS symbolName, 'variable' AS symbolKind, 'Int' AS typeSignature FROM {_EVEN}
+        UNION ALL SELECT file_id, {_at(1, 21)}, 'p_' || w5, 'variable', 'D<Int, [K_' || w6 || ']>' FROM {_ODD}""",
     "source_words",
 )
 ORACLE["qualified_symbols"] = with_fixtures(
-    f"""SELECT file_id, {_POS.format(1)}, 'T_' || w1 AS symbolName, 'class' AS symbolKind FROM cw
-        UNION ALL SELECT file_id, {_POS.format(8)}, 'T_' || w1 || '.v_' || w4, 'property' FROM cw
-        UNION ALL SELECT file_id, {_POS.format(12)}, 'T_' || w1 || '.f_' || w5 || '({_SIG})', 'method' FROM cw""",
+    f"""SELECT file_id, {_at(0, 1)}, 'T_' || w1 AS symbolName, 'class' AS symbolKind FROM {_EVEN}
+        UNION ALL SELECT file_id, {_at(0, 8)}, 'T_' || w1 || '.v_' || w4, 'property' FROM {_EVEN}
+        UNION ALL SELECT file_id, {_at(0, 12)}, 'T_' || w1 || '.f_' || w5 || '({_SIG})', 'method' FROM {_EVEN}
+        UNION ALL SELECT file_id, {_at(1, 1)}, 'S_' || w1, 'struct' FROM {_ODD}
+        UNION ALL SELECT file_id, {_at(1, 18)}, 'S_' || w1 || '.N_' || w4, 'struct' FROM {_ODD}
+        UNION ALL SELECT file_id, {_at(1, 21)}, 'S_' || w1 || '.N_' || w4 || '.p_' || w5, 'property' FROM {_ODD}
+        UNION ALL SELECT file_id, {_at(1, 38)}, 'S_' || w1 || '.g_' || w5 || '({_SIG_B})', 'method' FROM {_ODD}""",
     "source_words",
 )
 ORACLE["body_calls"] = with_fixtures(
-    f"SELECT file_id, {_POS.format(12)}, array_to_string({_CALLS}, '|') AS calls_out FROM cw", "source_words"
+    f"""SELECT file_id, {_at(0, 12)}, array_to_string({_CALLS}, '|') AS calls_out FROM {_EVEN}
+        UNION ALL SELECT file_id, {_at(1, 38)}, array_to_string({_CALLS_B}, '|') FROM {_ODD}""",
+    "source_words",
 )
 ORACLE["body_references"] = with_fixtures(
-    f"""SELECT file_id, {_POS.format(12)}, array_to_string({_REFS}, '|') AS "references" FROM cw""", "source_words"
+    f"""SELECT file_id, {_at(0, 12)}, array_to_string({_REFS}, '|') AS "references" FROM {_EVEN}
+        UNION ALL SELECT file_id, {_at(1, 38)}, array_to_string({_REFS_B}, '|') FROM {_ODD}""",
+    "source_words",
 )
-_ONE_JSON = f"""
+_ONE_JSON = f"""CASE WHEN c % 2 = 0 THEN
     '{{"symbolName":"T_' || w1 || '","symbolKind":"class","conforms":["P_' || w2 || '","P_' || w3 || '"],"attributes":["@objc"]}},'
     || '{{"symbolName":"v_' || w4 || '","symbolKind":"variable","typeSignature":"Int"}},'
     || '{{"symbolName":"f_' || w5 || '({_SIG})","symbolKind":"method","typeSignature":"{_SIG}","calls_out":["'
-    || array_to_string({_CALLS}, '","') || '"],"references":["' || array_to_string({_REFS}, '","') || '"]}}'"""
+    || array_to_string({_CALLS}, '","') || '"],"references":["' || array_to_string({_REFS}, '","') || '"]}}'
+    ELSE '{{"symbolName":"S_' || w1 || '","symbolKind":"struct","conforms":["Q_' || w3 || '<A, B>"]}},'
+    || '{{"symbolName":"N_' || w4 || '","symbolKind":"struct"}},'
+    || '{{"symbolName":"p_' || w5 || '","symbolKind":"variable","typeSignature":"D<Int, [K_' || w6 || ']>"}},'
+    || '{{"symbolName":"g_' || w5 || '({_SIG_B})","symbolKind":"method","typeSignature":"{_SIG_B}","calls_out":["'
+    || array_to_string({_CALLS_B}, '","') || '"],"references":["' || array_to_string({_REFS_B}, '","') || '"]}}' END"""
 _LISTS = f"""(SELECT file_id, '[' || coalesce(string_agg({_ONE_JSON}, ',' ORDER BY c), '') || ']' AS symbols_json
     FROM fw LEFT JOIN cw USING (file_id) GROUP BY file_id)"""
 ORACLE["symbol_lists"] = with_fixtures(f"SELECT file_id, md5(symbols_json) AS symbols_md5 FROM {_LISTS}", "source_words")

@@ -749,7 +749,7 @@ def body_references(spark, sf_dir):
 
 @query
 def symbol_lists(spark, sf_dir):
-    return symbols.symbols_json(_symbols(spark, sf_dir)).select("file_id", _md5("symbols_json", "symbols_md5"))
+    return symbols.symbol_lists(fx.sources(spark, sf_dir)).select("file_id", _md5("symbols_json", "symbols_md5"))
 
 
 @query

@@ -144,6 +144,101 @@ def test_long_source_does_not_overflow(spark):
     assert len(row.calls_out) == 50 and len(row.references) == 100
 
 
-def test_one_shuffle(spark):
-    df = S.symbols(spark.createDataFrame([(1, "struct S {}")], "file_id long, code string"))
-    assert df._jdf.queryExecution().toString().split("Physical Plan")[1].count("Exchange hashpartitioning") == 1
+def test_no_shuffle(spark):
+    df = S.symbol_lists(spark.createDataFrame([(1, "struct S {}")], "file_id long, code string"))
+    for rows in (df, S.symbols(spark.createDataFrame([(1, "struct S {}")], "file_id long, code string"))):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Sort" not in plan
+
+
+def test_brackets_ten_deep(listed):
+    deep = "(" * 10 + "x" + ")" * 10
+    generic = "A<" * 9 + "Int, [B]" + ">" * 9
+    squares = "[" * 10 + "y" + "]" * 10
+    got = listed(
+        f"@wrap({deep}, {{ class No {{}} }})\nclass C: {generic}, P {{\n  var v: {generic} = make({squares}), w = 2\n"
+        f"  func f(a: {generic}, b: ({generic}) -> Void) -> {generic} {{ log(\"a \\(g({deep}, \"b \\(h(z))\"))\") }}\n}}\n"
+    )
+    assert list(got) == ["C", "v", "w", f"f((a: {generic}, b: ({generic}) -> Void) -> {generic})"]
+    assert got["C"].conforms == [generic, "P"] and got["C"].attributes == ["@wrap"]
+    assert got["v"].typeSignature == generic
+    f = got[f"f((a: {generic}, b: ({generic}) -> Void) -> {generic})"]
+    assert f.calls_out == ["g", "h", "log"] and f.references == ["g", "h", "log", "x", "z"]
+
+
+def test_three_levels_of_comments(listed):
+    got = listed("/* a /* func no() { /* } */ x */ \"b */ struct A {}\nfunc f() { /* { /* /* */ } */ // */ */\n */ g() }\nstruct B {}\n")
+    assert list(got) == ["A", "f(())", "B"]
+    assert got["f(())"].calls_out == ["g"]
+    assert list(listed("struct A {} /* open { struct B {}")) == ["A"]
+
+
+def test_regex_literals(listed):
+    got = listed("func f() {\n  let r = /ab{2}c\\/[/}]/\n  match(/x(y)z/, #/a/{b}/#)\n  return a / b / c(d) / 2\n}\nstruct After {}\n")
+    assert list(got) == ["f(())", "r", "After"]
+    assert got["f(())"].calls_out == ["c", "match"] and got["f(())"].references == ["a", "b", "c", "d", "match"]
+
+
+def test_generic_arguments_are_no_uses(listed):
+    got = listed(
+        "func f() {\n  Foo<Int, Bar>(x: 1)\n  let m = Map<Key, [Value: Set<Int>]>.make(one)\n  if a < b, c > d { e() }\n"
+        "  g(h<i, j>k)\n  return x as? Box<Elem, Other> ?? nil\n}\nvar p = a < b, q = 2\n"
+    )
+    assert got["f(())"].references == sorted("Foo Map make one a b c d e g h i j k x".split())
+    assert got["f(())"].calls_out == ["e", "g", "make"]
+    assert "p" in got and "q" in got
+
+
+def test_broken_sources_end(listed):
+    assert list(listed("let s = \"text\nstruct A {}\n")) == ["s", "A"]
+    assert list(listed("} } struct A { func f() { g(")) == ["A", "f(())"]
+    assert list(listed("f(\"\\(\"\\(" * 20 + "\nstruct A {}")) == ["A"]
+    assert list(listed("@a(\nstruct A {}")) == ["A"]
+    assert listed("*/ ) ] > } \\ # \x01 \U0001f600 `") == {}
+
+
+def owners_by_stack(code):
+    """name -> called names of every function of a source made of ``func NAME() {``, ``NAME()`` and ``}``."""
+    open_, out = [], {}
+    for word in code.split():
+        if word.endswith("{}"):
+            continue
+        if word == "}":
+            open_.pop()
+        elif word.startswith("f"):
+            open_.append(word)
+            out[word] = set()
+        elif word.startswith("c"):
+            for name in open_:
+                out[name].add(word.removesuffix("()"))
+    return {n: sorted(c) for n, c in out.items()}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_bodies_of_random_nesting(spark, seed):
+    import random
+
+    rng, depth, parts, plain = random.Random(seed), 0, [], []
+    for k in range(400):
+        kind = rng.choice("ofc" if depth < 12 else "cc")
+        if kind == "f":
+            depth += 1
+            parts.append(f"func f{k}() {{\n")
+            plain.append(f"f{k}")
+        elif kind == "o" and depth:
+            depth -= 1
+            parts.append("}\n")
+            plain.append("}")
+        else:
+            n = rng.randint(0, 30)
+            parts.append(f"c{n}()\n")
+            plain.append(f"c{n}()")
+    rows = S.symbols(spark.createDataFrame([(1, "".join(parts) + "}\n" * depth)], "file_id long, code string")).collect()
+    assert {r.symbolName.removesuffix("(())"): r.calls_out for r in rows} == owners_by_stack(" ".join(plain))
+
+
+def test_rows_of_any_key_type(spark):
+    rows = S.symbol_lists(spark.createDataFrame([("a", "struct S {}"), (None, "let x = 1"), ("a", None)], "file string, src string"), "file", "src").collect()
+    assert sorted((r.file or "", r.symbols_json or "") for r in rows) == [
+        ("", '[{"symbolName":"x","symbolKind":"variable"}]'), ("a", ""), ("a", '[{"symbolName":"S","symbolKind":"struct"}]'),
+    ]
