@@ -13,6 +13,7 @@ leaves its level; an opening brace without a closing one reaches to the end.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 import numpy as np
 import regex
@@ -25,6 +26,7 @@ _PIECE = regex.compile(
     rf"(?:\s++|//[^\n]*+)*+(?:({_NAME}|[(){{}}\[\],:;]|->|\.\.[.<]|\d\w*+(?:\.\d\w*+)?+|(?:(?!//|/\*)[-+*=<>!&|^~?%])(?:(?!//|/\*)[-+*/=<>!&|^~?%])*+)|(\S))"
 )
 _SETTER = regex.compile(r"(?:(?:private|fileprivate|internal|public|open|package)\s*+\(\s*+set|unowned\s*+\(\s*+(?:safe|unsafe))\s*+\)")
+_SETTER_HEADS = frozenset("private fileprivate internal public open package unowned".split())
 _ATTRIBUTE = regex.compile(r"@[A-Za-z_][\w.]*+")
 _QUOTE = regex.compile(r'(#*+)("""|")')
 _DIRECTIVE = regex.compile(r"#\w++")
@@ -150,104 +152,108 @@ def lex(code: str) -> list[tuple[str, str, bool]]:
     frames: list[tuple] = []  # (kind, start, start of the gap, tokens around, open parentheses around, stops of a string)
     broken: set[int] = set()  # where a frame began that does not end
     at = gap = parens = 0
-    in_string = False
-    match = _PIECE.match
     while True:
-        if in_string:
-            kind, start, before, around, outer, stops = frames[-1]
-            found = stops.search(code, at)
-            what = found.lastgroup if found else "line"
-            if what == "escape":
-                at = found.end()
-            elif what == "code":
-                at = gap = found.end()
-                parens, in_string = 0, False
-            else:
-                frames.pop()
-                in_string = False
-                inner, out, parens = out, around, outer
-                if what == "close":
-                    at = found.end()
-                    out.append((code[before:start], code[start:at], False))
-                    out.extend((g, t, True) for g, t, _ in inner)
-                else:
-                    broken.add(start)
-                    at = start + 1
-                    out.append((code[before:start], code[start], False))
-                gap = at
-            continue
-        piece = match(code, at)
-        if piece is None:
-            if not frames:
-                return out
-            kind, start, before, out, parens, _ = frames.pop()
-            broken.add(start)
-            at = gap = start if kind == "attribute" else start + 1
-            if kind == "string":
-                out.append((code[before:start], code[start], False))
-            else:
-                gap = before
-            continue
-        token = piece.group(1)
-        if token is not None:
+        for piece in _PIECE.finditer(code, at):  # pieces follow each other without holes
+            token = piece[1]
+            if token is None:
+                break
             start, at = piece.span(1)
-            if frames:
+            if frames and token in "()":
                 if token == "(":
                     parens += 1
-                elif token == ")":
-                    if parens == 0:
-                        kind, begun, before, around, outer, _ = frames[-1]
-                        if kind == "string":
-                            in_string = True
-                        else:
-                            frames.pop()
-                            out, parens = around, outer
-                            out.append((code[before:begun], code[begun:at], False))
-                            gap = at
-                        continue
+                elif parens:
                     parens -= 1
-            if at < len(code) and code[at] in "( \t\n" and (setter := _SETTER.match(code, start)):
+                else:
+                    break
+            elif token in _SETTER_HEADS and (setter := _SETTER.match(code, start)):
                 at = setter.end()
-                token = setter.group()
+                out.append((code[gap:start], setter[0], False))
+                gap = at
+                break
             out.append((code[gap:start], token, False))
             gap = at
+        else:
+            if not frames:
+                return out
+            # the innermost frame does not end: read it as what began it
+            kind, begun, before, out, parens, _ = frames.pop()
+            broken.add(begun)
+            at, gap = begun, before
+            if kind == "string":
+                out.append((code[before:begun], code[begun], False))
+                at = gap = begun + 1
             continue
-        start = piece.start(2)
-        first = code[start]
-        found = None
-        if first == "/":
-            if code.startswith("/*", start):
-                depth, at = 1, start + 2
-                while depth:
-                    mark = _COMMENT.search(code, at)
-                    if mark is None:
-                        at = len(code)
-                        break
-                    depth += 1 if mark.group() == "/*" else -1
-                    at = mark.end()
-                continue  # the gap goes on
-            found = None if _divides(out) else _REGEX.match(code, start)
-            found = found or _OPERATOR.match(code, start)
-        elif first in '"#':
-            quote = None if start in broken else _QUOTE.match(code, start)
-            if quote:
-                frames.append(("string", start, gap, out, parens, _stops_of(*quote.groups())))
-                out, at, in_string = [], quote.end(), True
+        if token == ")" and frames and gap != at:
+            kind, begun, before, around, outer, stops = frames[-1]
+            if kind == "attribute":
+                frames.pop()
+                out, parens = around, outer
+                out.append((code[before:begun], code[begun:at], False))
+                gap = at
                 continue
-            if first == "#":
-                found = _LONG_REGEX.match(code, start) or _DIRECTIVE.match(code, start)
-        elif first == "@":
-            found = _ATTRIBUTE.match(code, start)
-            if found and start not in broken and code.startswith("(", found.end()):
-                frames.append(("attribute", start, gap, out, parens, None))
-                out, parens, at = [], 0, found.end() + 1
+        elif token is not None:
+            continue
+        else:
+            start = piece.start(2)
+            first = code[start]
+            found = quote = None
+            if first == "/":
+                if code.startswith("/*", start):
+                    at = _comment_end(code, start)
+                    continue  # the gap goes on
+                found = (None if _divides(out) else _REGEX.match(code, start)) or _OPERATOR.match(code, start)
+            elif first == "@":
+                found = _ATTRIBUTE.match(code, start)
+                if found and start not in broken and code.startswith("(", found.end()):
+                    frames.append(("attribute", start, gap, out, parens, None))
+                    out, parens, at = [], 0, found.end() + 1
+                    gap = at
+                    continue
+            elif first in '"#':
+                quote = None if start in broken else _QUOTE.match(code, start)
+                if not quote and first == "#":
+                    found = _LONG_REGEX.match(code, start) or _DIRECTIVE.match(code, start)
+            if not quote:
+                at = found.end() if found else start + 1
+                out.append((code[gap:start], code[start:at], False))
                 gap = at
                 continue
-        at = found.end() if found else start + 1
-        out.append((code[gap:start], code[start:at], False))
+            frames.append(("string", start, gap, out, parens, _stops_of(*quote.groups())))
+            out, at = [], quote.end()
+        # within a string, up to its end or the next interpolation
+        _, begun, before, around, outer, stops = frames[-1]
+        found = stops.search(code, at)
+        while found and found.lastgroup == "escape":
+            found = stops.search(code, found.end())
+        if found and found.lastgroup == "code":
+            at = gap = found.end()
+            parens = 0
+            continue
+        frames.pop()
+        inner, out, parens = out, around, outer
+        if found and found.lastgroup == "close":
+            at = found.end()
+            out.append((code[before:begun], code[begun:at], False))
+            out.extend((g, t, True) for g, t, _ in inner)
+        else:
+            broken.add(begun)
+            at = begun + 1
+            out.append((code[before:begun], code[begun], False))
         gap = at
 
 
+def _comment_end(code: str, start: int) -> int:
+    """Where the block comment that begins at ``start`` ends, with those inside it."""
+    depth, at = 1, start + 2
+    while depth:
+        mark = _COMMENT.search(code, at)
+        if mark is None:
+            return len(code)
+        depth += 1 if mark[0] == "/*" else -1
+        at = mark.end()
+    return at
+
+
 def generic_depth(tokens: list[str], adjacent: np.ndarray, new_line: np.ndarray, cls: np.ndarray) -> np.ndarray:
     """How many argument lists of types each token stands in, the angle brackets included.
 
@@ -279,12 +285,18 @@ def generic_depth(tokens: list[str], adjacent: np.ndarray, new_line: np.ndarray,
     return np.cumsum(depth[:-1])
 
 
+def _of_each(values: list[str], what: Callable, kind: type) -> np.ndarray:
+    """``what`` of each value, found once for equal ones."""
+    known = {v: what(v) for v in set(values)}
+    return np.fromiter(map(known.__getitem__, values), kind, len(values))
+
+
 def structure(code: str) -> tuple[dict[str, list | np.ndarray], dict[str, list | np.ndarray]]:
     """The tokens of a source and its statements, as columns.
 
-    Tokens: pos, tok, gap, inner, nl (starts a line), cls (classes as bits), depth (open braces), p_depth (open
-    parentheses and brackets; both with the token itself), rel (p_depth counted from the enclosing brace), angle (lists
-    of types around it) and stmt. Statements: first and stop (positions), decl and kind (its declaring keyword), eq, colon
+    Tokens: pos, tok, gap, inner, nl (starts a line), cls (classes as bits), depth (open braces, the
+    token's own included), rel (open parentheses and brackets since the enclosing brace), angle (lists of types around
+    it) and stmt. Statements: first and stop (positions), decl and kind (its declaring keyword), eq, colon
     (first ones at its level), last_in, open and close (its body) and within (the statement whose body holds it); -1
     for none.
     """
@@ -292,10 +304,9 @@ def structure(code: str) -> tuple[dict[str, list | np.ndarray], dict[str, list |
     n = len(pieces)
     toks = [t for _, t, _ in pieces]
     gaps = [g for g, _, _ in pieces]
-    cls = np.fromiter(map(class_of, toks), np.int64, n)
-    nl = np.fromiter(("\n" in g for g in gaps), bool, n)
-    adjacent = np.fromiter((not g for g in gaps), bool, n)
-    step = np.fromiter((1 if t in ("(", "[") else -1 if t in (")", "]") else 0 for t in toks), np.int64, n)
+    cls = _of_each(toks, class_of, np.int64)
+    nl, adjacent = _of_each(gaps, lambda g: "\n" in g, bool), _of_each(gaps, lambda g: not g, bool)
+    step = _of_each(toks, lambda t: 1 if t in ("(", "[") else -1 if t in (")", "]") else 0, np.int64)
     has = lambda c, *names: (c & sum(BITS[x] for x in set(names))) != 0
     is_open, is_close = has(cls, "open"), has(cls, "close")
     depth, p_depth = np.cumsum(is_open.astype(np.int64) - is_close), np.cumsum(step)
@@ -335,7 +346,7 @@ def structure(code: str) -> tuple[dict[str, list | np.ndarray], dict[str, list |
     last_in[stmt[at_in]] = at_in  # the last one stays
     opened = np.where(is_open[stop - 1], stop - 1, -1) if n else first
     outer = brace[np.where(decl >= 0, decl, first)] if n else first
-    tokens = {"pos": np.arange(n), "tok": toks, "gap": gaps, "inner": [i for _, _, i in pieces], "nl": nl, "cls": cls, "depth": depth, "p_depth": p_depth, "rel": rel, "angle": angle, "stmt": stmt}
+    tokens = {"pos": np.arange(n), "tok": toks, "gap": gaps, "inner": [i for _, _, i in pieces], "nl": nl, "cls": cls, "depth": depth, "rel": rel, "angle": angle, "stmt": stmt}
     kinds = [None if k < 0 else "var" if toks[k] in BINDINGS else toks[k] for k in decl.tolist()]
     statements = {
         "first": first, "stop": stop, "decl": decl, "kind": kinds, "eq": least(top & has(cls, "equals")), "colon": least(top & has(cls, "colon")),

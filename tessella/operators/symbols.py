@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tessella.functions import lexer
 from tessella.functions.text import blank, computed_once, let, non_empty, strip
 
-_TOKEN = "pos int, tok string, gap string, inner boolean, nl boolean, cls bigint, depth int, p_depth int, rel int, angle int, stmt int"
+_TOKEN = "pos int, tok string, gap string, inner boolean, nl boolean, cls bigint, depth int, rel int, angle int, stmt int"
 _STATEMENT = "first int, stop int, decl int, kind string, eq int, colon int, last_in int, open int, close int, within int"
 #: Characters of source after which the arrays read so far are passed on.
 _PACK = 1 << 18
@@ -74,7 +74,7 @@ def structured(sources: DataFrame, file: str = "file_id", code: str = "code") ->
 
 
 def tokens(sources: DataFrame, file: str = "file_id", code: str = "code") -> DataFrame:
-    """(file, pos, tok, gap, inner, nl, cls, depth, p_depth, rel, angle, stmt), one row per token."""
+    """(file, pos, tok, gap, inner, nl, cls, depth, rel, angle, stmt), one row per token."""
     return structured(sources, file, code).select(file, F.inline("tokens"))
 
 
