@@ -4,7 +4,7 @@ One row-level pass parses every output once (``parse_outputs``). Everything else
 small aggregates of it: ``profile`` (rows per category, list length and reasoning length) and
 ``identifier_counts`` (uses per identifier). Both are combined map-side before their shuffle, so a
 dataset holding most rows costs no more than its distinct combinations. ``summarize`` makes both in
-one pass with one shuffle, for results that need the two.
+one pass with one shuffle and stores them, for results that need the two or read one several times.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql.types import StructType
 
 from tessella.functions import labels
 from tessella.functions.text import computed_once, let, strip
+from tessella.session import materialize
 from tessella.sources.entries import number_entries
 
 # Reasoning length ranges in characters, bounds included.
@@ -99,7 +100,8 @@ def identifier_counts(parsed: DataFrame) -> DataFrame:
 
 def summarize(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(profile, identifier_counts) of one pass: every entry yields its profile row and one row per
-    identifier, and all are counted in one shuffle, which a query that reads both tables shares."""
+    identifier, and all are counted in one shuffle. The counts, one row for each distinct combination, are written
+    to the shared folder, so whatever reads the two tables, however often, parses nothing again."""
     fields = ("valid", "category", "n_items", "reasoning_len")
     parsed = _numbered(parsed)
     types = dict(parsed.dtypes)
@@ -119,6 +121,7 @@ def summarize(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
         .groupBy("dataset", *fields, "identifier")
         .agg(F.count("*").alias("n"), F.min("place").alias("place"))
     )
+    counted = materialize(counted, "dataset-counts")
     return (
         counted.where("identifier is null").select("dataset", *fields, "n"),
         counted.where("identifier is not null").select("dataset", "identifier", "n", _seen("place").alias("first_seen")),

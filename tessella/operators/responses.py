@@ -3,10 +3,11 @@ training entries. No model is called here; requests are emitted as rows and resp
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tessella.functions import labels
 from tessella.functions.text import as_col, blank, computed_once, fill, non_empty, strip
+from tessella.session import materialize
 
 MAX_ATTEMPTS = 3
 
@@ -95,26 +96,35 @@ def resolve_attempts(attempts: DataFrame) -> DataFrame:
     return attempts.select(*keep, computed_once(labels.resolve_label("raw_response")))
 
 
+def _order(max_attempts: int | None) -> Column:
+    """Attempt, a digest of the label and the row as one number of fixed width, which a hash aggregate can keep the
+    least of; null for attempts without a label, or beyond the allowed ones."""
+    whole = lambda c: c.cast("decimal(38,0)")
+    digest = F.shiftrightunsigned(F.xxhash64("method", "label"), 32)
+    order = (whole(F.col("attempt")) * whole(F.lit(1 << 32)) + whole(digest)) * whole(F.lit(2**63 - 1)) + whole(F.col("_row"))
+    allowed = F.col("label").isNotNull()
+    return F.when(allowed if max_attempts is None else allowed & (F.col("attempt") <= max_attempts), order.cast("decimal(38,0)"))
+
+
 def first_success(resolved: DataFrame, max_attempts: int | None = None) -> DataFrame:
     """(request_id, status, attempt, label, method): the first attempt that gave a label, among the
-    first ``max_attempts`` where that is given. The first attempt is found by numbers alone, then the texts
-    of the winners are joined; no other text is shuffled. Of rows with equal request and attempt one wins."""
-    allowed = F.col("label").isNotNull()
-    if max_attempts is not None:
-        allowed &= F.col("attempt") <= max_attempts
-    flags = resolved.select("request_id", F.when(allowed, F.col("attempt")).alias("attempt"))
-    first = flags.groupBy("request_id").agg(F.min("attempt").alias("attempt"))
-    one = F.row_number().over(Window.partitionBy("request_id", "attempt").orderBy("method", "label"))
-    texts = resolved.where(allowed).select("request_id", "attempt", "label", "method", one.alias("_one")).where("_one = 1").drop("_one")
-    return (
-        first.join(texts, ["request_id", "attempt"], "left")
-        .select(
-            "request_id",
-            F.when(F.col("attempt").isNull(), "failed").otherwise("ok").alias("status"),
-            "attempt",
-            "label",
-            "method",
-        )
+    first ``max_attempts`` where that is given. Of rows with equal request and attempt one wins, by a digest of
+    its label.
+
+    The attempts are judged once and written to the shared folder. From there the winners are found by numbers alone;
+    then the texts of labels go to them, each moved once and none sorted."""
+    rows = resolved.select("request_id", "attempt", "label", "method", F.monotonically_increasing_id().alias("_row"))
+    judged = rows.select("request_id", "attempt", "label", "method", "_row", _order(max_attempts).alias("_order"))
+    judged = materialize(judged, "judged-attempts")
+    winners = judged.groupBy("request_id").agg(F.min("_order").alias("_order"))
+    texts = judged.where(F.col("_order").isNotNull()).select("_order", "attempt", "label", "method")
+    won = winners.hint("shuffle_hash").join(texts, "_order", "left")
+    return won.select(
+        "request_id",
+        F.when(F.col("attempt").isNull(), "failed").otherwise("ok").alias("status"),
+        "attempt",
+        "label",
+        "method",
     )
 
 

@@ -266,6 +266,7 @@ ORACLE["first_success"] = with_fixtures(
     "responses",
 )
 ORACLE["incremental_labels"] = ORACLE["first_success"]
+ORACLE["streamed_winners"] = ORACLE["first_success"]
 ORACLE["incremental_rejects"] = with_fixtures(
     """SELECT CASE attempt WHEN 1 THEN 'not_json' ELSE 'bad_field' END AS reject, count(*) AS n FROM attempts
        WHERE error_class IS NOT NULL GROUP BY ALL""",

@@ -10,7 +10,7 @@ from tessella.plans import fixtures as fx
 from tessella.session import materialize, prepare, scratch_path
 from tessella.sources import artifacts as arts, entries as ents
 from tessella.sources.catalog import read_catalog
-from tessella.streaming.ingest import ingest_responses, read_rejected, read_resolved
+from tessella.streaming.ingest import ingest_responses, read_rejected, read_resolved, read_winners, update_winners
 
 SEED = 7
 GENERATORS = ["gen_a", "gen_b"]
@@ -236,8 +236,8 @@ def project_file_round_trip(spark, sf_dir):
 
 
 def _arrivals(spark, sf_dir):
-    """(resolved, rejects) of responses that arrive in two lots of lines, some of them cut short or with an id that
-    is text, each taken in once by the same stream."""
+    """Where responses are taken in that arrive in two lots of lines, some of them cut short or with an id that is
+    text, each lot once by the same stream."""
     path, target, state = (scratch_path(prepare(spark), n) for n in ("arrived", "resolved", "progress"))
     arrived = fx.responses(spark, sf_dir).drop("variant")
     line = F.to_json(F.struct(*arrived.columns))
@@ -260,7 +260,22 @@ def incremental_labels(spark, sf_dir):
 @query
 def incremental_rejects(spark, sf_dir):
     """Arrived lines that are no attempts, with the reason."""
-    return read_rejected(spark, f"{_arrivals(spark, sf_dir)}-rejects").groupBy("reject").agg(F.count("*").alias("n"))
+    return read_rejected(spark, _arrivals(spark, sf_dir)).groupBy("reject").agg(F.count("*").alias("n"))
+
+
+@query
+def streamed_winners(spark, sf_dir):
+    """Winners kept in the state of a stream while attempts arrive in three lots, out of order; the second lot
+    comes twice, and each time some attempts have come before."""
+    path, target, winners, state = (scratch_path(prepare(spark), n) for n in ("arrived", "resolved", "winners", "progress"))
+    arrived = fx.responses(spark, sf_dir).drop("variant")
+    lot = F.pmod(F.col("request_id") + 2 * F.col("attempt"), F.lit(3))
+    lines = arrived.select(F.to_json(F.struct(*arrived.columns)).alias("value"), lot.alias("lot"))
+    for now in (0, 1, 1, 2):
+        lines.where(F.col("lot") == now).select("value").write.mode("append").text(path)
+        ingest_responses(spark, path, target, state)
+        update_winners(spark, target, winners, state, max_attempts=3)
+    return read_winners(spark, winners, target).select("request_id", "status", "attempt", "method", _md5("label", "label_md5"))
 
 
 # --- manifest -----------------------------------------------------------------------------------

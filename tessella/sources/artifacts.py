@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tessella.functions.text import GENERATOR_ENDING, as_col, base_name, split_ext
+from tessella.sources.listing import read_files
 
 # File extension -> artefact kind.
 KINDS = {".swift": "code", ".json": "label", ".txt": "prompt"}
@@ -34,22 +35,11 @@ def parse_artifact_path(path: Column | str) -> Column:
 
 def read_artifacts(spark: SparkSession, root: str, glob: str = "*", recursive: bool = True) -> DataFrame:
     """(folder, base_filename, ext, kind, polarity, generator, content, n_bytes, path), one row per file whose
-    name matches; content that is not UTF-8 is null, that of a file without bytes is empty. Many small files
-    are packed into few tasks; compact them with ``write_snapshot`` before reading them more than once."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", recursive)
-        .load(root)
-    )
-    # Spark lists files without bytes but reads none of them; a listed path is escaped, a read one is not
-    listed = spark.createDataFrame([(f,) for f in files.inputFiles()], "path string")
-    plain = F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))
-    bare = lambda c: F.regexp_replace(c, r"^(\w+:)/+", "$1/")
-    empty = listed.select(bare(plain).alias("path")).join(files.select(bare(F.col("path")).alias("path")), "path", "left_anti")
-    found = files.select("path", F.try_validate_utf8(F.col("content").cast("string")).alias("content"), F.col("length").alias("n_bytes"))
-    found = found.unionByName(empty.select("path", F.lit("").alias("content"), F.lit(0).cast("bigint").alias("n_bytes")))
-    return found.select(F.inline(F.array(parse_artifact_path("path"))), "content", "n_bytes", "path")
+    name matches; content that is not UTF-8 is null, that of a file without bytes is empty. Folders are listed and
+    read by tasks; compact many small files with ``write_snapshot`` before reading them more than once."""
+    files = read_files(spark, root, glob, recursive)
+    content = F.try_validate_utf8(F.col("content").cast("string")).alias("content")
+    return files.select(F.inline(F.array(parse_artifact_path("path"))), content, F.col("length").alias("n_bytes"), "path")
 
 
 def projects(artifacts: DataFrame) -> DataFrame:
