@@ -7,7 +7,8 @@ from __future__ import annotations
 
 import numpy as np
 
-from tessella.llm.hashing import Words, mix, prefix, spans
+from tessella.llm import hashing
+from tessella.llm.hashing import mix, prefix, spans
 
 BITS = 18
 
@@ -18,6 +19,13 @@ _LOOK[ord("A") : ord("Z") + 1] = ord("A")
 _LOOK[ord("0") : ord("9") + 1] = ord("0")
 
 
+class Words(hashing.Words):
+    """Words under a polynomial hash: what collides shares a feature, as very many words do anyway."""
+
+    def hashes(self, seed: int = 0) -> np.ndarray:
+        return spans(prefix(self.data.astype(np.uint64) + np.uint64(1)), self.start, self.end)
+
+
 def _feature(hashes: np.ndarray, family: int, bits: int) -> np.ndarray:
     return (mix(hashes + np.uint64(family * 0x51ED270B)) >> np.uint64(64 - bits)).astype(np.int64)
 

@@ -1,7 +1,9 @@
 """Words of many texts at once, as arrays: where they are, their 64-bit hashes, and hashes of runs of words.
 
-Hashes are polynomials over the integers modulo 2**64 in an odd base, so that the hash of any run is a
-difference of prefix sums times an inverse power; a mixing step spreads the bits.
+A word's hash is the mixed sum of one mixed value for each eight bytes and their place, so no algebra of the bytes can make
+words collide; a run's hash is built by doubling, each step mixing two halves in order. Both take a seed: two
+seeds give independent hashes, 128 bits together. ``prefix`` and ``spans`` are polynomials modulo 2**64, for runs of bytes
+that only choose one of few features.
 """
 
 from __future__ import annotations
@@ -51,11 +53,51 @@ def spans(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix((sums[end] - sums[start]) * powers(_INVERSE, len(sums))[start])
 
 
+_MASKS = np.array([0] + [(1 << 8 * k) - 1 for k in range(1, 9)], np.uint64)
+_PLACE, _LENGTH, _FIRST = (np.uint64(x) for x in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB))
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A hash of the bytes of each word."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    # eight bytes from any place on; beyond the end of the data stand zeros
+    wide = np.ndarray((len(data) + 1,), "<u8", np.append(data, np.zeros(8, np.uint8)).tobytes(), 0, (1,))
+    number = (end - start + 7) >> 3
+    first = np.cumsum(number) - number
+    word = np.repeat(np.arange(len(start)), number)
+    place = np.arange(len(word)) - first[word]
+    at = start[word] + 8 * place
+    values = wide[at] & _MASKS[np.minimum(end[word] - at, 8)]
+    salt = mix(np.array([seed + 1], np.uint64))
+    blocks = mix(mix(values ^ salt) + place.astype(np.uint64) * _PLACE)
+    return mix(np.add.reduceat(blocks, first) + (end - start).astype(np.uint64) * _LENGTH)
+
+
+def run_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
+    """A hash of each run of ``size`` neighbours, in order."""
+    if size < 1 or len(hashes) < size:
+        return np.zeros(0, np.uint64)
+    n, out, taken, level, width = len(hashes) - size + 1, None, 0, mix(hashes ^ _LENGTH), 1
+    parts = []  # the runs of 1, 2, 4, ... neighbours that make up ``size``
+    while width <= size:
+        if size & width:
+            parts.append((width, level))
+        if 2 * width <= size:
+            level = mix(level[:-width] * _FIRST + level[width:])
+        width *= 2
+    for width, level in reversed(parts):
+        piece = level[taken : taken + n]
+        out = piece.copy() if out is None else mix(out * _FIRST + piece)
+        taken += width
+    return mix(out + np.uint64(size * int(_PLACE) % (1 << 64)))
+
+
 class Words:
     """The words (runs of bytes other than ASCII white space) of texts given as bytes and offsets.
 
     ``start`` and ``end`` are byte positions, ``bounds[d]:bounds[d + 1]`` are the words of text ``d`` and
-    ``hash`` holds one mixed hash per word.
+    ``hash`` holds one hash per word.
     """
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
@@ -71,21 +113,30 @@ class Words:
         self.end = np.flatnonzero(letters & (~after | edge[1:])) + 1
         self.bounds = np.searchsorted(self.start, offsets)
         self.count = np.diff(self.bounds)
-        self.hash = spans(prefix(data.astype(np.uint64) + np.uint64(1)), self.start, self.end)
+        self.data = data
+        self.hash = self.hashes()
+
+    def hashes(self, seed: int = 0) -> np.ndarray:
+        return word_hashes(self.data, self.start, self.end, seed)
 
     def owner(self) -> np.ndarray:
         """The text of each word."""
         return np.repeat(np.arange(len(self.count)), self.count)
 
-    def runs(self, size: int, whole_short: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def runs(self, size: int, whole_short: bool = False, hashes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(hash, first word, text) of every run of ``size`` words within one text. With ``whole_short`` a text
-        of fewer words (but at least one) gives the run of all its words."""
+        of fewer words (but at least one) gives the run of all its words. ``hashes``: those of the words, if others."""
+        own = self.hash if hashes is None else hashes
         number = np.maximum(self.count - size + 1, 0)
-        length = np.full(len(number), size)
-        if whole_short:
-            short = (self.count > 0) & (self.count < size)
-            number[short], length[short] = 1, self.count[short]
+        short = (self.count > 0) & (self.count < size) if whole_short else np.zeros(len(number), bool)
+        number[short] = 1
         text = np.repeat(np.arange(len(number)), number)
         first = np.arange(len(text)) - np.repeat(np.cumsum(number) - number, number) + self.bounds[:-1][text]
-        sums = prefix(self.hash)
-        return spans(sums, first, first + length[text]), first, text
+        whole = ~short[text]
+        out = np.zeros(len(text), np.uint64)
+        out[whole] = run_hashes(own, size)[first[whole]] if whole.any() else 0
+        for k in range(1, size) if short.any() else ():
+            at = np.flatnonzero(~whole & (self.count[text] == k))
+            if len(at):
+                out[at] = run_hashes(own, k)[first[at]]
+        return out, first, text

@@ -3,10 +3,11 @@
 A passage is a run of ``WINDOW`` consecutive words. Every document's text is cut into blocks of half that many words,
 which do not overlap; these are the anchors. Any passage that two documents share holds a whole block of each, so
 probing the index of blocks with every rolling run of block length finds it in both. Hits are then extended: each window
-around a hit is looked up by a 64-bit hash (and the independent hash that deals it out), which gives the document with
-the smallest id that has it; windows in a row are the maximal repeats, and their words go, save in that document.
+around a hit is looked up by two independent 64-bit hashes (``hashing.run_hashes``), which gives the document with the
+smallest id that has it; windows in a row are the maximal repeats, and their words go, save in that document. Of 10**13
+windows two different ones have both hashes alike with a probability of 2e-13.
 
-How it runs: documents are dealt into batches by a hash of their key. A batch sends its distinct hashes to buckets, as one
+How it runs: documents are dealt into batches by a hash of their key and text. A batch sends its distinct hashes to buckets, as one
 packed row for each bucket, and a bucket answers the batches that sent them. So a passage that a third of all documents
 hold counts once a batch, no pairs of documents are ever made, and hashes cost a few bytes a word in the shuffle. Between
 anchors and probes 32 bits within a bucket are compared; what they let through by chance the windows' hashes sort out.
@@ -59,6 +60,11 @@ class Batch:
         kept = self.words.long[row]
         return hashes[kept], first[kept], row[kept]
 
+    def checks(self, size: int) -> np.ndarray:
+        """A second hash, independent of the first, of the same runs."""
+        hashes, _, row = self.words.runs(size, hashes=self.words.hashes(seed=1))
+        return hashes[self.words.long[row]]
+
 
 def _deal(hashes: np.ndarray, buckets: int) -> np.ndarray:
     """The bucket of each hash, by bits independent of it within the bucket."""
@@ -76,6 +82,33 @@ def _starts(ordered: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
 
 
+def _grouped(hashes: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, where each group begins) of runs that are equal in both hashes."""
+    order = np.argsort(hashes, kind="stable")
+    h, c = hashes[order], checks[order]
+    if ((h[1:] == h[:-1]) & (c[1:] != c[:-1])).any():
+        order = np.lexsort((checks, hashes))
+        h, c = hashes[order], checks[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
+    return order, np.flatnonzero(new)
+
+
+def _among(hashes: np.ndarray, checks: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Which runs are among the wanted ones, rows of (hash, check) in order of the hash."""
+    out = np.zeros(len(hashes), bool)
+    if len(wanted):
+        at = np.searchsorted(wanted[:, 0], hashes)
+        same = np.arange(len(hashes))
+        while len(same):
+            same = same[at[same] < len(wanted)]
+            same = same[wanted[at[same], 0] == hashes[same]]
+            out[same] |= wanted[at[same], 1] == checks[same]
+            same = same[~out[same]]
+            at[same] += 1
+    return out
+
+
 def _packed(batch: int, bucket: np.ndarray, **columns: np.ndarray) -> pa.Table:
     """One row for each bucket (in order) with the columns' bytes."""
     edges = np.concatenate([_starts(bucket), [len(bucket)]])
@@ -92,8 +125,8 @@ def _joined(table: pa.Table, name: str, kind: str) -> tuple[np.ndarray, np.ndarr
     return (np.concatenate(parts) if parts else np.zeros(0, kind)), rows
 
 
-def _places(row_order: np.ndarray, hits: pa.Table, buckets: int, batch: Batch, block: int):
-    """Candidate windows: (first word, row, hash) of those that hold a hit."""
+def _places(hits: pa.Table, buckets: int, batch: Batch, block: int):
+    """Candidate windows: (hash, check, row) of those that hold a hit."""
     probes, first, row = batch.runs(block)
     wanted, of = _joined(hits, "found", "<u4")
     wanted = np.unique((hits["bucket"].to_numpy()[of].astype(np.uint64) << np.uint64(32)) | wanted)
@@ -105,7 +138,7 @@ def _places(row_order: np.ndarray, hits: pa.Table, buckets: int, batch: Batch, b
     np.cumsum(marks, out=marks)
     hashes, begin, own = batch.runs(2 * block)
     near = marks[begin + block + 1] > marks[begin]
-    return hashes[near], begin[near], own[near]
+    return hashes[near], batch.checks(2 * block)[near], own[near]
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -117,7 +150,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, math.ceil(total / share_bytes(total)))
     arrow_batches(docs.sparkSession, 10_000)
-    dealt = texts.withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(parts)))
+    dealt = texts.withColumn("batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)))
     by_batch = dealt.groupBy("batch")
 
     def anchors(table: pa.Table) -> pa.Table:
@@ -160,45 +193,41 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
         if not table.num_rows or not hits.num_rows:
             return empty
         batch = Batch(table, window)
-        hashes, _, row = _places(batch.order, hits, parts, batch, block)
-        order = np.argsort(hashes, kind="stable")
-        hashes, own = hashes[order], batch.order[row[order]]
-        starts = _starts(hashes)
+        hashes, checks, row = _places(hits, parts, batch, block)
+        order, starts = _grouped(hashes, checks)
         if not len(starts):
             return empty
-        least, hashes = np.minimum.reduceat(own, starts), hashes[starts]
+        least = np.minimum.reduceat(batch.order[row[order]], starts)
+        hashes, checks = hashes[order[starts]], checks[order[starts]]
         bucket = _deal(hashes, parts)
         order = np.lexsort((hashes, least, bucket))  # equal ids side by side pack well
-        return _packed(table["batch"][0].as_py(), bucket[order], hashes=hashes[order].astype("<u8"), least=least[order].astype("<i8"))
+        both = np.stack([hashes[order], checks[order]], 1).astype("<u8")
+        return _packed(table["batch"][0].as_py(), bucket[order], hashes=both, least=least[order].astype("<i8"))
 
     def smallest(table: pa.Table) -> pa.Table:
         """The windows of a bucket that begin in a smaller document of another batch, for each batch."""
-        hashes, row = _joined(table, "hashes", "<u8")
-        least, _ = _joined(table, "least", "<i8")
-        order = np.argsort(hashes, kind="stable")
-        starts = _starts(hashes[order])
+        least, row = _joined(table, "least", "<i8")
+        both = _joined(table, "hashes", "<u8")[0].reshape(-1, 2)
+        order, starts = _grouped(both[:, 0], both[:, 1])
         number = np.diff(np.concatenate([starts, [len(order)]]))
         first = np.minimum.reduceat(least[order], starts) if len(starts) else least
         hit = np.zeros(len(order), bool)
         hit[order] = np.repeat(first, number) < least[order]
-        return _answers(table, hashes, row, hit)
+        return _answers(table, both, row, hit)
 
     def finish(table: pa.Table, foreign: pa.Table) -> pa.Table:
         if not table.num_rows:
             return pa.table({"doc_id": pa.array([], pa.int64()), "n_words": pa.array([], pa.int64()), "n_removed": pa.array([], pa.int64()), "kept": pa.array([], pa.string())})
         batch = Batch(table, window)
         hashes, first, row = batch.runs(window)
-        own = batch.order[row]
-        order = np.argsort(hashes, kind="stable")
-        starts = _starts(hashes[order])
+        own, checks = batch.order[row], batch.checks(window)
+        order, starts = _grouped(hashes, checks)
         gone = np.zeros(len(hashes), bool)
         if len(starts):
             number = np.diff(np.concatenate([starts, [len(order)]]))
             gone[order] = np.repeat(np.minimum.reduceat(own[order], starts), number) < own[order]
-            wanted = np.unique(_joined(foreign, "found", "<u8")[0])
-            if len(wanted):
-                at = np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)
-                gone |= wanted[at] == hashes
+            wanted = _joined(foreign, "found", "<u8")[0].reshape(-1, 2)
+            gone |= _among(hashes, checks, wanted[np.argsort(wanted[:, 0], kind="stable")])
         words = batch.words
         marks = np.zeros(len(words.start) + 1, np.int64)
         np.add.at(marks, first[gone], 1)

@@ -10,7 +10,8 @@ import pytest
 from helpers import PROSE, clashing, documents, kept_words, prose, weighted_classes
 from pyspark.sql import functions as F
 
-from tessella.llm import components, decontamination, fingerprints, neardup, secret_ledger, substrings
+from tessella.llm import components, decontamination, fingerprints, hashing, neardup, secret_ledger, substrings
+from tessella.llm.tables import raw
 from tessella.session import scratch_path
 
 # --- secrets
@@ -238,3 +239,49 @@ def test_masks_find_what_has_been_replaced(spark):
     got = decontamination.overlaps(documents(spark, docs), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()
     assert len(got) >= 39 and all(r.doc_id == r.item_id for r in got)
     assert PROSE
+
+
+def thue_morse(size, one="a", other="b"):
+    return "".join((one, other)[bin(k).count("1") % 2] for k in range(size))
+
+
+@pytest.mark.parametrize("size", [64, 1024, 4096])
+def test_words_that_polynomials_confuse(spark, size):
+    """Words of Thue-Morse letters, and windows of such words, are different words and windows."""
+    one, other = thue_morse(size), thue_morse(size, "b", "a")
+    common = prose(1, 5, 59)[0].split()
+    docs = [(1, " ".join([*common, one])), (2, " ".join([*common, other])), (3, " ".join([one, *common])), (4, " ".join([other, *common]))]
+    docs += [(k, " ".join([*common[:20], w, *common[20:]])) for k, w in ((5, one), (6, other), (7, one))]
+    docs += [(8, " ".join(thue_morse(64))), (9, " ".join(thue_morse(64, "b", "a"))), (10, " ".join(thue_morse(200)))]
+    got = substrings.remove_repeats(documents(spark, docs)).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in got} == kept_words(docs)
+
+
+def test_hashes_of_words_and_runs():
+    rng = np.random.default_rng(1)
+    words = ["".join(rng.choice(list("abé\U0001f600"), rng.integers(1, 40))) for _ in range(3000)]
+    words += [thue_morse(n, *x) for n in (8, 16, 1024) for x in (("a", "b"), ("b", "a"))] + ["a" * n for n in range(1, 60)]
+    texts = [" ".join(words[k : k + 9]) for k in range(0, len(words), 9)]
+    found = hashing.Words(*raw(pa.array(texts)))
+    assert len(set(found.hash.tolist())) == len(set(words))
+    assert dict(zip(found.hash.tolist(), words, strict=True)) == {h: w for w, h in zip(words, found.hash.tolist(), strict=True)}
+    assert not set(found.hash.tolist()) & set(found.hashes(1).tolist())
+    for size in (1, 2, 3, 5, 8, 25, 50):
+        hashes, first, text = found.runs(size, whole_short=True)
+        runs = [tuple(words[f : f + size]) if len(texts[t].split()) >= size else tuple(texts[t].split()) for f, t in zip(first, text, strict=True)]
+        assert len(set(hashes.tolist())) == len(set(runs)) and len(runs) == sum(max(1, len(t.split()) - size + 1) for t in texts)
+
+
+def test_wanted_runs_need_both_hashes():
+    wanted = np.array([[1, 5], [2, 6], [2, 7], [9, 1]], np.uint64)
+    hashes, checks = np.array([1, 1, 2, 2, 2, 3, 9, 10], np.uint64), np.array([5, 6, 7, 6, 5, 5, 1, 1], np.uint64)
+    assert substrings._among(hashes, checks, wanted).tolist() == [True, False, True, True, False, False, True, False]
+    order, starts = substrings._grouped(np.array([2, 1, 2, 2], np.uint64), np.array([7, 0, 8, 7], np.uint64))
+    assert len(starts) == 3 and order.tolist() == [1, 0, 3, 2]
+
+
+def test_rows_without_ids_are_dealt_by_their_texts(spark):
+    texts = prose(40, 9, 80)
+    docs = documents(spark, [(None, t) for t in texts + texts[:3]])
+    got = substrings.remove_repeats(docs).collect()
+    assert [r.n_removed for r in got] == [0] * 43
