@@ -47,37 +47,47 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
          SELECT unnest(range(1, len(w) + 1)) AS x) WHERE NOT list_contains(js, x)) END, ' ')) AS kept_sha256
 FROM d LEFT JOIN q USING (doc_id)"""
 
-_SEEDS = ("1101100111", "1110010111", "1011101101")
+_MASKS = ("1101101", "111001001", "100101011")
 
 
 def _seeds(source: str, keys: str) -> str:
     parts = []
-    for mask in _SEEDS:
+    for mask in _MASKS:
         words = ", ".join(f"w[i+{k}]" for k, bit in enumerate(mask) if bit == "1")
-        parts.append(f"SELECT {keys}, i, w, concat_ws(' ', '{mask}', {words}) AS seed FROM {source}")
+        parts.append(f"SELECT {keys}, i, w, {len(mask)} AS span, concat_ws(' ', '{mask}', {words}) AS seed FROM {source} WHERE i + {len(mask) - 1} <= len(w)")
     return " UNION ALL ".join(parts)
 
 
 def _windows(name: str, key: str) -> str:
-    return rf"""SELECT {key}, w, unnest(range(1, len(w) - 8)) AS i FROM (
+    return rf"""SELECT {key}, w, unnest(range(1, len(w) + 1)) AS i FROM (
       SELECT {key}, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w FROM {name})
       WHERE len(w) >= 10"""
 
 
+def _run(at) -> str:
+    """The length of the best run of places whose words ``at`` gives on both sides, and its equal words."""
+    one, other = at
+    score = f"list_transform(range(0, 25), lambda k: 2 * len(list_filter(range(1, k + 1), lambda j: {one} = {other})) - k)"
+    return f"list_position({score}, list_max({score})) - 1"
+
+
+_LEFT = ("(CASE WHEN a > j THEN x[a - j] END)", "(CASE WHEN b > j THEN y[b - j] END)")
+_RIGHT = ("x[a + span - 1 + j]", "y[b + span - 1 + j]")
+
 OP10 = f"""
 WITH dw AS ({_windows("documents", "doc_id")}), bw AS ({_windows("benchmark", "item_id")}),
 ds AS ({_seeds("dw", "doc_id")}), bs AS ({_seeds("bw", "item_id")}),
-j AS (
-  SELECT doc_id, item_id, a.i AS place, a.w AS x, b.w AS y, least(least(a.i - 1, 5), least(b.i - 1, 5)) AS back, b.i AS other
-  FROM ds a JOIN bs b USING (seed)),
-c AS (
-  SELECT doc_id, item_id, place, x[place-back : place+14] AS p, y[other-back : other+14] AS q FROM j),
+j AS (SELECT doc_id, item_id, p.span, p.i AS a, p.w AS x, q.w AS y, q.i AS b FROM ds p JOIN bs q USING (seed)),
+r AS (SELECT *, {_run(_LEFT)} AS ln, {_run(_RIGHT)} AS rn FROM j),
 e AS (
-  SELECT doc_id, item_id, place, least(len(p), len(q)) AS compared,
-         len(list_filter(range(1, least(len(p), len(q)) + 1), lambda k: p[k] = q[k])) AS equal FROM c)
-SELECT doc_id, item_id, CAST(min(place) - 1 AS BIGINT) AS first_word, CAST(max(place) + 9 AS BIGINT) AS end_word,
-       count(*) AS n_hits, max(equal / compared) AS best_share
-FROM e WHERE equal >= least(10, compared) AND equal >= 0.7 * compared GROUP BY doc_id, item_id"""
+  SELECT doc_id, item_id, a, a - 1 - ln AS first, a - 1 + span + rn AS stop, ln + span + rn AS compared,
+         len(list_filter(range(-ln, span + rn), lambda j: x[a + j] = y[b + j])) AS equal FROM r),
+g AS (SELECT doc_id, item_id, a, min(first) AS first, max(stop) AS stop, max(equal / compared) AS share
+  FROM e WHERE equal >= 10 AND equal >= 0.6 * compared GROUP BY doc_id, item_id, a)
+SELECT doc_id, item_id, CAST(min(first) AS BIGINT) AS first_word, CAST(max(stop) AS BIGINT) AS end_word,
+       count(*) AS n_hits, max(share) AS best_share
+FROM g GROUP BY doc_id, item_id"""
+
 
 def _clustering(number: int = 16, rounds: int = 3) -> str:
     """Rounds of plain assignment to all centroids."""
@@ -121,7 +131,8 @@ n AS (
   FROM (SELECT conv_id, n, d, ts[1 : d] AS path FROM p) GROUP BY d, path),
 v AS (
   SELECT n.*, u.conv_id AS parent_conv_id, coalesce(k.n, 0) AS n_children,
-         (n_convs - 1) * CASE WHEN n.d = 0 THEN 0 ELSE len(list_filter(string_split_regex(n.path[n.d][2], '[ 	-]+'), lambda x: x <> '')) END AS saved
+         (n_convs - 1) * CASE WHEN n.d = 0 THEN 0 ELSE len(list_filter(string_split_regex(n.path[n.d][2], '[ 	-
+]+'), lambda x: x <> '')) END AS saved
   FROM n LEFT JOIN (SELECT d, path, conv_id FROM n) AS u ON n.d = u.d + 1 AND n.path[1 : n.d - 1] = u.path
   LEFT JOIN (SELECT d - 1 AS d, path[1 : d - 1] AS path, count(*) AS n FROM n WHERE d > 0 GROUP BY ALL) AS k ON n.d = k.d AND n.path = k.path),
 a AS (SELECT path[1 : k] AS path, k AS d, saved, n_children FROM (SELECT path, saved, n_children, unnest(range(0, d + 1)) AS k FROM v)),

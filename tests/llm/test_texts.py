@@ -285,3 +285,46 @@ def test_rows_without_ids_are_dealt_by_their_texts(spark):
     docs = documents(spark, [(None, t) for t in texts + texts[:3]])
     got = substrings.remove_repeats(docs).collect()
     assert [r.n_removed for r in got] == [0] * 43
+
+
+def found_items(spark, items, docs):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = decontamination.overlaps(documents(spark, docs), bench).collect()
+    assert all(r.doc_id == r.item_id for r in rows)
+    return {r.doc_id: r for r in rows}
+
+
+@pytest.mark.parametrize("every", [3, 4, 5, 6, 9])
+def test_passages_with_every_few_words_replaced(spark, every):
+    items, filler = prose(3 * every, 21, 30), prose(1, 22, 40)[0]
+    docs = [(i, f"{filler} " + " ".join(f"new{k}" if (k + i) % every == 0 else w for k, w in enumerate(t.split()))) for i, t in enumerate(items)]
+    got = found_items(spark, items, docs)
+    assert len(got) == len(items)
+    for r in got.values():
+        assert 40 <= r.first_word <= 43 and 66 <= r.end_word <= 70 and r.best_share >= 0.65
+
+
+@pytest.mark.parametrize("size, share, least", [(15, 0.15, 0.9), (15, 0.2, 0.8), (20, 0.2, 0.93), (30, 0.2, 0.99)])
+def test_recall_of_passages_with_random_words_replaced(spark, size, share, least):
+    rng = random.Random(size)
+    items = prose(400, 23, size)
+    docs = [(i, " ".join(w if rng.random() >= share else f"new{k}" for k, w in enumerate(t.split()))) for i, t in enumerate(items)]
+    assert len(found_items(spark, items, docs)) >= least * len(items)
+
+
+def test_fragments_of_ten_words(spark):
+    items, filler = prose(12, 24, 60), prose(12, 25, 30)
+    docs = [(i, f"{filler[i]} {' '.join(t.split()[3 * i : 3 * i + 10])} {filler[i]}") for i, t in enumerate(items)]
+    got = found_items(spark, items, docs)
+    assert set(got) == set(range(12))
+    assert all(25 <= r.first_word <= 30 and 40 <= r.end_word <= 45 for r in got.values())  # a neighbour may be equal by chance
+    short = [(i, f"{filler[i]} {' '.join(t.split()[5:13])} {filler[i]}") for i, t in enumerate(items)]
+    assert not found_items(spark, items, short)
+
+
+def test_long_texts_and_one_item_in_very_many_documents(spark):
+    items, filler = prose(2, 26, 40), " ".join(prose(60, 27, 200))
+    docs = [(0, f"{filler} {items[0]}"), (1, filler)] + [(k, f"w{k} {items[0]}") for k in range(2, 400)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = decontamination.overlaps(documents(spark, docs), bench).collect()
+    assert {r.doc_id: r.first_word for r in rows} == {0: 12_000} | dict.fromkeys(range(2, 400), 1)
