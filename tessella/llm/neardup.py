@@ -12,11 +12,18 @@ compared in blocks of at most ``BLOCK`` x ``BLOCK``, each its own group, in the
 samples make a link plausible are verified in units: the pairs between two sets of nodes, packed, meet the texts of
 these nodes, so a dense group of very many near texts moves each text a few times and never a row for each pair.
 
-Document frequencies are counted for ``2**DF_BITS`` hashed groups of shingles, a table of fixed size that goes to
-all workers: idf = 1 + ln((N + 1) / (df + 1)) / ln(N + 1), from 1 (in every text) to 2. Groups only raise a frequency.
-
-Defined cases: null and empty texts are equal to each other and near nothing else; rows that share an id are one document, so
-their classes are one; null ids with equal texts are one document, numbered by a negative hash; empty tables give no rows.
+idf = 1 + min(1, ln(1 / p) / ln(1 / RARE)) for a shingle that stands in the share p of all texts, from 1 (in every text) to 2
+(in RARE of them or fewer). It depends on shares only, so a pair of texts is as similar in a large corpus as in a small
+one. Only shingles beyond RARE need a number: at most the average text's shingles divided by RARE, whatever the
+corpus. They are found by what each part of the corpus holds (a shingle beyond a share of the whole is beyond it in some
+part) and then counted exactly.
+
+Nodes are different texts, each named after the smallest id that has it. Rows meet their node by content and one of
+``SALTS`` salts, so that a text which a third of all rows hold is no hot key.
+
+Defined cases: null and empty texts are equal to each other and near nothing else; rows are judged by their own text, also where
+an id stands with several; a text whose smallest id is null or is that of another text too has a number from 2**62 on, made
+from its hash; equal rows are kept together; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -38,13 +45,18 @@ from tessella.llm.tables import arrow_batches, map_batches, pieces, raw, store,
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 15, 3
-DF_BITS = 18
+#: Share of the texts at and below which a shingle has the largest weight.
+RARE = 1 / 128
+#: Shingles of one part of the corpus, as they are looked through for frequent ones.
+PART = 1 << 22
+SALTS = 64
 BLOCK = 1024
 #: Nodes of one of the sets that a unit of pairs lies between.
 UNIT = 2048
-#: Share of equal samples from which a pair is verified; a pair at the threshold falls below it about once in 10**5.
+#: Share of equal samples from which a pair is verified; a pair at the threshold falls below it with a probability of 5e-5.
 PLAUSIBLE = 0.55
 
+LAST = 2**63 - 1
 _STEPS = 4096
 
 
@@ -64,15 +76,18 @@ _LOG_C = np.log(_GAMMA).astype(np.float32)
 
 @dataclass
 class Frequencies:
-    """Document frequencies by hashed group, and the number of documents."""
+    """The frequent shingles, in order, with their idf; all others have 2."""
 
-    counts: np.ndarray
-    documents: int
+    hashes: np.ndarray
+    weights: np.ndarray
 
     def idf(self, hashes: np.ndarray) -> np.ndarray:
-        df = self.counts[(hashes >> np.uint64(64 - DF_BITS)).astype(np.int64)]
-        n = max(self.documents, 1)
-        return 1 + np.maximum(np.log((n + 1) / (df + 1)), 0) / np.log(n + 1)
+        out = np.full(len(hashes), 2.0)
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+            same = self.hashes[at] == hashes
+            out[same] = self.weights[at[same]]
+        return out
 
 
 def shingles(texts: pa.Array, chunk: int = 1 << 19) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -89,26 +104,63 @@ def shingles(texts: pa.Array, chunk: int = 1 << 19) -> Iterator[tuple[int, int,
         yield low, high - low, owner[first], hashes[first], np.diff(np.concatenate([first, [len(hashes)]]))
 
 
-def frequencies(docs: DataFrame) -> Frequencies:
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, size = np.zeros(1 << DF_BITS, np.int64), 0
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(texts, distinct shingles, texts with each) of parts of about ``PART`` shingles."""
+    held: list[np.ndarray] = []
+    texts = 0
+    for batch in batches:
+        texts_, seen = texts_of(batch), 0
+        for low, n, _, hashes, _ in shingles(texts_):
+            held.append(hashes)
+            texts, seen = texts + n, low + n
+            if sum(map(len, held)) >= PART:
+                yield texts, *np.unique(np.concatenate(held), return_counts=True)
+                held, texts = [], 0
+        texts += len(texts_) - seen
+    if texts:
+        yield texts, *np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
+
+
+def frequencies(docs: DataFrame, rare: float = RARE) -> Frequencies:
+    """Of rows with a ``text``: the shingles in more than the share ``rare`` of them, counted exactly.
+
+    First each part of the corpus names the shingles that more than half that share of it hold. What a part leaves out is
+    below half the share of it, so a shingle beyond the share of the whole has more than half its count among what was
+    named; the others go. Then those that are left, at most twice the possible number, are counted in all texts."""
+    spark, context = docs.sparkSession, docs.sparkSession.sparkContext
+    schema = "shingle long, n long"
+
+    def rows(hashes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int64))], ["shingle", "n"])
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for texts, hashes, counts in _parts(batches):
+            most = counts > rare / 2 * texts
+            yield rows(hashes[most], counts[most])
+            yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([texts], pa.int64())], ["shingle", "n"])
+
+    arrow_batches(spark)
+    texts = docs.select("text")
+    first = store(texts.mapInArrow(named, schema).groupBy("shingle").agg(F.sum("n").alias("n")), "near-frequent")
+    size = first.filter("shingle IS NULL").agg(F.sum("n")).first()[0] or 0
+    found = first.filter(F.col("shingle").isNotNull() & (F.col("n") > rare / 2 * size)).select("shingle").toArrow()
+    wanted = context.broadcast(np.sort(found["shingle"].to_numpy().view(np.uint64)))
+    if not len(wanted.value):
+        return Frequencies(np.zeros(0, np.uint64), np.zeros(0))
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(wanted.value), np.int64)
         for batch in batches:
-            size += batch.num_rows
-            for _, _, owner, hashes, _ in shingles(texts_of(batch)):
-                group = (hashes >> np.uint64(64 - DF_BITS)).astype(np.int64)
-                new = np.ones(len(group), bool)  # in order within a text, as the hashes are
-                new[1:] = (group[1:] != group[:-1]) | (owner[1:] != owner[:-1])
-                found += np.bincount(group[new], minlength=1 << DF_BITS)
-        kept = np.flatnonzero(found)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(kept, -1)), pa.array(np.append(found[kept], size))], ["g", "n"])
-
-    arrow_batches(docs.sparkSession)
-    # one row for each group, a bounded number, and the documents under -1
-    total = docs.select("text").mapInArrow(count, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).toArrow()
-    group, number = total["g"].to_numpy(), total["n"].to_numpy()
-    counts = np.zeros(1 << DF_BITS, np.int64)
-    counts[group[group >= 0]] = number[group >= 0]
-    return Frequencies(counts, int(number[group < 0].sum()))
+            for _, _, _, hashes, _ in shingles(texts_of(batch)):
+                at = np.minimum(np.searchsorted(wanted.value, hashes), len(wanted.value) - 1)
+                total += np.bincount(at[wanted.value[at] == hashes], minlength=len(total))
+        kept = np.flatnonzero(total)
+        yield rows(wanted.value[kept], total[kept])
+
+    exact = texts.mapInArrow(counted, schema).groupBy("shingle").agg(F.sum("n").alias("n")).filter(F.col("n") > rare * size).toArrow()
+    hashes, share = exact["shingle"].to_numpy().view(np.uint64), exact["n"].to_numpy() / size
+    order = np.argsort(hashes)
+    return Frequencies(hashes[order], 1 + np.minimum(1, np.log(1 / share[order]) / np.log(1 / rare)))
 
 
 def samples(owner: np.ndarray, hashes: np.ndarray, weight: np.ndarray, number: int, n: int) -> np.ndarray:
@@ -163,6 +215,11 @@ def signatures(docs: DataFrame, shared) -> DataFrame:
     return map_batches(docs, work, "doc_id long, content binary, bands array<long>, samples binary")
 
 
+def content_of(text: Column) -> Column:
+    """What equal texts share: the digest of a text, null being empty."""
+    return F.unhex(F.sha2(whole_text(text).cast("binary"), 256))
+
+
 def weighted(text: str, table: Frequencies) -> tuple[np.ndarray, np.ndarray]:
     """The shingles of a text, in order, and their weights."""
     found = list(shingles(pa.array([text])))
@@ -268,40 +325,50 @@ def cross_pairs(members: DataFrame, sets: int, plausible: float = PLAUSIBLE, blo
     return dealt.groupBy("key", "i", "j").applyInArrow(compare, "i long, j long, pairs binary")
 
 
-def node_id(doc_id: Column, text: Column) -> Column:
-    """The number of a row's document: its id, or for a null id a negative hash of its text."""
-    return F.coalesce(doc_id.cast("long"), -(F.pmod(F.xxhash64(whole_text(text)), F.lit(1 << 62)) + 1))
+def _nodes(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(nodes (content, least, node), contents (content, salt)) of rows (doc_id, content, salt); ``least`` is the smallest
+    id that has the content, 2**63 - 1 for null ones."""
+    ids = F.coalesce("doc_id", F.lit(LAST))
+    contents = store(signed.groupBy("content", "salt").agg(F.min(ids).alias("least")), "near-contents")
+    least = contents.groupBy("content").agg(F.min("least").alias("least"))
+    made = F.xxhash64("content").bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
+    named = least.filter(F.col("least") < LAST)
+    several = named.groupBy("least").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    own = named.join(several, "least", "left").select("content", "least", F.when(F.col("n").isNull(), F.col("least")).otherwise(made).alias("node"))
+    unnamed = least.filter(F.col("least") == LAST).select("content", "least", made.alias("node"))
+    return store(own.union(unnamed), "near-nodes"), contents.select("content", "salt")
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, node, class_id and kept of each row; class_id is the smallest node of the class."""
+    """doc_id, content, node, class_id and kept of each row; class_id is the smallest node of the class, and of each
+    class the row with its smallest id is kept."""
     spark = docs.sparkSession
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), whole_text(docs[text_col]).alias("text"))
-    content = F.unhex(F.sha2(F.col("text").cast("binary"), 256))
-    node = node_id(F.col("doc_id"), F.col("text"))
-    named = rows.select(node.alias("doc_id"), content.alias("content"), "text")
+    content = content_of(F.col("text"))
+    named = rows.select("doc_id", content.alias("content"), "text")
     shared = spark.sparkContext.broadcast(frequencies(rows))
     signed = store(signatures(named, shared), "near-signatures")
+    salted = signed.select("doc_id", "content", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt"))
+    nodes, contents = _nodes(salted)
 
-    of_content = signed.groupBy("content").agg(F.min("doc_id").alias("node"))
-    signed_nodes = signed.join(of_content.withColumn("doc_id", F.col("node")), ["doc_id", "content"], "left_semi")
-    keyed = signed_nodes.filter("bands IS NOT NULL").select(F.col("doc_id").alias("node"), "samples", F.posexplode("bands").alias("band", "key"))
+    first = nodes.select("content", F.nullif("least", F.lit(LAST)).alias("first"), "node")
+    of_node = lambda df: df.join(first, (df["content"] == first["content"]) & df["doc_id"].eqNullSafe(first["first"])).drop(first["content"])
+    keyed = of_node(signed.filter("bands IS NOT NULL")).select("node", "samples", F.posexplode("bands").alias("band", "key"))
     buckets = keyed.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).filter("least < most")
     members = store(keyed.join(buckets.select("key", "least"), "key"), "near-members")
 
-    needed = members.select(F.col("node").alias("doc_id")).distinct()
-    texts = named.join(needed, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "text").dropDuplicates(["node"])
+    needed = members.select("node").distinct().join(nodes, "node").select("node", F.nullif("least", F.lit(LAST)).alias("first"), F.col("content").alias("own"))
+    texts = named.join(needed, (named["content"] == needed["own"]) & named["doc_id"].eqNullSafe(needed["first"])).select("node", "text").dropDuplicates(["node"])
     texts = store(texts, "near-texts")
     star = members.select(F.col("least").alias("a"), F.col("node").alias("b")).filter("a < b").distinct()
-    # rows that share an id are one document
-    same = signed.join(of_content, "content").select(F.col("doc_id").alias("a"), F.col("node").alias("b")).filter("a <> b")
     good = store(similarities(star, texts, shared).filter(F.col("similarity") >= threshold).select("a", "b"), "near-links")
     label = components(good, "near-classes")
 
     labelled = members.join(label, "node", "left").select("key", "band", "node", F.coalesce("label", "node").alias("label"), "samples")
     rest = store(cross_pairs(labelled, max(1, math.ceil(texts.count() / UNIT))), "near-rest")
     more = store(packed_links(rest, texts, shared, threshold), "near-links")
-    final = components(good.union(more).union(same), "near-classes")
-    out = rows.select("doc_id", node.alias("node"))
-    out = out.join(final, "node", "left").select("doc_id", "node", F.coalesce("label", "node").alias("class_id"))
-    return out.select("doc_id", "node", "class_id", (F.col("node") == F.col("class_id")).alias("kept"))
+    final = components(good.union(more), "near-classes")
+    classed = nodes.join(final, "node", "left").select("content", "least", "node", F.coalesce("label", "node").alias("class_id"))
+    by_salt = contents.join(classed, "content")
+    kept = (F.col("node") == F.col("class_id")) & (F.coalesce("doc_id", F.lit(LAST)) == F.col("least"))
+    return salted.join(by_salt, ["content", "salt"]).select("doc_id", "content", "node", "class_id", kept.alias("kept"))

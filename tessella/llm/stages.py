@@ -1,8 +1,8 @@
 """Stages of a corpus pipeline: each takes (spark, docs, sf_dir), applies one operator to all of docs and returns a
 DataFrame. All but packing return the columns of docs, whatever further columns there are.
 
-Defined cases: the operators' own; a rejected row goes, all others stay; of rows that share an id one stays in
-``near_duplicates``; empty tables give empty tables.
+Defined cases: the operators' own; a rejected row goes, all others stay; of equal rows one stays in ``near_duplicates``,
+where rows that share an id but not a text are judged each by its own; empty tables give empty tables.
 """
 
 from __future__ import annotations
@@ -28,12 +28,13 @@ def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates stays."""
     found = neardup.classes(docs)
-    node = fresh("node", docs.columns)
-    gone = found.filter("NOT kept").select(F.col("node").alias(node)).distinct()
-    named = docs.withColumn(node, neardup.node_id(docs["doc_id"], docs["text"]))
-    left = named.join(gone, node, "left_anti")
-    if found.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count():
-        left = left.dropDuplicates([node])
+    gone = found.filter("NOT kept").select(F.col("doc_id").alias("gone_id"), F.col("content").alias("gone_content"))
+    content = fresh("content", docs.columns)
+    named = docs.withColumn(content, neardup.content_of(docs["text"]))
+    same = named["doc_id"].cast("long").eqNullSafe(gone["gone_id"]) & (named[content] == gone["gone_content"])
+    left = named.join(gone, same, "left_anti")
+    if found.filter("kept").groupBy("doc_id", "content").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count():
+        left = left.dropDuplicates(["doc_id", content])
     return left.select(*docs.columns)
 
 

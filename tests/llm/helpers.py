@@ -38,7 +38,7 @@ def weighted_classes(docs, threshold=0.8):
         w = (t or "").lower().encode().split()
         counts[i] = collections.Counter(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else collections.Counter()
     n, df = len(docs), collections.Counter(x for c in counts.values() for x in c)
-    idf = {x: 1 + max(math.log((n + 1) / (v + 1)), 0) / math.log(n + 1) for x, v in df.items()}
+    idf = {x: 1 + min(1, math.log(n / v) / math.log(128)) for x, v in df.items()}
     up = {i: i for i, _ in docs}
 
     def root(x):
