@@ -29,7 +29,7 @@ from pyspark.sql.types import StructType
 from tessella.llm.features import BITS, distinct, stem_features
 from tessella.llm.quality import sampled
 from tessella.llm.svm import Rows, sigmoid
-from tessella.llm.tables import map_batches, pieces, raw, texts_of, whole_text
+from tessella.llm.tables import crc, map_batches, pieces, raw, texts_of, whole_text
 
 #: Labelled rows of each label that the model is fitted on, at most (twice that in the worst case).
 SAMPLE = 3000
@@ -59,22 +59,35 @@ def _rows(batch: pa.RecordBatch):
         yield low, high - low, *distinct(text, feature)
 
 
+def _indicators(index: np.ndarray, lengths: np.ndarray) -> Rows:
+    """Rows whose values are all 1, which take no room."""
+    return Rows(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64), index, np.broadcast_to(np.float64(1), len(index)))
+
+
+def picked(rows: Rows, which: np.ndarray) -> Rows:
+    """The marked ones of rows of indicators."""
+    lengths = np.diff(rows.bounds)
+    return _indicators(rows.index[np.repeat(which, lengths)], lengths[which])
+
+
 def feature_rows(sample: DataFrame) -> tuple[Rows, np.ndarray]:
-    """Word counts and labels of a bounded sample of rows (label, text)."""
+    """Indicators of words and labels of a bounded sample of rows (label, text)."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        index, value = [], []
+        index, counts = [], []
         for _, n, owner, feature, count in _rows(batch):
             edges = np.searchsorted(owner, np.arange(n + 1))
             index += [feature[a:b].astype("<i4").tobytes() for a, b in zip(edges, edges[1:], strict=False)]
-            value += [count[a:b].astype("<i4").tobytes() for a, b in zip(edges, edges[1:], strict=False)]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(index, pa.binary()), pa.array(value, pa.binary())], ["label", "i", "v"])
+            counts += [crc(count[a:b].astype("<i4").tobytes()) for a, b in zip(edges, edges[1:], strict=False)]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(index, pa.binary()), pa.array(counts, pa.int64())], ["label", "i", "counts"])
 
-    got = map_batches(sample, work, "label int, i binary, v binary").toArrow()
+    got = map_batches(sample, work, "label int, i binary, counts long").toArrow()
     # copies of one text say no more than one of them
-    rows = sorted(set(zip(got["i"].to_pylist(), got["v"].to_pylist(), got["label"].to_pylist(), strict=True)))
-    pairs = [(np.frombuffer(i, "<i4").astype(np.int64), np.frombuffer(v, "<i4").astype(float)) for i, v, _ in rows]
-    return Rows.of(pairs), np.array([y for _, _, y in rows], int)
+    rows = sorted(set(zip(got["i"].to_pylist(), got["counts"].to_pylist(), got["label"].to_pylist(), strict=True)))
+    del got
+    label = np.array([y for _, _, y in rows], int)
+    lengths = np.array([len(i) // 4 for i, _, _ in rows], np.int64)
+    return _indicators(np.frombuffer(b"".join(i for i, _, _ in rows), "<i4"), lengths), label
 
 
 def chosen_penalty(rows: Rows, toxic: np.ndarray, steps: int = 60) -> float:
@@ -89,7 +102,7 @@ def chosen_penalty(rows: Rows, toxic: np.ndarray, steps: int = 60) -> float:
     part = np.zeros(len(rows), int)
     for y in (0, 1):
         part[toxic == y] = np.arange(number[y]) % parts
-    split = [(rows.pick(np.flatnonzero(part != k)), toxic[part != k], rows.pick(np.flatnonzero(part == k)), toxic[part == k]) for k in range(tried)]
+    split = [(picked(rows, part != k), toxic[part != k], picked(rows, part == k), toxic[part == k]) for k in range(tried)]
     models: list[Model | None] = [None] * tried
     penalty, best, least = STRONGEST, STRONGEST, np.inf
     while penalty > 1e-6:
@@ -111,10 +124,9 @@ def severity_grades(rows: Rows, toxic: np.ndarray, penalty: float = PENALTY) ->
     grade = (toxic == 1).astype(int)
     if not grade.any() or grade.all():
         return grade
-    seen = Rows(rows.bounds, rows.index, np.ones(len(rows.index)))
     terms = (fit_grades(rows, grade, penalty, 100).weights > 0).astype(float)
-    terms[seen.spread(1.0 - grade, SIZE) > 0] = 0.0
-    number = seen.times(terms)
+    terms[rows.spread(1.0 - grade, SIZE) > 0] = 0.0
+    number = rows.times(terms)
     grade[(grade == 1) & (number > max(np.median(number[grade == 1]), 1))] = 2
     return grade
 
@@ -130,8 +142,9 @@ def fit_grades(rows: Rows, grade: np.ndarray, penalty: float = PENALTY, steps: i
     top = int(grade.max()) if len(grade) else 0
     if top < 1 or len(set(grade.tolist())) < 2:
         return Model(np.zeros(SIZE), np.zeros(0))
-    kept, at = np.unique(rows.index, return_inverse=True)
-    owner = np.repeat(np.arange(len(rows)), np.diff(rows.bounds))
+    kept = np.unique(rows.index)
+    at = np.searchsorted(kept, rows.index).astype(np.int32)
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), np.diff(rows.bounds))
     number = np.bincount(grade, minlength=top + 1)
     weight = 1.0 / np.maximum(number, 1)
     weight[1:] /= max((number[1:] > 0).sum(), 1)
@@ -168,7 +181,6 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from rows (label int: toxic 0/1, text)."""
     labelled = labelled.filter(F.col("label").isin(0, 1)).select(F.col("label").cast("int").alias("label"), whole_text().alias("text"))
     rows, label = feature_rows(sampled(labelled, sample))
-    rows.value = np.ones(len(rows.value))
     penalty = chosen_penalty(rows, label)
     return fit_grades(rows, severity_grades(rows, label, penalty), penalty)
 

@@ -50,6 +50,20 @@ def test_toxicity_of_labelled(spark):
     assert all(0 <= r.severity <= 2 for r in rows)
 
 
+def test_toxicity_of_rows_left_aside(spark):
+    """Fitted on four fifths of the labelled documents; judged on texts of the others that the fit has not seen."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rows = docs.join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id").select("doc_id", "text", "lang", F.col("toxic").alias("label")).filter("label IS NOT NULL")
+    aside = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    model = toxicity.fit(rows.filter(~aside))
+    unseen = rows.filter(aside).join(rows.filter(~aside).select("text"), "text", "left_anti")
+    judged = toxicity.with_severity(unseen, model, ("severity", "p", "grade", "rejected")).select("lang", "label", "rejected").collect()
+    assert np.mean([r.rejected for r in judged if r.label == 1]) > 0.85
+    assert np.mean([r.rejected for r in judged if r.label == 0]) < 0.02
+    by = {lang: [r.rejected for r in judged if r.label == 1 and r.lang == lang] for lang in {r.lang for r in judged}}
+    print("found of toxic texts left aside:", {k: (sum(v), len(v)) for k, v in by.items()}, "rejected of clean:", sum(r.rejected for r in judged if r.label == 0), sum(r.label == 0 for r in judged))
+
+
 def test_thresholds_share_weights_and_stay_in_order():
     rng = np.random.default_rng(3)
     rows = svm.Rows.of([(np.array([k]), np.ones(1)) for k in rng.integers(0, 4, 400)])
