@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import IntegralType
 
 from tessella.functions.text import GENERATOR_ENDING, fill
+from tessella.session import materialize
 
 # Category prefix of the second class, task types and polarities.
 NON_SENSITIVE = "NonSensitive_"
@@ -157,10 +159,114 @@ def dedupe_last(df: DataFrame, key: str, order: str) -> DataFrame:
     )
 
 
+# --- the manifest by names and numbers ---------------------------------------------------------
+
+#: More than there are positions of categories, of patterns in one, and of second patterns.
+_POSITIONS = (1 << 60, 1 << 31, 1 << 31)
+_BRANCHES = (SINGLE, PAIR, MIXED)
+
+
+def _whole(c) -> Column:
+    return (F.lit(str(c)) if isinstance(c, int) else c).cast("decimal(38,0)")
+
+
+def order_number(branch: Column, cat_pos: Column, i: Column, j: Column) -> Column:
+    """The place at which a task is listed as one number of fixed width, which a hash aggregate can keep the least
+    and the largest of."""
+    out = _whole(branch)
+    for part, size in zip((cat_pos, i, j), _POSITIONS, strict=True):
+        out = (out * _whole(size) + _whole(F.coalesce(part, F.lit(0)))).cast("decimal(38,0)")
+    return out
+
+
+def order_parts(order: Column) -> list[Column]:
+    """branch, cat_pos, i and j of an ``order_number``."""
+    parts = []
+    for size in reversed(_POSITIONS):
+        last = order % _whole(size)
+        parts.append(last)
+        order = ((order - last) / _whole(size)).cast("decimal(38,0)")
+    j, i, cat_pos = parts
+    return [order.cast("int"), cat_pos.cast("bigint"), i.cast("int"), j.cast("int")]
+
+
+def numbered_positions(catalog: DataFrame) -> DataFrame:
+    """The catalog with numbers in ``cat_pos``, in the order of what stands there (a file and a place in it)."""
+    if isinstance(catalog.schema["cat_pos"].dataType, IntegralType):
+        return catalog
+    order = catalog.select("cat_pos").distinct().orderBy("cat_pos").select("cat_pos", F.monotonically_increasing_id().alias("number"))
+    order = materialize(order, "category-order")  # the numbers rise from range to range, and stay as they are written
+    return catalog.join(order, "cat_pos").withColumn("cat_pos", F.col("number")).drop("number")
+
+
+def listed(catalog: DataFrame, block: int = PAIR_BLOCK) -> DataFrame:
+    """(filename, order) of every task, without any text of a pattern."""
+    p = catalog.where("sensitive").select("category", "cat_pos", "idx", "pattern_id")
+    zero, branch = F.lit(0), {kind: F.lit(k) for k, kind in enumerate(_BRANCHES)}
+    single = p.select(F.col("pattern_id").alias("filename"), order_number(branch[SINGLE], F.col("cat_pos"), F.col("idx"), zero).alias("order"))
+    two = pairs(catalog.select("category", "cat_pos", "idx", "pattern_id", "sensitive", F.lit("").alias("text")), block)
+    pair = two.select("filename", order_number(branch[PAIR], F.col("ord.cat_pos"), F.col("ord.i"), F.col("ord.j")).alias("order"))
+    other = catalog.where("not sensitive").agg(F.count("*").alias("n")).scalar()
+    name = F.concat(F.lit(MIXED + "_"), "pattern_id").alias("filename")
+    both = p.where(other > 0).select(name, order_number(branch[MIXED], F.col("cat_pos"), F.col("idx"), zero).alias("order"))
+    return single.unionByName(pair).unionByName(both)
+
+
+def dedupe_listed(tasks: DataFrame) -> DataFrame:
+    """(filename, first, last) for rows (filename, order): the places at which each name is listed first and last."""
+    return tasks.groupBy("filename").agg(F.min("order").alias("first"), F.max("order").alias("last"))
+
+
+def _placed(order: str) -> Column:
+    """The place of a task as a struct with its category, which its name spells out with its positions."""
+    branch, cat_pos, i, j = order_parts(F.col(order))
+    digits = lambda c: F.length(c.cast("string"))
+    size = F.length("filename")
+    of_pair = F.left("filename", ((size - digits(i) - digits(j) - 3) / 2).cast("int"))
+    of_mixed = F.substr("filename", F.lit(len(MIXED) + 2), size - digits(i) - len(MIXED) - 2)
+    category = F.when(branch == 0, F.left("filename", size - digits(i) - 1)).when(branch == 1, of_pair).otherwise(of_mixed)
+    values = (branch, cat_pos, category, i, j)
+    return F.struct(*[c.alias(n) for c, n in zip(values, ("branch", "cat_pos", "category", "i", "j"), strict=True)])
+
+
+def with_patterns(tasks: DataFrame, catalog: DataFrame, seed: int) -> DataFrame:
+    """filename, task_type, patterns and ord of tasks (filename, first, last). The texts are joined here, each once for
+    every pattern of a task, and for the first time."""
+    placed = tasks.select("filename", _placed("last").alias("own"), _placed("first").alias("ord"))
+    sensitive, other = split_catalog(catalog)
+    total = other.agg(F.nullif(F.count("*"), F.lit(0)).alias("total")).scalar()
+    first_id = F.concat_ws("_", "own.category", "own.i")
+    # the second pattern of a pair by its id, of a mixed task by its number; of a single one it is not used
+    second_id = F.when(F.col("own.branch") == 1, F.concat_ws("_", "own.category", "own.j"))
+    second_id = second_id.when(F.col("own.branch") == 2, F.concat(F.lit("#"), seeded_choice(first_id, seed, total).cast("string"))).otherwise(first_id)
+    # where a pattern is listed again, its last listing counts
+    again = sensitive.groupBy("pattern_id").agg(F.max("cat_pos").alias("cat_pos"))
+    texts = sensitive.join(again, ["pattern_id", "cat_pos"], "left_semi")
+    by_id = texts.select("pattern_id", "category", "text")
+    numbered = number_rows(other.select("pattern_id", "text"), "pattern_id")
+    either = by_id.unionByName(numbered.select(F.concat(F.lit("#"), F.col("n").cast("string")).alias("pattern_id"), F.lit(None).cast("string").alias("category"), "text"))
+    one = by_id.select(F.col("pattern_id").alias("a"), F.col("text").alias("a_text"))
+    two = either.select(F.col("pattern_id").alias("b"), F.col("text").alias("b_text"))
+    joined = placed.withColumn("a", first_id).withColumn("b", second_id).join(one, "a").join(two, "b")
+    pattern = lambda i, c, t: F.struct(i.alias("pattern_id"), c.alias("category"), t.alias("text"))
+    none = F.lit(None).cast("string")
+    is_pair = F.col("own.branch") == 1
+    first = pattern(F.col("a"), F.col("own.category"), F.col("a_text"))
+    second = pattern(F.when(is_pair, F.col("b")).otherwise(none), F.when(is_pair, F.col("own.category")).otherwise(none), F.col("b_text"))
+    patterns = F.when(F.col("own.branch") == 0, F.array(first)).otherwise(F.array(first, second))
+    return joined.select("filename", task_type("own.branch").alias("task_type"), patterns.cast(_TASK).alias("patterns"), "ord")
+
+
+def task_type(branch: str) -> Column:
+    return F.get(F.array(*[F.lit(kind) for kind in _BRANCHES]), F.col(branch))
+
+
 def manifest(catalog: DataFrame, seed: int) -> DataFrame:
-    """All tasks, one per filename; sort by ``ord`` for the order in which they are listed."""
-    tasks = singles(catalog).unionByName(pairs(catalog)).unionByName(mixed(catalog, seed))
-    return dedupe_last(tasks, "filename", "ord")
+    """All tasks, one per filename; sort by ``ord`` for the order in which they are listed.
+
+    Names and numbers decide which listing of a name counts, in a hash aggregate; texts are joined to what is left."""
+    catalog = numbered_positions(catalog)
+    return with_patterns(dedupe_listed(listed(catalog)), catalog, seed)
 
 
 def manifest_counts(tasks: DataFrame) -> DataFrame:
@@ -168,6 +274,12 @@ def manifest_counts(tasks: DataFrame) -> DataFrame:
     return tasks.rollup("task_type").agg(F.count("*").alias("n"))
 
 
+def catalog_counts(catalog: DataFrame) -> DataFrame:
+    """``manifest_counts`` of a catalog's manifest, from names and numbers alone."""
+    last = dedupe_listed(listed(numbered_positions(catalog))).select(order_parts(F.col("last"))[0].alias("branch"))
+    return manifest_counts(last.select(task_type("branch").alias("task_type")))
+
+
 def expand_samples(tasks: DataFrame, generators: list[str]) -> DataFrame:
     """Every task for each generator and polarity: a row-local explode, no join."""
     variants = F.array(

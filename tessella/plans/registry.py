@@ -331,17 +331,19 @@ def mixed_tasks(spark, sf_dir):
 @query
 def manifest_tasks(spark, sf_dir):
     """Each task listed twice: the second listing, marked, must win and keep the first place."""
-    once = manifest.manifest(_catalog(spark, sf_dir), SEED)
-    again = once.withColumn("task_type", F.concat("task_type", F.lit("*"))).withColumn(
-        "ord", F.col("ord").withField("branch", F.col("ord.branch") + 10)
-    )
-    last = manifest.dedupe_last(once.unionByName(again), "filename", "ord")
+    catalog = _catalog(spark, sf_dir)
+    once, later = manifest.listed(catalog), 10 << 122
+    again = once.withColumn("order", F.col("order") + F.lit(str(later)).cast("decimal(38,0)"))
+    twice = manifest.dedupe_listed(once.unionByName(again))
+    marked = (F.col("last") - F.lit(str(later)).cast("decimal(38,0)")).cast("decimal(38,0)")
+    last = manifest.with_patterns(twice.withColumn("last", marked), catalog, SEED)
+    last = last.withColumn("task_type", F.concat("task_type", F.lit("*")))
     return _task_columns(last, F.col("ord.branch").alias("branch"))
 
 
 @query
 def manifest_summary(spark, sf_dir):
-    return manifest.manifest_counts(manifest.manifest(_catalog(spark, sf_dir), SEED))
+    return manifest.catalog_counts(_catalog(spark, sf_dir))
 
 
 def _samples(spark, sf_dir):

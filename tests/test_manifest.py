@@ -117,3 +117,35 @@ def test_paths_give_back_their_generator(spark):
     samples = spark.createDataFrame([("gen_a", "x_positive")], "generator string, base_filename string")
     found = M.artifact_paths(samples).select(parse_artifact_path("label_path").alias("p")).first().p
     assert (found.generator, found.base_filename, found.kind) == ("gen_a", "x_positive", "label")
+
+
+def _plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_texts_are_joined_last(spark, catalog, tmp_path):
+    M.numbered_positions(catalog).write.parquet(f"{tmp_path}/stored")
+    stored = spark.read.parquet(f"{tmp_path}/stored")
+    plan = _plan(M.dedupe_listed(M.listed(stored)))
+    assert "SortAggregate" not in plan and "text:string" not in plan
+    assert "SortAggregate" not in _plan(M.manifest(stored, 1)) and "text:string" not in _plan(M.catalog_counts(stored))
+
+
+def test_manifest_has_the_tasks_of_its_parts(spark, catalog):
+    """The manifest by names and numbers against the tasks with texts, put together and reduced to the last of each name."""
+    rows = [("A_1", 0, 1, "a"), ("A_1", 0, 12, "b"), ("A", 1, 1, "c"), ("A", 1, 2, "d"), ("A", 1, 112, "e"), ("NonSensitive_x", 2, 1, "n"), ("NonSensitive_x", 2, 2, "m")]
+    other = M.index_patterns(spark.createDataFrame(rows, "category string, cat_pos int, idx int, text string"))
+    for cat in (M.numbered_positions(catalog), other, other.where("sensitive"), other.limit(0)):
+        tasks = M.singles(cat).unionByName(M.pairs(cat)).unionByName(M.mixed(cat, 5))
+        want = {r.filename: (r.task_type, r.patterns, r.ord) for r in M.dedupe_last(tasks, "filename", "ord").collect()}
+        got = M.manifest(cat, 5).collect()
+        assert {r.filename: (r.task_type, r.patterns, r.ord) for r in got} == want and len(got) == len(want)
+        assert {r.task_type: r.n for r in M.catalog_counts(cat).collect()} == {r.task_type: r.n for r in M.manifest_counts(M.manifest(cat, 5)).collect()}
+
+
+def test_order_numbers_are_in_order(spark):
+    values = [(b, c, i, j) for b in (0, 2, 11) for c in (0, 5, 2**60 - 1) for i in (1, 2**31 - 1) for j in (0, 7)]
+    df = spark.createDataFrame(values, "b int, c long, i int, j int").select("*", M.order_number(*[M.F.col(x) for x in "bcij"]).alias("o"))
+    rows = df.select("*", M.F.array(*M.order_parts(M.F.col("o"))).alias("back")).orderBy("o").collect()
+    assert [(r.b, r.c, r.i, r.j) for r in rows] == sorted(values) == [tuple(r.back) for r in rows]
