@@ -16,6 +16,11 @@ from tessella.functions.text import as_col, brace_slice, let, non_empty, strip
 # A number appended to the wrapped text. A parse that ends on it has consumed the whole text.
 _END = "7301995218734066113"
 
+#: Levels of arrays and objects that are read.
+MOST_LEVELS = 999
+#: Bytes of text from which the parser's result may not fit into one value.
+MOST_BYTES = 128 << 20
+
 # The two keys a label must have.
 REASONING, IDENTIFIERS = "reasoning", "identifiers"
 
@@ -33,8 +38,9 @@ def _at(v: Column, path: str, kind: str = "variant") -> Column:
 
 
 def _parse(text: Column) -> Column:
-    """The text as variant, null if it is no JSON, without the parser's usual limit of a string's length."""
-    options = {"maxStringLen": str(2**31 - 1), "allowSingleQuotes": "false", "allowNonNumericNumbers": "false", "mode": "PERMISSIVE"}
+    """The text as variant, null if it is no JSON, without the parser's usual limits of the length of strings and
+    numbers. Its limit of nesting, a thousand levels, stays: it works by recursion, and more would end the process."""
+    options = {"maxStringLen": str(2**31 - 1), "maxNumLen": str(2**31 - 1), "allowSingleQuotes": "false", "allowNonNumericNumbers": "false", "mode": "PERMISSIVE"}
     return F.from_json(text, "variant", options)
 
 
@@ -67,6 +73,18 @@ def strict_variant(c: Column | str) -> Column:
     return let(text, check)
 
 
+def is_too_large(c: Column | str) -> Column:
+    """Whether a text that is not read as JSON nests deeper than ``MOST_LEVELS``, or is beyond what a value may hold.
+    The depth is that of brackets outside strings; it is looked at only where there are brackets enough."""
+    text = as_col(c)
+    marks = F.regexp_replace(F.regexp_replace(text, r'(?s)"(?:[^"\\]|\\.)*+"', ""), r"[^\[\]{}]+", "")
+    step = lambda a, x: F.struct((a["now"] + x).alias("now"), F.greatest(a["most"], a["now"] + x).alias("most"))
+    each = F.transform(F.split(marks, ""), lambda m: F.when(m.isin("[", "{"), 1).when(m.isin("]", "}"), -1).otherwise(0))
+    depth = F.aggregate(each, F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), step)["most"]
+    deep = F.when(F.length(text) - F.length(F.translate(text, "[{", "")) > MOST_LEVELS, depth > MOST_LEVELS).otherwise(False)
+    return F.coalesce((F.octet_length(text) >= MOST_BYTES) | deep, F.lit(False))
+
+
 def is_strict_json(c: Column | str) -> Column:
     return strict_variant(c).isNotNull()
 
@@ -103,6 +121,7 @@ def repair_json(c: Column | str) -> Column:
     """Outer-brace slice, quotes around bare keys, no trailing commas. Key quoting is purely
     textual and so also fires inside string values."""
     body = let(strip(c), lambda s: F.coalesce(brace_slice(s), s))
+    # fixed values: both patterns
     quoted = F.regexp_replace(body, r"(?U)([{,]\s*)(\w+)(\s*:)", '$1"$2"$3')
     return F.regexp_replace(quoted, r"(?U),(\s*[}\]])", "$1")
 

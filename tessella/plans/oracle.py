@@ -7,10 +7,11 @@ response shapes of the fixture must give.
 from __future__ import annotations
 
 import re
+import string
 
 from tessella.functions.text import WHITESPACE
 from tessella.operators.responses import INSTRUCTION
-from tessella.plans.fixtures import with_fixtures
+from tessella.plans.fixtures import SOURCE_SHAPES, with_fixtures
 from tessella.plans.registry import PRIORITY, SYMBOLS, TEMPLATES
 
 ORACLE: dict[str, str] = {}
@@ -503,3 +504,54 @@ ORACLE["symbol_failures"] = with_fixtures(
         UNION ALL SELECT -3 * doc_id - 2, NULL, md5('[]') FROM documents""",
     "source_words",
 )
+
+# --- whole runs ---------------------------------------------------------------------------------
+
+
+def _shape_text(shape: str) -> str:
+    """A shape of source, filled with the words of a run."""
+    parts = []
+    for text, field, _, _ in string.Formatter().parse(shape):
+        parts.append("'" + text.replace("'", "''") + "'")
+        if field is not None:
+            parts.append(f"w{int(field) + 1}")
+    return " || ".join(parts)
+
+
+def _laid_out(**fields: str) -> str:
+    """A symbol with two-space indents. Values are SQL: texts, or lists for names in the plural."""
+    lines = []
+    for name, value in fields.items():
+        if name in ("calls_out", "references", "conforms", "attributes"):
+            lines.append(f"""'    "{name}": [\n      "' || array_to_string({value}, '",\n      "') || '"\n    ]'""")
+        else:
+            lines.append(f"""'    "{name}": "' || {value} || '"'""")
+    return "'  {\n' || " + " || ',\n' || ".join(lines) + " || '\n  }'"
+
+
+_EVEN_SYMBOLS = " || ',\n' || ".join((
+    _laid_out(symbolName="'T_' || w1", symbolKind="'class'", conforms="['P_' || w2, 'P_' || w3]", attributes="['@objc']"),
+    _laid_out(symbolName="'v_' || w4", symbolKind="'variable'", typeSignature="'Int'"),
+    _laid_out(symbolName=f"'f_' || w5 || '({_SIG})'", symbolKind="'method'", typeSignature=f"'{_SIG}'", calls_out=_CALLS, references=_REFS),
+))
+_ODD_SYMBOLS = " || ',\n' || ".join((
+    _laid_out(symbolName="'S_' || w1", symbolKind="'struct'", conforms="['Q_' || w3 || '<A, B>']"),
+    _laid_out(symbolName="'N_' || w4", symbolKind="'struct'"),
+    _laid_out(symbolName="'p_' || w5", symbolKind="'variable'", typeSignature="'D<Int, [K_' || w6 || ']>'"),
+    _laid_out(symbolName=f"'g_' || w5 || '({_SIG_B})'", symbolKind="'method'", typeSignature=f"'{_SIG_B}'", calls_out=_CALLS_B, references=_REFS_B),
+))
+_RUNS = f"""(SELECT file_id, 'import Foundation\n' || coalesce(string_agg(code, '' ORDER BY c), '') AS code,
+    CASE WHEN count(c) = 0 THEN '[]' ELSE '[\n' || string_agg(symbols, ',\n' ORDER BY c) || '\n]' END AS symbols
+    FROM fw LEFT JOIN (SELECT file_id, c, CASE WHEN c % 2 = 0 THEN {_shape_text(SOURCE_SHAPES[0])} ELSE {_shape_text(SOURCE_SHAPES[1])} END AS code,
+      CASE WHEN c % 2 = 0 THEN {_EVEN_SYMBOLS} ELSE {_ODD_SYMBOLS} END AS symbols FROM cw) USING (file_id) GROUP BY file_id)"""
+
+
+def _run(label: str) -> str:
+    return f"""SELECT 'p_' || (file_id % 20) AS project, 'f_' || file_id AS base_filename, md5({_input('code', 'symbols')}) AS input_md5,
+        md5({label}) AS output_md5 FROM {_RUNS} JOIN {_first(3)} ON request_id = file_id"""
+
+
+_LABEL = """CASE WHEN won IS NULL THEN '{"error": "generation_failed"}' ELSE good END"""
+ORACLE["built_entries"] = with_fixtures(_run(_LABEL), "responses", "source_words")
+_KEPT = f"""CASE WHEN file_id % 3 = 0 THEN '{{"reasoning":"kept","identifiers":[]}}' ELSE {_LABEL} END"""
+ORACLE["project_entries"] = with_fixtures(_run(_KEPT), "responses", "source_words")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessella.functions import labels, text
-from tessella.operators import analytics, audit, manifest, responses, resume, symbols
+from tessella.operators import analytics, audit, flows, manifest, responses, resume, symbols
 from tessella.plans import fixtures as fx
 from tessella.session import materialize, prepare, scratch_path
 from tessella.sources import artifacts as arts, entries as ents
@@ -777,3 +777,32 @@ def symbol_failures(spark, sf_dir):
     bare = src.select((-3 * F.col("file_id") - 2).alias("file_id"), F.regexp_extract("code", "^[^@]*", 0).alias("code"))
     found = symbols.symbols_or_null(src.unionByName(blank).unionByName(bare))
     return found.select("file_id", "reject", _md5("symbols_json", "symbols_md5"))
+
+
+# --- whole runs ---------------------------------------------------------------------------------
+
+
+def _project_sources(spark, sf_dir):
+    named = fx.sources(spark, sf_dir).withColumn("request_id", F.col("file_id"))
+    project = F.concat(F.lit("p_"), (F.col("file_id") % 20).cast("string")).alias("project")
+    return named.select(project, F.concat(F.lit("f_"), F.col("file_id").cast("string")).alias("base_filename"), "request_id", "code")
+
+
+def _entry_digests(entries):
+    return entries.select("project", "base_filename", _md5("input", "input_md5"), _md5("output", "output_md5"))
+
+
+@query
+def built_entries(spark, sf_dir):
+    """From sources and responses to entries: symbols, requests, winners, artefacts, assembly."""
+    _, entries, _ = flows.run(_project_sources(spark, sf_dir), fx.responses(spark, sf_dir).drop("variant"))
+    return _entry_digests(entries)
+
+
+@query
+def project_entries(spark, sf_dir):
+    """The same over projects of which every third source has a label from an earlier run, which stays."""
+    sources = _project_sources(spark, sf_dir)
+    known = sources.where("request_id % 3 = 0").select("project", "base_filename", F.lit('{"reasoning":"kept","identifiers":[]}').alias("content"))
+    _, entries, _ = flows.run(sources, fx.responses(spark, sf_dir).drop("variant"), known)
+    return _entry_digests(entries)

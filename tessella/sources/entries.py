@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tessella.functions.labels import strict_variant
+from tessella.functions.labels import is_too_large, strict_variant
 from tessella.functions.text import base_name, computed_once, let, split_ext, strip
 from tessella.session import prepare
 
@@ -16,7 +16,8 @@ FIELDS = ("instruction", "input", "output")
 def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     """Adds instruction, input, output and ``reject`` to every non-blank line.
 
-    ``reject`` is null for entries, else ``not_json``, ``not_object`` or ``output_not_text``. A
+    ``reject`` is null for entries, else ``not_json``, ``too_large`` (not read for its depth or size),
+    ``not_object`` or ``output_not_text``. A
     missing output is no reject; the entry then counts as one with an invalid output.
     """
     keep = [c for c in lines.columns if c != line]
@@ -27,7 +28,7 @@ def parse_lines(lines: DataFrame, line: str = "line") -> DataFrame:
         return F.struct(
             text.alias(line),
             *[F.try_variant_get(v, f"$[0].{name}", "string").alias(name) for name in FIELDS],
-            F.when(v.isNull(), "not_json")
+            F.when(v.isNull(), F.when(is_too_large(text), "too_large").otherwise("not_json"))
             .when(~is_object, "not_object")
             .when(kind.isNotNull() & (kind != "STRING"), "output_not_text")
             .alias("reject"),
