@@ -114,6 +114,11 @@ ORACLE["identifier_frequency"] = _on_parsed("SELECT dataset, identifier, n, firs
 ORACLE["diversity"] = _on_parsed(
     "SELECT dataset, unique_ids, instances, round(instances / unique_ids, 6) AS avg_frequency FROM totals", _USES
 )
+ORACLE["merged_sketch_stats"] = _on_parsed(
+    """SELECT dataset, total, valid, instances, true AS ids_ok, true AS items_ok, true AS lengths_ok, true AS top_ok
+       FROM stats JOIN totals USING (dataset)""",
+    _USES,
+)
 ORACLE["dataset_comparison"] = _on_parsed(
     """SELECT dataset, total, valid, secure, vulnerable, coalesce(unique_ids, 0) AS unique_ids
        FROM stats LEFT JOIN totals USING (dataset)""",

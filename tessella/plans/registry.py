@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tessella.functions import labels, text
-from tessella.operators import analytics, audit, flows, manifest, responses, resume, symbols
+from tessella.operators import analytics, audit, flows, manifest, responses, resume, sketches, symbols
 from tessella.plans import fixtures as fx
 from tessella.session import materialize, prepare, scratch_path
 from tessella.sources import artifacts as arts, entries as ents
@@ -779,6 +779,38 @@ def symbol_failures(spark, sf_dir):
     return found.select("file_id", "reject", _md5("symbols_json", "symbols_md5"))
 
 
+@query
+def merged_sketch_stats(spark, sf_dir):
+    """Statistics from the stored sketches of three lots, merged, and whether they are within their bounds of the
+    exact ones."""
+    parsed = _parsed(spark, sf_dir)
+    lots = [materialize(sketches.lot_sketches(parsed.where(F.pmod("entry_id", F.lit(3)) == k)), "lot-sketches") for k in range(3)]
+    found = materialize(sketches.estimates(sketches.merged(lots)), "merged-sketches")
+    prof, counts = analytics.summarize(parsed)
+
+    def within(name, condition):
+        around = prof.where(condition).groupBy("dataset").agg(F.percentile(name, [0.47, 0.53], F.col("n")).alias(f"{name}_around"))
+        return around, F.floor(F.col(f"{name}_around")[0]), F.ceil(F.col(f"{name}_around")[1])
+
+    items, items_low, items_high = within("n_items", F.col("category") == "vulnerable")
+    lengths, low, high = within("reasoning_len", F.col("reasoning_len").isNotNull())
+    exact = analytics.identifier_totals(counts).withColumnRenamed("instances", "exact_instances").withColumnRenamed("unique_ids", "exact_ids")
+    named = found.select("dataset", F.explode("top").alias("t")).select("dataset", "t.*").withColumnRenamed("n", "estimate")
+    tops = named.join(counts, ["dataset", "identifier"]).join(exact, "dataset")
+    tops = tops.groupBy("dataset").agg(F.min(F.abs(F.col("estimate") - F.col("n")) <= 3 * F.col("exact_instances") / sketches.TRACKED).alias("top_ok"))
+    both = found.join(exact, "dataset").join(items, "dataset").join(lengths, "dataset").join(tops, "dataset")
+    return both.select(
+        "dataset",
+        "total",
+        "valid",
+        "instances",
+        (F.abs(F.col("unique_ids") - F.col("exact_ids")) <= 0.08 * F.col("exact_ids")).alias("ids_ok"),
+        F.col("median_items").between(items_low, items_high).alias("items_ok"),
+        F.col("median_reasoning").between(low, high).alias("lengths_ok"),
+        "top_ok",
+    )
+
+
 # --- whole runs ---------------------------------------------------------------------------------
 
 
