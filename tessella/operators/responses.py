@@ -118,6 +118,9 @@ def first_success(resolved: DataFrame, max_attempts: int | None = None) -> DataF
     judged = materialize(judged, "judged-attempts")
     winners = judged.groupBy("request_id").agg(F.min("_order").alias("_order"))
     texts = judged.where(F.col("_order").isNotNull()).select("_order", "attempt", "label", "method")
+    # requests without a label would all meet under one null; numbers below those of any attempt spread them
+    spread = (-1 - F.pmod(F.xxhash64("request_id"), F.lit(1 << 31))).cast("decimal(38,0)")
+    winners = winners.withColumn("_order", F.coalesce("_order", spread))
     won = winners.hint("shuffle_hash").join(texts, "_order", "left")
     return won.select(
         "request_id",

@@ -2,6 +2,9 @@
 
 Artefacts are long rows (key columns, kind, content). Their texts are judged before the shuffle
 (blank, size, strict JSON), so state questions move a few flags per artefact and no text.
+
+Symbol lists are a table of their own, or artefacts of the kind ``symbols`` where none is given. Over tables in buckets
+by key (``sources.bucketed``) the latter way needs no shuffle at all.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ def _any(flag: Column) -> Column:
     return F.coalesce(F.bool_or(flag), F.lit(False))
 
 
-def artifact_state(artifacts: DataFrame, symbols: DataFrame, keys=KEYS) -> DataFrame:
+def artifact_state(artifacts: DataFrame, symbols: DataFrame | None = None, keys=KEYS) -> DataFrame:
     """(keys, has_code, complete) per key, from one shuffle of flags.
 
     Complete needs code and label that are not blank, a label that is JSON (its keys do not
@@ -37,15 +40,16 @@ def artifact_state(artifacts: DataFrame, symbols: DataFrame, keys=KEYS) -> DataF
         *keys,
         _if_kind("code", ~blank("content")).alias("code_ok"),
         _if_kind("label", ~blank("content") & is_strict_json("content")).alias("label_ok"),
-        F.lit(None).cast("boolean").alias("symbols_ok"),
+        _if_kind("symbols", ~blank("content")).alias("symbols_ok"),
     )
-    none = F.lit(None).cast("boolean")
-    found = symbols.select(
-        *keys, none.alias("code_ok"), none.alias("label_ok"), ~blank("symbols_json")
-    ).toDF(*flags.columns)
+    if symbols is not None:
+        none = F.lit(None).cast("boolean")
+        found = symbols.select(
+            *keys, none.alias("code_ok"), none.alias("label_ok"), ~blank("symbols_json")
+        ).toDF(*flags.columns)
+        flags = flags.withColumn("symbols_ok", none).unionByName(found)
     return (
-        flags.unionByName(found)
-        .groupBy(*keys)
+        flags.groupBy(*keys)
         .agg(*[_any(F.col(c)).alias(c) for c in ("code_ok", "label_ok", "symbols_ok")])
         .select(
             *keys,
@@ -55,7 +59,7 @@ def artifact_state(artifacts: DataFrame, symbols: DataFrame, keys=KEYS) -> DataF
     )
 
 
-def work_state(samples: DataFrame, artifacts: DataFrame, symbols: DataFrame, keys=KEYS) -> DataFrame:
+def work_state(samples: DataFrame, artifacts: DataFrame, symbols: DataFrame | None = None, keys=KEYS) -> DataFrame:
     """Adds ``state``: ``complete``, ``reuse_code`` (only the label is needed) or ``generate``."""
     state = F.when(F.col("complete"), "complete").when(F.col("has_code"), "reuse_code").otherwise("generate")
     return (
@@ -71,7 +75,7 @@ def is_labelled(label: Column | str) -> Column:
     return F.coalesce((F.octet_length(c) > MIN_LABEL_BYTES) & ~blank(c) & is_strict_json(strip(c)), F.lit(False))
 
 
-def completed(artifacts: DataFrame, symbols: DataFrame, keys=KEYS) -> DataFrame:
+def completed(artifacts: DataFrame, symbols: DataFrame | None = None, keys=KEYS) -> DataFrame:
     return artifact_state(artifacts, symbols, keys).where("complete").select(*keys)
 
 
@@ -102,7 +106,7 @@ REJECT_ORDER = (
 )
 
 
-def judge(artifacts: DataFrame, symbols: DataFrame, keys=("project", "base_filename")) -> DataFrame:
+def judge(artifacts: DataFrame, symbols: DataFrame | None = None, keys=("project", "base_filename")) -> DataFrame:
     """(keys, reject) for every key that has a label.
 
     All texts, symbols included, are judged where they are read; one shuffle of flags brings the verdicts of a
@@ -120,11 +124,13 @@ def judge(artifacts: DataFrame, symbols: DataFrame, keys=("project", "base_filen
         _if_kind("code", blank(content)).alias("code_blank"),
         _if_kind("prompt", F.lit(True)).alias("has_prompt"),
         _if_kind("prompt", stored_symbols).alias("stored_ok"),
-        none.alias("computed_ok"),
+        _if_kind("symbols", F.when(content != "", is_strict_json(content))).alias("computed_ok"),
     )
-    text = F.col("symbols_json")
-    computed = symbols.where(text != "").select(*keys, *[none.alias(c) for c in flags.columns[len(keys) : -1]], is_strict_json(text).alias("computed_ok"))
-    together = flags.unionByName(computed).groupBy(*keys).agg(*[F.max(c).alias(c) for c in flags.columns if c not in keys])
+    if symbols is not None:
+        text = F.col("symbols_json")
+        computed = symbols.where(text != "").select(*keys, *[none.alias(c) for c in flags.columns[len(keys) : -1]], is_strict_json(text).alias("computed_ok"))
+        flags = flags.withColumn("computed_ok", none).unionByName(computed)
+    together = flags.groupBy(*keys).agg(*[F.max(c).alias(c) for c in flags.columns if c not in keys])
     symbols_ok = F.coalesce("stored_ok", "computed_ok")
     failed = dict(
         zip(
@@ -144,7 +150,7 @@ def judge(artifacts: DataFrame, symbols: DataFrame, keys=("project", "base_filen
     return together.where(F.col("label_small").isNotNull()).select(*keys, reject.alias("reject"))
 
 
-def assemble(artifacts: DataFrame, symbols: DataFrame, keys=("project", "base_filename")) -> tuple[DataFrame, DataFrame]:
+def assemble(artifacts: DataFrame, symbols: DataFrame | None = None, keys=("project", "base_filename")) -> tuple[DataFrame, DataFrame]:
     """(entries, rejects); sort entries by the keys for the order of the stored names.
 
     Texts are joined for accepted keys only. A key has one artefact of each kind, as ``upsert`` keeps it.
@@ -155,12 +161,13 @@ def assemble(artifacts: DataFrame, symbols: DataFrame, keys=("project", "base_fi
     def texts(kind, name, value=F.col("content")):
         return artifacts.where(F.col("kind") == kind).select(*keys, value.alias(name))
 
+    computed = texts("symbols", "computed") if symbols is None else symbols.select(*keys, F.col("symbols_json").alias("computed"))
     accepted = (
         judged.where(F.col("reject").isNull())
         .join(texts("code", "code"), keys)
         .join(texts("label", "label"), keys)
         .join(texts("prompt", "stored", recover_symbols(F.col("content"))), keys)
-        .join(symbols.select(*keys, F.col("symbols_json").alias("computed")), keys, "left")
+        .join(computed, keys, "left")
         .withColumn("symbols_json", F.coalesce("stored", "computed"))
     )
     return to_entry(accepted, keys), judged.where(F.col("reject").isNotNull()).select(*keys, "reject")

@@ -77,7 +77,7 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSONL line per document, good, blank or broken: (line_no, line)."""
+    """One JSONL line per document, good or broken, and blank lines between them: (line_no, line)."""
     d = _label_parts(documents(spark, sf_dir))
     quoted = F.replace(F.col("good"), F.lit('"'), F.lit('\\"'))
     entry = F.concat(
@@ -86,17 +86,18 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = _shape(
         F.col("doc_id") % 9,
         {
-            0: F.lit(""),
-            1: F.lit("   "),
             2: F.concat(entry, F.lit(" xx")),
-            3: F.lit("[1,2]"),
+            3: F.concat(F.lit('["'), "rs", F.lit('"]')),
             4: F.concat(F.lit('{"instruction":"find","input":"'), "rs"),
             5: F.concat(F.lit('{"instruction":"find","input":"'), "rs", F.lit('","output":7}')),
             6: F.concat(F.lit('  {"instruction":"find","input":"'), "rs", F.lit('"} ')),
         },
         entry,
     )
-    return d.select(F.col("doc_id").alias("line_no"), line.alias("line"))
+    blank = F.when(F.col("doc_id") % 9 == 0, "").when(F.col("doc_id") % 9 == 1, "   ")
+    numbered = F.struct(F.col("doc_id").alias("line_no"), line.alias("line"))
+    between = F.struct((-F.col("doc_id") - 1).alias("line_no"), blank.alias("line"))
+    return d.select(F.inline(F.array(numbered, between))).where("line is not null or line_no >= 0")
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,12 +69,12 @@ def _lengths(column: str, where: str) -> str:
 
 ORACLE["entry_lines"] = with_fixtures(
     """SELECT line_no, 'find' AS instruction, md5(rs) AS input_md5,
-       CASE WHEN line_no % 9 <> 6 THEN md5(good) END AS output_md5 FROM lines WHERE line_no % 9 IN (6, 7, 8)""",
+       CASE WHEN line_no % 9 <> 6 THEN md5(good) END AS output_md5 FROM lines WHERE line_no % 9 NOT BETWEEN 2 AND 5""",
     "lines",
 )
 ORACLE["entry_line_rejects"] = with_fixtures(
     """SELECT line_no, CASE line_no % 9 WHEN 3 THEN 'not_object' WHEN 5 THEN 'output_not_text' ELSE 'not_json' END AS reject,
-       md5(trim(CASE line_no % 9 WHEN 2 THEN entry || ' xx' WHEN 3 THEN '[1,2]'
+       md5(trim(CASE line_no % 9 WHEN 2 THEN entry || ' xx' WHEN 3 THEN '["' || rs || '"]'
            WHEN 4 THEN '{"instruction":"find","input":"' || rs
            ELSE '{"instruction":"find","input":"' || rs || '","output":7}' END)) AS line_md5
        FROM lines WHERE line_no % 9 IN (2, 3, 4, 5)""",
@@ -145,7 +145,7 @@ ORACLE["report_file"] = _on_parsed(
         AS top_identifier, valid AS members FROM stats LEFT JOIN totals USING (dataset)""",
     _USES,
 )
-_GOOD_LINES = "SELECT *, CASE WHEN line_no % 2 = 0 THEN 'gen_a' ELSE 'gen_b' END AS dataset FROM lines WHERE line_no % 9 IN (6, 7, 8)"
+_GOOD_LINES = "SELECT *, CASE WHEN line_no % 2 = 0 THEN 'gen_a' ELSE 'gen_b' END AS dataset FROM lines WHERE line_no % 9 NOT BETWEEN 2 AND 5"
 ORACLE["entry_file_round_trip"] = with_fixtures(
     f"""SELECT dataset, md5(rs) AS input_md5, CASE WHEN line_no % 9 <> 6 THEN md5(good) END AS output_md5, count(*) AS n
         FROM ({_GOOD_LINES}) GROUP BY ALL""",
@@ -223,7 +223,8 @@ ORACLE["empty_requests"] = """SELECT doc_id AS conv_id FROM documents
     WHERE doc_id NOT IN (SELECT conv_id FROM conversations)"""
 ORACLE["label_prompts"] = """SELECT doc_id, md5('Code:' || chr(10) || text || chr(10) || 'Symbols:' || chr(10) || '[]' || chr(10)
     || 'Answer {}') AS prompt_md5 FROM documents"""
-ORACLE["fence_strip"] = f"""SELECT doc_id, CASE WHEN doc_id % 3 <> 0 THEN md5(trim(text, {_SPACE})) END AS code_md5 FROM documents"""
+ORACLE["fence_strip"] = f"""SELECT doc_id, false AS is_empty, md5(trim(text, {_SPACE})) AS code_md5 FROM documents
+    UNION ALL SELECT doc_id, true, NULL FROM documents WHERE doc_id % 3 = 0"""
 
 _VARIANTS = "SELECT request_id, attempt, CASE {} END AS {} FROM attempts"
 ORACLE["fenced_json"] = with_fixtures(
@@ -560,3 +561,10 @@ _LABEL = """CASE WHEN won IS NULL THEN '{"error": "generation_failed"}' ELSE goo
 ORACLE["built_entries"] = with_fixtures(_run(_LABEL), "responses", "source_words")
 _KEPT = f"""CASE WHEN file_id % 3 = 0 THEN '{{"reasoning":"kept","identifiers":[]}}' ELSE {_LABEL} END"""
 ORACLE["project_entries"] = with_fixtures(_run(_KEPT), "responses", "source_words")
+
+# --- snapshots in buckets -----------------------------------------------------------------------
+
+ORACLE["bucketed_work_states"] = ORACLE["work_states"]
+ORACLE["bucketed_snapshot"] = ORACLE["artifact_snapshot"]
+ORACLE["bucketed_prune"] = ORACLE["pruned_snapshot"]
+ORACLE["bucketed_assembly"] = ORACLE["assembled_entries"]

@@ -8,7 +8,7 @@ from tessella.functions import labels, text
 from tessella.operators import analytics, audit, flows, manifest, responses, resume, sketches, symbols
 from tessella.plans import fixtures as fx
 from tessella.session import materialize, prepare, scratch_path
-from tessella.sources import artifacts as arts, entries as ents
+from tessella.sources import artifacts as arts, bucketed, entries as ents
 from tessella.sources.catalog import read_catalog
 from tessella.streaming.ingest import ingest_responses, read_rejected, read_resolved, read_winners, update_winners
 
@@ -395,10 +395,11 @@ def label_prompts(spark, sf_dir):
 
 @query
 def fence_strip(spark, sf_dir):
-    d = fx.documents(spark, sf_dir)
-    inner = F.when(F.col("doc_id") % 3 == 0, "").otherwise(F.col("text"))
+    """Every text in a fence, and every third fence a second time without anything in it."""
+    d = fx.documents(spark, sf_dir).withColumn("is_empty", F.explode(F.when(F.col("doc_id") % 3 == 0, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+    inner = F.when(F.col("is_empty"), "").otherwise(F.col("text"))
     raw = F.concat(F.lit(" ```swift\n"), inner, F.when(F.col("doc_id") % 2 == 0, "\n```\n").otherwise(""))
-    return d.select("doc_id", _md5(text.strip_fence(raw), "code_md5"))
+    return d.select("doc_id", "is_empty", _md5(text.strip_fence(raw), "code_md5"))
 
 
 def _on_responses(spark, sf_dir, column, name):
@@ -811,6 +812,56 @@ def merged_sketch_stats(spark, sf_dir):
     )
 
 
+# --- snapshots in buckets -----------------------------------------------------------------------
+
+
+def _in_buckets(spark, rows, keys, name="snapshot"):
+    """Rows in a new bucketed table: (name of the table, its rows)."""
+    path = scratch_path(prepare(spark), name)
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    number = max(8, spark.sparkContext.defaultParallelism)
+    return table, bucketed.write(rows, table, path, keys, number)
+
+
+def _with_symbols(spark, sf_dir):
+    """The artefacts, and the symbol lists as artefacts of their own kind."""
+    lists = fx.symbol_texts(spark, sf_dir).withColumn("kind", F.lit("symbols")).withColumnRenamed("symbols_json", "content")
+    return fx.artifacts(spark, sf_dir).unionByName(lists)
+
+
+@query
+def bucketed_work_states(spark, sf_dir):
+    """The state of samples from snapshots in buckets: nothing is shuffled after they are written."""
+    _, stored = _in_buckets(spark, _with_symbols(spark, sf_dir), bucketed.KEYS)
+    _, wanted = _in_buckets(spark, fx.samples(spark, sf_dir), bucketed.KEYS, "samples")
+    return resume.work_state(wanted, stored).select("generator", "base_filename", "state")
+
+
+@query
+def bucketed_snapshot(spark, sf_dir):
+    """A snapshot in buckets after an update of the labels of one generator."""
+    table, stored = _in_buckets(spark, fx.artifacts(spark, sf_dir), bucketed.KEYS)
+    new = stored.where((F.col("kind") == "label") & (F.col("generator") == "gen_a"))
+    bucketed.update(new.withColumn("content", F.concat(F.lit("new "), "content")), table, ["kind"])
+    return bucketed.read(spark, table).select("generator", "kind", "base_filename", _md5("content", "content_md5"))
+
+
+@query
+def bucketed_prune(spark, sf_dir):
+    """A snapshot in buckets from which the labels that contradict their sample were taken out."""
+    table, stored = _in_buckets(spark, fx.artifacts(spark, sf_dir), bucketed.KEYS)
+    bucketed.remove(audit.flagged(stored), table, ["kind"])
+    return bucketed.read(spark, table).select("generator", "base_filename", "kind")
+
+
+@query
+def bucketed_assembly(spark, sf_dir):
+    """Entries from a snapshot in buckets by project and name: the texts are joined where they lie."""
+    _, stored = _in_buckets(spark, _unrecoverable(_with_symbols(spark, sf_dir)), ("project", "base_filename"))
+    entries, _ = resume.assemble(stored)
+    return _entry_digests(entries)
+
+
 # --- whole runs ---------------------------------------------------------------------------------
 
 
