@@ -161,10 +161,13 @@ def dedupe_last(df: DataFrame, key: str, order: str) -> DataFrame:
 
 # --- the manifest by names and numbers ---------------------------------------------------------
 
-#: More than there are positions of categories, of patterns in one, and of second patterns.
-_POSITIONS = (1 << 60, 1 << 31, 1 << 31)
 _BRANCHES = (SINGLE, PAIR, MIXED)
 
+#: Bits of the places: there are fewer positions of categories, of patterns in one, and of second patterns.
+_CAT_BITS, _POSITION_BITS = 60, 31
+_LOW = 1 << (2 * _POSITION_BITS)
+_TOP = _LOW << _CAT_BITS
+
 
 def _whole(c) -> Column:
     return (F.lit(str(c)) if isinstance(c, int) else c).cast("decimal(38,0)")
@@ -172,31 +175,33 @@ def _whole(c) -> Column:
 
 def order_number(branch: Column, cat_pos: Column, i: Column, j: Column) -> Column:
     """The place at which a task is listed as one number of fixed width, which a hash aggregate can keep the least
-    and the largest of."""
-    out = _whole(branch)
-    for part, size in zip((cat_pos, i, j), _POSITIONS, strict=True):
-        out = (out * _whole(size) + _whole(F.coalesce(part, F.lit(0)))).cast("decimal(38,0)")
-    return out
+    and the largest of: the branch on top, then the category, then both positions."""
+    number = lambda c: F.coalesce(c.cast("bigint"), F.lit(0).cast("bigint"))
+    low = F.shiftleft(number(i), _POSITION_BITS) + number(j)
+    high = (_whole(number(branch)) * _whole(_TOP)).cast("decimal(38,0)") + (_whole(number(cat_pos)) * _whole(_LOW)).cast("decimal(38,0)")
+    return (high.cast("decimal(38,0)") + _whole(low)).cast("decimal(38,0)")
+
+
+def order_pieces(order: Column) -> tuple[Column, Column, Column]:
+    """An ``order_number`` as (branch, category, both positions), bigint each."""
+    div = lambda a, b: F.call_function("div", a, _whole(b))
+    return div(order, _TOP), div(order % _whole(_TOP), _LOW), (order % _whole(_LOW)).cast("bigint")
 
 
-def order_parts(order: Column) -> list[Column]:
-    """branch, cat_pos, i and j of an ``order_number``."""
-    parts = []
-    for size in reversed(_POSITIONS):
-        last = order % _whole(size)
-        parts.append(last)
-        order = ((order - last) / _whole(size)).cast("decimal(38,0)")
-    j, i, cat_pos = parts
-    return [order.cast("int"), cat_pos.cast("bigint"), i.cast("int"), j.cast("int")]
+def order_parts(branch: Column, cat_pos: Column, low: Column) -> list[Column]:
+    """branch, cat_pos, i and j of the pieces of an ``order_number``."""
+    j = low.bitwiseAND(F.lit((1 << _POSITION_BITS) - 1).cast("bigint"))
+    return [branch.cast("int"), cat_pos, F.shiftright(low, _POSITION_BITS).cast("int"), j.cast("int")]
 
 
 def numbered_positions(catalog: DataFrame) -> DataFrame:
-    """The catalog with numbers in ``cat_pos``, in the order of what stands there (a file and a place in it)."""
-    if isinstance(catalog.schema["cat_pos"].dataType, IntegralType):
-        return catalog
-    order = catalog.select("cat_pos").distinct().orderBy("cat_pos").select("cat_pos", F.monotonically_increasing_id().alias("number"))
-    order = materialize(order, "category-order")  # the numbers rise from range to range, and stay as they are written
-    return catalog.join(order, "cat_pos").withColumn("cat_pos", F.col("number")).drop("number")
+    """The catalog with numbers in ``cat_pos``, in the order of what stands there (a file and a place in it). It is written
+    to the shared folder, as listing and texts ask for it many times, and is small beside its pairs."""
+    if not isinstance(catalog.schema["cat_pos"].dataType, IntegralType):
+        order = catalog.select("cat_pos").distinct().orderBy("cat_pos").select("cat_pos", F.monotonically_increasing_id().alias("number"))
+        order = materialize(order, "category-order")  # the numbers rise from range to range, and stay as they are written
+        catalog = catalog.join(order, "cat_pos").withColumn("cat_pos", F.col("number")).drop("number")
+    return materialize(catalog, "catalog")
 
 
 def listed(catalog: DataFrame, block: int = PAIR_BLOCK) -> DataFrame:
@@ -219,7 +224,7 @@ def dedupe_listed(tasks: DataFrame) -> DataFrame:
 
 def _placed(order: str) -> Column:
     """The place of a task as a struct with its category, which its name spells out with its positions."""
-    branch, cat_pos, i, j = order_parts(F.col(order))
+    branch, cat_pos, i, j = order_parts(*[F.col(f"{order}_{k}") for k in range(3)])
     digits = lambda c: F.length(c.cast("string"))
     size = F.length("filename")
     of_pair = F.left("filename", ((size - digits(i) - digits(j) - 3) / 2).cast("int"))
@@ -232,7 +237,8 @@ def _placed(order: str) -> Column:
 def with_patterns(tasks: DataFrame, catalog: DataFrame, seed: int) -> DataFrame:
     """filename, task_type, patterns and ord of tasks (filename, first, last). The texts are joined here, each once for
     every pattern of a task, and for the first time."""
-    placed = tasks.select("filename", _placed("last").alias("own"), _placed("first").alias("ord"))
+    pieces = [c.alias(f"{order}_{k}") for order in ("last", "first") for k, c in enumerate(order_pieces(F.col(order)))]
+    placed = tasks.select("filename", *pieces).select("filename", _placed("last").alias("own"), _placed("first").alias("ord"))
     sensitive, other = split_catalog(catalog)
     total = other.agg(F.nullif(F.count("*"), F.lit(0)).alias("total")).scalar()
     first_id = F.concat_ws("_", "own.category", "own.i")
@@ -276,7 +282,7 @@ def manifest_counts(tasks: DataFrame) -> DataFrame:
 
 def catalog_counts(catalog: DataFrame) -> DataFrame:
     """``manifest_counts`` of a catalog's manifest, from names and numbers alone."""
-    last = dedupe_listed(listed(numbered_positions(catalog))).select(order_parts(F.col("last"))[0].alias("branch"))
+    last = dedupe_listed(listed(numbered_positions(catalog))).select(order_pieces(F.col("last"))[0].cast("int").alias("branch"))
     return manifest_counts(last.select(task_type("branch").alias("task_type")))
 
 

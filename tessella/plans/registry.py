@@ -331,7 +331,7 @@ def mixed_tasks(spark, sf_dir):
 @query
 def manifest_tasks(spark, sf_dir):
     """Each task listed twice: the second listing, marked, must win and keep the first place."""
-    catalog = _catalog(spark, sf_dir)
+    catalog = manifest.numbered_positions(_catalog(spark, sf_dir))
     once, later = manifest.listed(catalog), 10 << 122
     again = once.withColumn("order", F.col("order") + F.lit(str(later)).cast("decimal(38,0)"))
     twice = manifest.dedupe_listed(once.unionByName(again))

@@ -147,5 +147,5 @@ def test_manifest_has_the_tasks_of_its_parts(spark, catalog):
 def test_order_numbers_are_in_order(spark):
     values = [(b, c, i, j) for b in (0, 2, 11) for c in (0, 5, 2**60 - 1) for i in (1, 2**31 - 1) for j in (0, 7)]
     df = spark.createDataFrame(values, "b int, c long, i int, j int").select("*", M.order_number(*[M.F.col(x) for x in "bcij"]).alias("o"))
-    rows = df.select("*", M.F.array(*M.order_parts(M.F.col("o"))).alias("back")).orderBy("o").collect()
+    rows = df.select("*", M.F.array(*M.order_parts(*M.order_pieces(M.F.col("o")))).alias("back")).orderBy("o").collect()
     assert [(r.b, r.c, r.i, r.j) for r in rows] == sorted(values) == [tuple(r.back) for r in rows]
