@@ -723,7 +723,7 @@ def _joined(*names):
 
 @query
 def source_tokens(spark, sf_dir):
-    t = symbols.tokens(fx.sources(spark, sf_dir)).where("pos >= 0")
+    t = symbols.tokens(fx.sources(spark, sf_dir), fields=("pos", "tok", "nl", "depth")).where("pos >= 0")
     return t.groupBy("tok", "depth").agg(
         F.count("*").alias("n"), F.sum("pos").cast("bigint").alias("pos_sum"), F.count_if("nl").alias("line_starts")
     )

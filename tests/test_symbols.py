@@ -242,3 +242,28 @@ def test_rows_of_any_key_type(spark):
     assert sorted((r.file or "", r.symbols_json or "") for r in rows) == [
         ("", '[{"symbolName":"x","symbolKind":"variable"}]'), ("a", ""), ("a", '[{"symbolName":"S","symbolKind":"struct"}]'),
     ]
+
+
+PIECES = [*'"#@/`\\()[]{}<>=+-*?.,: \n_é日\x1c', "//", "/*", "*/", "\\(", "private(set)", "private ( set )", "unowned(safe)", "..<", "->", "1.5", "@a(", "#if", "=/", "++/", "foo", "`q`", "// c\n", "x<"]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_plain_stretches_are_read_as_piece_by_piece(monkeypatch, seed):
+    import random
+
+    from tessella.functions import lexer
+
+    rng = random.Random(seed)
+    codes = ["".join(rng.choices(PIECES, k=rng.randint(1, 40))) for _ in range(1500)]
+    at_once = [lexer.lex(c) for c in codes]
+    monkeypatch.setattr(lexer, "_plain", lambda code, at, gap, out: (at, gap))
+    assert at_once == [lexer.lex(c) for c in codes]
+
+
+def test_no_token_leaves_the_task_unasked(spark):
+    sources = spark.createDataFrame([(1, "struct S {\n func f() { g() }\n}"), (2, " "), (3, "")], "file_id long, code string")
+    for rows in (S.symbols(sources), S.symbol_lists(sources), S.declarations(sources)):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "tokens" not in plan and "stmts" not in plan and plan.count("MapInArrow") == 1 and "Union" not in plan
+    assert S.tokens(sources, fields=("tok", "depth")).columns == ["file_id", "tok", "depth"]
+    assert [r.tok for r in S.tokens(sources, fields=("tok",)).collect()] == "struct S { func f ( ) { g ( ) } }".split()
