@@ -10,6 +10,7 @@ from tessella.plans import fixtures as fx
 from tessella.session import materialize, prepare, scratch_path
 from tessella.sources import artifacts as arts, bucketed, entries as ents
 from tessella.sources.catalog import read_catalog
+from tessella.sources.listing import partition_text, write_files
 from tessella.streaming.ingest import ingest_responses, read_rejected, read_resolved, read_winners, update_winners
 
 SEED = 7
@@ -609,8 +610,10 @@ def artifact_keys(spark, sf_dir):
 
 
 def _as_files(rows, path):
-    """Every row of (folder, name, content) as one file with a line end behind the content."""
-    rows.repartition(16, "folder", "name").write.partitionBy("folder", "name").text(path)
+    """Every row of (folder, name, content) as one file with a line end behind the content, in folders named as partitions."""
+    where = F.concat(F.lit("folder="), partition_text("folder"), F.lit("/name="), partition_text("name"), F.lit("/part-0.txt"))
+    line = F.concat(F.coalesce("value", F.lit("")), F.lit("\n")).cast("binary")
+    write_files(rows.select(where.alias("path"), line.alias("content")), path)
 
 
 @query

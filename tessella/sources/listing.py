@@ -1,10 +1,13 @@
-"""Files as rows, listed and read where Spark runs its tasks.
+"""Files as rows, listed, read and written where Spark runs its tasks.
 
 A Python data source whose partitions are sets of folders: the driver looks at folder names only, level by level, until
 there are enough of them, and each task walks its own folders. So neither the paths nor the contents of many small files pass
 through the driver, and files without bytes are rows like all others.
 
-Defined cases: names that begin with ``_`` or ``.`` are left out, as Spark does; a root without files gives no rows; a file
+Files are written by the tasks that hold their rows: each file is put in its place by a rename when it is whole, and nothing
+is left to the driver for each of them. A task that runs again writes the same files.
+
+Defined cases: rows of one path make one file, one behind the other; names that begin with ``_`` or ``.`` are left out, as Spark does; a root without files gives no rows; a file
 that goes while its folder is read is left out. Local paths and all stores that Arrow can open are read.
 """
 
@@ -15,8 +18,9 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 #: Folders from which no further level is split up, and partitions at most.
 ENOUGH_FOLDERS = 256
@@ -95,6 +99,33 @@ def _batch(rows: list[tuple[str, int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(path), pa.array(length, pa.int64()), pa.array(content, pa.binary())], ["path", "length", "content"])
 
 
+class _FileWriter(DataSourceArrowWriter):
+    def __init__(self, options: dict):
+        self.root = options["path"]
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
+        store, root, _ = _opened(self.root)
+        attempt = TaskContext.get().taskAttemptId()
+        stream = unplaced = current = None
+
+        def place() -> None:
+            if stream is not None:
+                stream.close()
+                store.move(unplaced, f"{root}/{current}")
+
+        for batch in iterator:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if path != current:
+                    place()
+                    folder, _, name = f"{root}/{path}".rpartition("/")
+                    store.create_dir(folder, recursive=True)
+                    current, unplaced = path, f"{folder}/_{attempt}.{name}"
+                    stream = store.open_output_stream(unplaced, compression=None)
+                stream.write(content)
+        place()
+        return WriterCommitMessage()
+
+
 class FileSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -106,8 +137,29 @@ class FileSource(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return _FileReader(dict(self.options))
 
+    def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
+        return _FileWriter(dict(self.options))
+
 
 def read_files(spark: SparkSession, root: str, glob: str = "*", recursive: bool = True) -> DataFrame:
     """(path, length, content), one row for each file whose name matches."""
     spark.dataSource.register(FileSource)
     return spark.read.format("whole_files").option("glob", glob).option("recursive", str(recursive).lower()).load(root)
+
+
+def partition_text(value: Column | str) -> Column:
+    """A value as it stands in the name of a partition's folder, as Spark writes it."""
+    named = F.col(value) if isinstance(value, str) else value
+    text = F.replace(named, F.lit("%"), F.lit("%25"))
+    for code in [*range(1, 32), *map(ord, "\"#'*/:=?\\{[]^"), 127]:
+        text = F.replace(text, F.lit(chr(code)), F.lit(f"%{code:02X}"))
+    return F.coalesce(F.nullif(text, F.lit("")), F.lit("__HIVE_DEFAULT_PARTITION__"))
+
+
+def write_files(rows: DataFrame, root: str) -> None:
+    """Write (path under ``root``, content) as files, the rows of a path into one file."""
+    spark = rows.sparkSession
+    spark.dataSource.register(FileSource)
+    tasks = max(16, 4 * spark.sparkContext.defaultParallelism)
+    ordered = rows.select("path", "content").repartition(tasks, "path").sortWithinPartitions("path")
+    ordered.write.format("whole_files").mode("append").save(root)

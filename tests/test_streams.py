@@ -130,3 +130,20 @@ def test_artifact_files(spark, tmp_path):
     assert got["r=1", "y@2", "prompt"][:2] == (None, 2) and got["r=1", "z", "prompt"][:2] == ("", 0)
     plan = artifacts.read_artifacts(spark, str(tmp_path)).filter(F.col("kind") == "code")._jdf.queryExecution().executedPlan().toString()
     assert "ExistingRDD" not in plan and "Join" not in plan
+
+
+def test_files_are_written_by_tasks(spark, tmp_path):
+    rows = [(f"folder=a@{k % 3}/name=n{k}/part-0.txt", b"x\n" * k) for k in range(40)] + [("folder=a@0/name=n3/part-0.txt", b"y")]
+    listing.write_files(spark.createDataFrame(rows, "path string, content binary"), str(tmp_path))
+    got = {r.path.removeprefix(f"file:{tmp_path}/"): bytes(r.content) for r in listing.read_files(spark, str(tmp_path), "part-*.txt").collect()}
+    assert got.pop("folder=a@0/name=n3/part-0.txt") in (b"x\nx\nx\ny", b"yx\nx\nx\n")
+    assert got == {p: c for p, c in rows[:40] if "/name=n3/" not in p}
+    assert not [n for _, _, names in os.walk(tmp_path) for n in names if n.startswith("_") or n.endswith(".crc")]
+
+
+def test_partition_text_is_that_of_sparks_writer(spark, tmp_path):
+    values = ["a:b", "c/d", "100%", "", None, "e=f g", "q'\"[x]^{y}?*#\\", "\x01\x1f\x7f", "ü@-_~."]
+    df = spark.createDataFrame([(v, str(k)) for k, v in enumerate(values)], "folder string, value string")
+    df.write.partitionBy("folder").text(f"{tmp_path}/own")
+    want = {n.removeprefix("folder=") for n in os.listdir(f"{tmp_path}/own") if n.startswith("folder=")}
+    assert {r[0] for r in df.select(listing.partition_text("folder")).collect()} == want
