@@ -11,6 +11,8 @@ from tessella.sources.listing import read_files
 KINDS = {".swift": "code", ".json": "label", ".txt": "prompt"}
 
 KEYS = ("generator", "base_filename", "kind")
+#: What a snapshot is stored by.
+PARTITIONS = ("generator", "kind")
 
 
 def parse_artifact_path(path: Column | str) -> Column:
@@ -75,7 +77,14 @@ def upsert(existing: DataFrame, updates: DataFrame, keys=KEYS, order: str | None
     else:
         last = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(order)))
         updates = updates.withColumn("_last", last).where("_last = 1").drop("_last")
-    return existing.join(updates.select(*keys), keys, "left_anti").unionByName(updates.select(*existing.columns))
+    # only rows of a generator and kind that has updates are looked up by their keys; all others stay where they are read
+    parts = [k for k in PARTITIONS if k in keys]
+    if not parts:
+        return existing.join(updates.select(*keys), keys, "left_anti").unionByName(updates.select(*existing.columns))
+    touched = F.broadcast(updates.select(*parts).distinct())
+    untouched = existing.join(touched, parts, "left_anti")
+    kept = existing.join(touched, parts, "left_semi").join(updates.select(*keys), keys, "left_anti")
+    return untouched.unionByName(kept).select(*existing.columns).unionByName(updates.select(*existing.columns))
 
 
 def write_snapshot(artifacts: DataFrame, path: str) -> None:
@@ -83,9 +92,10 @@ def write_snapshot(artifacts: DataFrame, path: str) -> None:
     ``upsert`` to a new path, or the touched partitions only: a path cannot be read and
     overwritten at once."""
     (
-        artifacts.hint("rebalance", "generator", "kind")
+        artifacts.hint("rebalance", *PARTITIONS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("generator", "kind")
+        .option("compression", "zstd")
+        .partitionBy(*PARTITIONS)
         .parquet(path)
     )

@@ -248,3 +248,22 @@ def test_known_projects_count_zero(spark):
     artifacts = spark.createDataFrame([("a", "x", "code")], "project string, base_filename string, kind string")
     _, counts = A.discover_sources(artifacts, spark.createDataFrame([("a",), ("empty",)], "project string"))
     assert {r.project: r.n_code for r in counts.collect()} == {"a": 1, "empty": 0}
+
+
+def test_upsert_looks_up_touched_parts_only(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from tessella.sources import artifacts as A
+
+    rows = [(g, b, k, f"{g}{b}{k}") for g in ("a", "b", None) for b in ("x", "y", None) for k in ("code", "label")]
+    existing = spark.createDataFrame(rows, "generator string, base_filename string, kind string, content string")
+    new = [("a", "x", "label", "new"), ("a", "z", "label", "added"), ("c", "x", "code", "first")]
+    updates = spark.createDataFrame(new, existing.schema)
+    out = A.upsert(existing, updates)
+    kept = [r for r in rows if r[:3] != ("a", "x", "label")]
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, kept + new))
+    joins = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "LeftSemi" in line]
+    assert joins and all("broadcast" in line for line in joins)
+    A.write_snapshot(out, f"{tmp_path}/s")
+    files = [str(p) for p in tmp_path.rglob("*.parquet")]
+    assert files and {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}
