@@ -818,12 +818,16 @@ def merged_sketch_stats(spark, sf_dir):
 # --- snapshots in buckets -----------------------------------------------------------------------
 
 
-def _in_buckets(spark, rows, keys, name="snapshot"):
+def _number_of_buckets(spark, rows):
+    """As many as the cluster has cores, and more where one would hold too much for a task."""
+    return max(8, spark.sparkContext.defaultParallelism, bucketed.buckets_for(bucketed.text_bytes(rows)))
+
+
+def _in_buckets(spark, rows, keys, name="snapshot", number=None):
     """Rows in a new bucketed table: (name of the table, its rows)."""
     path = scratch_path(prepare(spark), name)
     table = path.rsplit("/", 1)[1].replace("-", "_")
-    number = max(8, spark.sparkContext.defaultParallelism)
-    return table, bucketed.write(rows, table, path, keys, number)
+    return table, bucketed.write(rows, table, path, keys, number or _number_of_buckets(spark, rows))
 
 
 def _with_symbols(spark, sf_dir):
@@ -835,8 +839,10 @@ def _with_symbols(spark, sf_dir):
 @query
 def bucketed_work_states(spark, sf_dir):
     """The state of samples from snapshots in buckets: nothing is shuffled after they are written."""
-    _, stored = _in_buckets(spark, _with_symbols(spark, sf_dir), bucketed.KEYS)
-    _, wanted = _in_buckets(spark, fx.samples(spark, sf_dir), bucketed.KEYS, "samples")
+    rows = _with_symbols(spark, sf_dir)
+    number = _number_of_buckets(spark, rows)
+    _, stored = _in_buckets(spark, rows, bucketed.KEYS, number=number)
+    _, wanted = _in_buckets(spark, fx.samples(spark, sf_dir), bucketed.KEYS, "samples", number)
     return resume.work_state(wanted, stored).select("generator", "base_filename", "state")
 
 

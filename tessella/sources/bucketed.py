@@ -33,6 +33,13 @@ def buckets_for(n_bytes: int) -> int:
     return min(MOST_BUCKETS, 1 << math.ceil(math.log2(max(1, n_bytes / BUCKET_BYTES))))
 
 
+def text_bytes(rows: DataFrame) -> int:
+    """Bytes of all texts of the rows, before they are compressed; the rows are computed once for it."""
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in rows.schema if f.dataType.typeName() in ("string", "binary")]
+    total = F.sum(sum((n.cast("bigint") for n in texts), F.lit(0).cast("bigint")))
+    return rows.agg(total).first()[0] or 0
+
+
 def bucket_of(keys, buckets: int) -> Column:
     """The bucket that Spark deals the keys to, as a column."""
     return F.pmod(F.hash(*keys), F.lit(buckets))

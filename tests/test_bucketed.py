@@ -162,3 +162,16 @@ def test_attach_what_another_session_wrote(joined, tmp_path):
     assert "Exchange" not in plan(state) and state.count() == 40
     assert bucketed.update(joined.createDataFrame([("g", "n", "code", "c")], SCHEMA), again, ["kind"]) == 1
     assert bucketed.read(joined, again).count() == len(rows()) + 1
+
+
+def test_number_of_buckets_grows_with_the_texts(spark, monkeypatch):
+    from tessella.plans import registry
+    from tessella.sources import bucketed
+
+    rows = spark.createDataFrame([("a", None, "x" * 3000), (None, b"yy", "é" * 1000), ("b", b"", "")], "k string, b binary, content string")
+    assert bucketed.text_bytes(rows) == 5004
+    fewest = max(8, spark.sparkContext.defaultParallelism)
+    assert registry._number_of_buckets(spark, rows) == fewest
+    monkeypatch.setattr(bucketed, "BUCKET_BYTES", 20)
+    assert registry._number_of_buckets(spark, rows) == 256
+    assert bucketed.text_bytes(rows.limit(0)) == 0
