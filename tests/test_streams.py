@@ -147,3 +147,23 @@ def test_partition_text_is_that_of_sparks_writer(spark, tmp_path):
     df.write.partitionBy("folder").text(f"{tmp_path}/own")
     want = {n.removeprefix("folder=") for n in os.listdir(f"{tmp_path}/own") if n.startswith("folder=")}
     assert {r[0] for r in df.select(listing.partition_text("folder")).collect()} == want
+
+
+def test_winner_is_found_without_filters_of_frames():
+    import pandas as pd
+
+    class Rows(pd.DataFrame):
+        def __getitem__(self, key):
+            assert isinstance(key, str)
+            return super().__getitem__(key)
+
+    class State:
+        exists, kept = False, None
+
+        def update(self, value):
+            self.kept = value
+
+    state = State()
+    rows = Rows({"request_id": [1, 1, 1], "attempt": [1, 3, 2], "method": [None, "a", "b"], "digest": [None, "x", "y"]})
+    assert [f.values.tolist() for f in ingest._keep_first((1,), iter([rows]), state)] == [[[1, 2, "b", "y"]]]
+    assert state.kept == (2, "b", "y")
