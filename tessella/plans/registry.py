@@ -245,9 +245,8 @@ def _arrivals(spark, sf_dir):
     cut = F.expr("left(value, length(value) - 1)")
     text_id = F.regexp_replace("value", r'"request_id":(\d+)', '"request_id":"$1"')
     for lot, broken in ((F.col("attempt") == 1, cut), (F.col("attempt") > 1, text_id)):
-        good = arrived.where(lot).select(line.alias("value"))
-        bad = good.where(F.expr("get_json_object(value, '$.error_class') is not null")).select(broken.alias("value"))
-        good.unionByName(bad).write.mode("append").text(path)
+        good = arrived.where(lot).select(line.alias("value"), F.col("error_class").isNotNull().alias("twice"))
+        good.select(F.explode(F.array_compact(F.array("value", F.when(F.col("twice"), broken)))).alias("value")).write.mode("append").text(path)
         ingest_responses(spark, path, target, state)
     return target
 
