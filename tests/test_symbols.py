@@ -267,3 +267,47 @@ def test_no_token_leaves_the_task_unasked(spark):
         assert "tokens" not in plan and "stmts" not in plan and plan.count("MapInArrow") == 1 and "Union" not in plan
     assert S.tokens(sources, fields=("tok", "depth")).columns == ["file_id", "tok", "depth"]
     assert [r.tok for r in S.tokens(sources, fields=("tok",)).collect()] == "struct S { func f ( ) { g ( ) } }".split()
+
+
+def described_rows(codes):
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(codes)), pa.int64()), pa.array(codes, pa.string())], ["key", "code"])
+    return [row["decls"] for rows in S._declared_rows(iter([batch])) for row in rows.to_pylist()]
+
+
+CODE = [*"{}{}()[]<>.,:;=?!&\n\n\n", "class ", "struct ", "func ", "var ", "let ", "private(set) ", "@a(x) ", "in ", " where ", "case ", " as ", "init", "foo", "bar(", "T<A, B>", '"s"', '"\\(f { let q = g(1) })"', "// c {\n", "/* { */", "/r{1}/", "0..<n", "1.5", " -> ", " "]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_sources_read_together_do_not_meet(seed):
+    import random
+
+    rng = random.Random(seed)
+    codes = [None if rng.random() < 0.05 else "".join(rng.choices(CODE, k=rng.randint(0, 40))) for _ in range(300)]
+    alone = [described_rows([c])[0] for c in codes]
+    assert described_rows(codes) == alone
+    assert sum(len(d or []) for d in alone) > 100
+
+
+def test_steps_do_not_grow_with_the_tokens():
+    """All tokens of a pack are found and judged together: few Python calls for each."""
+    import sys
+
+    body = "  let a = b.c(d, e[f]) + g\n  if a > h, k < m { n(o, p) } else { q = r(s) }\n"
+    codes = [f"class T{i}: P<Int, [K]>, Q {{\n func f{i}(x: Int) -> Bool {{\n{body * 20} }}\n}}\n" for i in range(100)]
+    calls = 0
+
+    def count(_frame, event, _arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    described_rows(codes)
+    before = sys.getprofile()
+    sys.setprofile(count)
+    try:
+        found = described_rows(codes)
+    finally:
+        sys.setprofile(before)
+    assert [len(d) for d in found] == [22] * 100
+    assert calls < 0.5 * 100 * 20 * 38  # 38 tokens a body
