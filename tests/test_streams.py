@@ -167,3 +167,16 @@ def test_winner_is_found_without_filters_of_frames():
     rows = Rows({"request_id": [1, 1, 1], "attempt": [1, 3, 2], "method": [None, "a", "b"], "digest": [None, "x", "y"]})
     assert [f.values.tolist() for f in ingest._keep_first((1,), iter([rows]), state)] == [[[1, 2, "b", "y"]]]
     assert state.kept == (2, "b", "y")
+
+
+def test_neighbouring_requests_share_a_state(spark, tmp_path):
+    """Python is called once for a block of requests and lot, not for each request; a state holds 64 of them at most."""
+    ids = [*range(-70, 130), 10**15, 10**15 + 64]
+    arrive(spark, tmp_path, "a", [attempt(i, 2, GOOD % "b" if i % 3 else None) for i in ids])
+    first = winners(spark, tmp_path)
+    assert {i: w[0] for i, w in first.items()} == {i: "ok" if i % 3 else "failed" for i in ids}
+    kept = spark.read.format("statestore").load(f"{tmp_path}/progress/winners").selectExpr("size(value.groupState.request_id) AS n").collect()
+    assert sum(r.n for r in kept) == len(ids) and max(r.n for r in kept) == 64 and len(kept) == len({i >> 6 for i in ids})
+    arrive(spark, tmp_path, "b", [attempt(5, 1, GOOD % "a"), attempt(6, 3, GOOD % "c"), attempt(7, 3, GOOD % "d")])
+    now = winners(spark, tmp_path)
+    assert {i for i in ids if now[i] != first[i]} == {5, 6} and changes(spark, tmp_path) == len(ids) + 2
