@@ -86,7 +86,8 @@ def recover_symbols(prompt: Column | str, compat: bool = False) -> Column:
     and so finds nothing in such a request; callers then compute the symbols anew.
     """
     gap = r"\s*```\s*" if compat else r"\*{0,2}\s*```(?:json)?\s*"
-    pattern = rf"(?sU)AST Symbol Information \(JSON\):{gap}(.*?)\s*```"
+    # up to the next fence without trying at every character whether it ends there; blanks before it are stripped
+    pattern = rf"(?sU)AST Symbol Information \(JSON\):{gap}([^`]*+(?:`(?!``)[^`]*+)*+)```"
     return non_empty(strip(F.regexp_extract(as_col(prompt), pattern, 1)))
 
 

@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from tessella.functions import labels
-from tessella.operators import flows
+from tessella.operators import flows, responses
 from tessella.sources import entries
 from tessella.streaming import ingest
 
@@ -65,3 +65,21 @@ def test_queries_without_the_corpus_package(monkeypatch):
     rest = set(entry.queries())
     assert rest <= whole and "dataset_comparison" in rest and not any(n.startswith("op") or n == "pipeline" for n in rest)
     assert set(entry.oracle_sql()) <= rest
+
+
+def test_symbols_of_a_request_end_at_the_first_fence(spark):
+    """They are found without asking at each of their characters whether blanks and a fence follow."""
+    import random
+    import re
+
+    rng, head = random.Random(3), "AST Symbol Information (JSON):"
+    parts = [head, f"{head}**\n```json\n", "**", "```", "``", "`", "json", " ", "\n", "[1]", "x", "é"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(1, 12))) for _ in range(3000)] + [head + "**\n```json\n" + "a`b``c" * 200000 + " \n```"]
+
+    def plain(text):
+        found = re.search(re.escape(head) + r"\*{0,2}\s*```(?:json)?\s*(.*?)\s*```", text, re.S)
+        return (found[1].strip() or None) if found else None
+
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", responses.recover_symbols("t").alias("got"))
+    assert all(r.got == plain(r.t) for r in rows.collect())
+    assert "(.*?)" not in rows._jdf.queryExecution().optimizedPlan().toString()
